@@ -165,13 +165,13 @@ where date_published is not null""",
 )
 add(
     "model_input",
-    ["raw_sector_news"],
+    ["raw_ticker_news"],
     [],
     """
 select doc_id,
   sha256(substr(coalesce(title, '') || ' ' || coalesce(content, ''), 1, 2000)) impact_input,
   sha256(substr(content, 1, 4000)) vote_input
-from raw_sector_news""",
+from raw_ticker_news""",
 )
 
 # Sector news
@@ -179,7 +179,7 @@ from raw_sector_news""",
 COMPLETE = (
     "complete",
     """
-select doc_id, sector_id, title, content, try_cast(substr(date_published, 1, 10) as date)
+select feed_id, sector_id, title, content, try_cast(substr(date_published, 1, 10) as date)
     date_published, trim(source_url, ' ') source_url, author, source_name, run_date
 from raw_sector_news
 where title is not null and content is not null and source_url is not null""",
@@ -238,15 +238,15 @@ add(
     "publish_window",
     ["raw_sector_news"],
     [],
-    f"select doc_id, sector_id, date_published, run_date from raw_sector_news where {IN_WINDOW}",
+    f"select feed_id, sector_id, date_published, run_date from raw_sector_news where {IN_WINDOW}",
 )
 add(
     "sector_head_n",
     ["raw_sector_news"],
     [],
     f"""
-select doc_id, sector_id, run_date, title, source_url from raw_sector_news where {IN_WINDOW}
-qualify row_number() over (partition by run_date, sector_id order by doc_id) <= 3""",
+select feed_id, sector_id, run_date, title, source_url from raw_sector_news where {IN_WINDOW}
+qualify row_number() over (partition by run_date, sector_id order by feed_id) <= 3""",
 )
 add(
     "impact_score",
@@ -294,10 +294,10 @@ add(
     ["raw_ticker_news", "raw_sector_news"],
     [],
     """
-select doc_id, ticker, cast(null as int) sector_id, date_published, source_url,
-  cast(null as varchar) author, source_name from raw_ticker_news
+select doc_id, cast(null as bigint) feed_id, ticker, cast(null as int) sector_id, date_published,
+  source_url, cast(null as varchar) author, source_name from raw_ticker_news
 union all
-select doc_id, null, sector_id, date_published, source_url, author, source_name
+select null, feed_id, null, sector_id, date_published, source_url, author, source_name
 from raw_sector_news""",
 )
 
@@ -627,7 +627,7 @@ add(
             """
 select 'unique' "check", 'sector_article' table_name, 'sector_article_id' columns,
   (select coalesce(sum(c), 0) from (select count(*) c from raw_sector_news
-    group by doc_id % 1000 having count(*) > 1) g) n_rows
+    group by feed_id % 900 having count(*) > 1) g) n_rows
 union all
 select 'unique', 'sector_article', 'source_url', (select coalesce(sum(c), 0) from (
   select count(*) c from raw_sector_news where source_url is not null group by source_url

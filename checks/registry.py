@@ -99,7 +99,7 @@ def report_dates(spark, sf):
 
 @query
 def model_input(spark, sf):
-    raw = view(spark, sf, "raw_sector_news")
+    raw = view(spark, sf, "raw_ticker_news")
     both = text.title_and_content("title", "content")
     return raw.select(
         "doc_id",
@@ -125,15 +125,15 @@ def sector_clean_per_run(spark, sf):
 @query
 def publish_window(spark, sf):
     kept = news.publish_window(view(spark, sf, "raw_sector_news"), "run_date")
-    return kept.select("doc_id", "sector_id", "date_published", "run_date")
+    return kept.select("feed_id", "sector_id", "date_published", "run_date")
 
 
 @query
 def sector_head_n(spark, sf):
     # A small head, so that the limit cuts at every scale of the given tables.
     raw = view(spark, sf, "raw_sector_news")
-    head = news.head_per_sector(raw, "run_date", "doc_id", n=3)
-    return head.select("doc_id", "sector_id", "run_date", "title", "source_url")
+    head = news.head_per_sector(raw, "run_date", "feed_id", n=3)
+    return head.select("feed_id", "sector_id", "run_date", "title", "source_url")
 
 
 @query
@@ -168,7 +168,7 @@ def union_feeds(spark, sf):
     sectors = view(spark, sf, "raw_sector_news").drop("title", "content", "run_date")
     both = news.union_feeds(tickers, sectors)
     return both.select(
-        "doc_id", "ticker", "sector_id", "date_published", "source_url", "author", "source_name"
+        "doc_id", "feed_id", "ticker", "sector_id", "date_published", "source_url", "author", "source_name"
     )
 
 
@@ -409,7 +409,7 @@ def constraint_violations(spark, sf):
         "sectors": view(spark, sf, "sectors"),
         "tickers": view(spark, sf, "tickers"),
         "sector_article": view(spark, sf, "raw_sector_news").withColumn(
-            "sector_article_id", F.col("doc_id") % 1000
+            "sector_article_id", F.col("feed_id") % 900
         ),
         "ticker_article": view(spark, sf, "signals"),
     }
@@ -461,8 +461,8 @@ def sector_articles_view(spark, sf):
 
 
 def latest_daily(spark, sf) -> DataFrame:
-    rows = signal_report(spark, sf)
-    return dedupe.latest_per_day(rows, "stock_ticker", id_col="ticker_article_id")
+    rows = dedupe.latest_per_day(view(spark, sf, "signals"), id_col="ticker_article_id")
+    return reports.signals_view(rows, view(spark, sf, "tickers"), view(spark, sf, "sectors"))
 
 
 @query
@@ -489,7 +489,7 @@ def ticker_detail(spark, sf):
 
 @query
 def top_articles(spark, sf):
-    return reports.top_articles_by_day(article_report(spark, sf))
+    return reports.top_articles_by_day(article_table(spark, sf), view(spark, sf, "sectors"))
 
 
 REPORT_DATE = "2024-01-17"
@@ -497,10 +497,12 @@ REPORT_DATE = "2024-01-17"
 
 def day_report(spark, sf) -> daily_report.DailyReport:
     return daily_report.daily_report(
-        signal_report(spark, sf),
-        article_report(spark, sf),
+        view(spark, sf, "signals"),
+        article_table(spark, sf),
+        view(spark, sf, "tickers"),
+        view(spark, sf, "sectors"),
         REPORT_DATE,
-        sectors=["asia", "europe"],
+        sector_names=["asia", "europe"],
         sentiments=["Negative"],
         detail_ticker="NATION_12",
     )

@@ -8,15 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ["region", "nation", "events", "documents", "pages"]
+# The numbers 0 to 3 as rows beside each input row.
+FOUR = {"spark": "explode(array(0, 1, 2, 3))", "duckdb": "unnest([0, 1, 2, 3])"}
 
 # The publish day of a document; with 25 tickers every ticker meets every day.
-_DAY = "cast(cast(floor(d.doc_id / 25) as bigint) % 30 as int)"
-_ISO = f"'2024-01-' || lpad(cast(1 + {_DAY} as string), 2, '0')"
-_TITLE = "split_part(d.text, chr(10), 1)"
-_WITH_PAGE = """
-from {documents} d
-left join {pages} p on p.page_id = d.doc_id % (select count(*) from {pages})"""
+_DOC_DAY = "cast(1 + cast(floor(d.doc_id / 25) as bigint) % 30 as int)"
+_DOC_ISO = f"'2024-01-' || lpad(cast({_DOC_DAY} as string), 2, '0')"
+_PAGE_DAY = "cast(1 + page_id % 30 as int)"
+_PAGE_ISO = f"'2024-01-' || lpad(cast({_PAGE_DAY} as string), 2, '0')"
 
 VIEWS: dict[str, tuple[list[str], str]] = {
     "sectors": (
@@ -47,8 +46,9 @@ from (
     max_by(value, event_id) as close
   from {events} group by 1, 2) q""",
     ),
+    # News per ticker: one row per document.
     "raw_ticker_news": (
-        ["documents", "pages"],
+        ["documents"],
         f"""
 select d.doc_id,
   case when d.doc_id % 13 = 0 then null
@@ -57,31 +57,35 @@ select d.doc_id,
   case when d.doc_id % 11 = 0 then null when d.doc_id % 17 = 0 then ''
        when d.doc_id % 37 = 0 then '  ' when d.doc_id % 41 = 0 then ' NaN '
        else d.text end content,
-  {_TITLE} title,
-  case when d.doc_id % 19 = 0 then 'n/a' when d.doc_id % 5 = 0 then {_ISO}
-       else {_ISO} || 'T14:00:00Z' end date_published,
-  p.url source_url, d.source source_name"""
-        + _WITH_PAGE,
+  split_part(d.text, chr(10), 1) title,
+  case when d.doc_id % 19 = 0 then 'n/a' when d.doc_id % 5 = 0 then {_DOC_ISO}
+       else {_DOC_ISO} || 'T14:00:00Z' end date_published,
+  'https://' || d.source || '.example.com/' || cast(d.doc_id as string) source_url,
+  d.source source_name
+from {{documents}} d""",
     ),
+    # News per sector: every page lands in three runs, and twice in the second of them.
     "raw_sector_news": (
-        ["documents", "pages"],
+        ["pages"],
         f"""
-select d.doc_id, cast(1 + d.doc_id % 5 as int) sector_id,
-  case when d.doc_id % 29 = 0 then null else {_TITLE} end title,
-  case when d.doc_id % 11 = 0 then null else d.text end content,
-  case when d.doc_id % 19 = 0 then 'n/a' when d.doc_id % 31 = 0 then null
-       when d.doc_id % 5 = 0 then {_ISO}
-       when d.doc_id % 8 = 0 then {_ISO} || 'T23:59:59Z'
-       when d.doc_id % 8 = 1 then {_ISO} || 'T00:00:00Z'
-       when d.doc_id % 8 = 2 then {_ISO} || 'T23:59:59.500Z'
-       when d.doc_id % 8 = 3 then {_ISO} || 'T01:30:00+09:00'
-       else {_ISO} || 'T14:00:00Z' end date_published,
-  case when d.doc_id % 23 = 0 then null when d.doc_id % 9 = 0 then '  ' || p.url || ' '
-       else p.url end source_url,
-  case when d.doc_id % 10 = 0 then null else d.source end author,
-  d.source source_name,
-  cast('2024-01-02' as date) + cast({_DAY} + d.doc_id % 3 as int) run_date"""
-        + _WITH_PAGE,
+select page_id * 4 + k feed_id,
+  cast(1 + cast(floor(page_id / 30) as bigint) % 5 as int) sector_id,
+  case when page_id % 29 = 0 then null
+       else regexp_extract(html, '<title>([^<]*)</title>', 1) || ' v' || cast(k as string)
+       end title,
+  case when page_id % 11 = 0 then null else html end content,
+  case when page_id % 19 = 0 then 'n/a' when page_id % 31 = 0 then null
+       when page_id % 5 = 0 then {_PAGE_ISO}
+       when page_id % 8 = 0 then {_PAGE_ISO} || 'T23:59:59Z'
+       when page_id % 8 = 1 then {_PAGE_ISO} || 'T00:00:00Z'
+       when page_id % 8 = 2 then {_PAGE_ISO} || 'T23:59:59.500Z'
+       when page_id % 8 = 3 then {_PAGE_ISO} || 'T01:30:00+09:00'
+       else {_PAGE_ISO} || 'T14:00:00Z' end date_published,
+  case when page_id % 23 = 0 then null when k = 3 then '  ' || url || ' ' else url end source_url,
+  case when page_id % 10 = 0 then null else 'desk ' || cast(page_id % 7 as string) end author,
+  'Name ' || cast(page_id % 4 as string) source_name,
+  cast('2024-01-01' as date) + cast({_PAGE_DAY} + case k when 3 then 1 else k end as int) run_date
+from (select page_id, url, html, {{four}} k from {{pages}}) q""",
     ),
     "page_urls": (["pages"], "select page_id, url from {pages}"),
     "payload_articles": (
@@ -135,7 +139,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bases, sql = VIEWS[name]
-    return spark.sql(sql, **{base: table(spark, sf_dir, base) for base in bases})
+    tables = {base: table(spark, sf_dir, base) for base in bases}
+    return spark.sql(sql.replace("{four}", FOUR["spark"]), **tables)
 
 
 def cte(*names: str) -> str:
@@ -143,5 +148,6 @@ def cte(*names: str) -> str:
     parts = []
     for name in names:
         bases, sql = VIEWS[name]
-        parts.append(f"{name} as ({sql.format(**{b: b for b in bases})})")
+        text = sql.format(four=FOUR["duckdb"], **{b: b for b in bases})
+        parts.append(f"{name} as ({text})")
     return "with " + ",\n".join(parts)

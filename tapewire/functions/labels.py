@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tapewire.functions.market import nan_to_null
 from tapewire.functions.text import col
 
 
@@ -41,12 +42,8 @@ def trend_matches(flag: Column | str, trend: Column | str) -> Column:
 
 
 def impact(label: Column | str, confidence: Column | str) -> Column:
-    """Signed confidence, zero for neutral or unscored text, to four decimals."""
+    """Signed confidence to four decimals, zero for neutral or unscored text. Never null."""
     signed = F.when(col(label) == "positive", col(confidence)).when(
         col(label) == "negative", -col(confidence)
     )
-    return F.round(F.coalesce(nan_free(signed), F.lit(0.0)), 4)
-
-
-def nan_free(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.coalesce(F.round(nan_to_null(signed), 4), F.lit(0.0))

@@ -140,18 +140,30 @@ def impact_order() -> list[Column]:
 
 
 def top_articles(view: DataFrame, n: int = TOP_ARTICLES_DEFAULT) -> DataFrame:
-    low, high = TOP_ARTICLES_RANGE
-    if not low <= n <= high:
-        raise ValueError(f"n must lie in [{low}, {high}]")
+    check_top_n(n)
     return article_display(view.orderBy(*impact_order()).limit(n))
 
 
-def top_articles_by_day(view: DataFrame, n: int = TOP_ARTICLES_DEFAULT) -> DataFrame:
-    """The top articles of every report date at once; each shows the day before."""
-    dated = view.where(F.col("date_published").isNotNull()).withColumn(
-        "report_date", F.date_add("date_published", 1)
+def top_articles_by_day(
+    articles: DataFrame, sectors: DataFrame, n: int = TOP_ARTICLES_DEFAULT
+) -> DataFrame:
+    """The top articles of every report date at once; each shows the day before.
+
+    Articles are picked before they are joined with their sectors.
+    """
+    check_top_n(n)
+    scored = articles.where(
+        F.col("impact_score").isNotNull() & F.col("date_published").isNotNull()
     )
-    return article_display(first_n(dated, ["report_date"], impact_order(), n), ["report_date"])
+    picked = articles_view(first_n(scored, ["date_published"], impact_order(), n), sectors)
+    dated = picked.withColumn("report_date", F.date_add("date_published", 1))
+    return article_display(dated, ["report_date"])
+
+
+def check_top_n(n: int) -> None:
+    low, high = TOP_ARTICLES_RANGE
+    if not low <= n <= high:
+        raise ValueError(f"n must lie in [{low}, {high}]")
 
 
 def article_display(view: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

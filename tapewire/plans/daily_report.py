@@ -23,32 +23,38 @@ class DailyReport:
 
 
 def daily_report(
-    signals_view: DataFrame,
-    articles_view: DataFrame,
+    signals: DataFrame,
+    articles: DataFrame,
+    tickers: DataFrame,
+    sectors: DataFrame,
     report_date: str | dt.date,
-    sectors: Sequence[str] | None = None,
-    tickers: Sequence[str] | None = None,
+    sector_names: Sequence[str] | None = None,
+    ticker_ids: Sequence[str] | None = None,
     sentiments: Sequence[str] | None = None,
     detail_ticker: str | None = None,
     n: int = TOP_ARTICLES_DEFAULT,
 ) -> DailyReport:
     """Report of one date; an empty selection selects everything.
 
-    All filters come before the latest-row pick, so they reach the scans. The sentiment
-    selection narrows the summary but not the indicators. Articles are those published
-    the day before.
+    Day and ticker filters reach the scan, and the latest row per ticker is picked before
+    the dimensions are joined: a ticker has one sector, so the sector filter may follow.
+    The sentiment selection narrows the summary but not the indicators. Articles are those
+    published the day before.
     """
-    chosen = reports.select_in(signals_view, "sector_name", sectors)
-    chosen = reports.select_in(chosen, "stock_ticker", tickers)
-    day = reports.on_day(chosen, "created_at", report_date)
-    latest = latest_per_key(day, "stock_ticker", id_col="ticker_article_id")
+    day = reports.on_day(signals, "created_at", report_date)
+    day = reports.select_in(day, "ticker_id", ticker_ids)
+    latest = latest_per_key(day, "ticker_id", id_col="ticker_article_id")
+    view = reports.signals_view(latest, tickers, sectors)
+    view = reports.select_in(view, "sector_name", sector_names)
 
     before = F.date_sub(dates.date_lit(report_date), 1)
-    articles = reports.select_in(articles_view, "sector_name", sectors)
-    articles = articles.where(F.col("date_published") == before)
+    published = articles.where(F.col("date_published") == before)
+    shown = reports.select_in(
+        reports.articles_view(published, sectors), "sector_name", sector_names
+    )
     return DailyReport(
-        kpis=reports.kpis(latest),
-        summary=reports.ticker_summary(latest, sentiments),
-        detail=reports.ticker_detail(latest, detail_ticker),
-        top_articles=reports.top_articles(articles, n),
+        kpis=reports.kpis(view),
+        summary=reports.ticker_summary(view, sentiments),
+        detail=reports.ticker_detail(view, detail_ticker),
+        top_articles=reports.top_articles(shown, n),
     )
