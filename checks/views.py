@@ -108,7 +108,7 @@ select case page_id % 16 when 0 then 'en.wikipedia.org' when 1 then 'www.reuters
     else lower(regexp_extract(url, '^https?://([^/:?#]+)', 1)) end source_id,
   cast(case page_id % 7 when 0 then null when 1 then 404 when 2 then 403 else 200 end as int)
     status_code,
-  cast(page_id % 60 as double) / 10 elapsed_s,
+  case when page_id % 13 = 0 then null else cast(page_id % 60 as double) / 10 end elapsed_s,
   case when page_id % 9 = 0 then null when page_id % 8 = 0 then html || ' EDIT this page'
     else html end html,
   case when page_id % 5 = 0 then null

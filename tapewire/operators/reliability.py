@@ -40,7 +40,9 @@ def clamp_scale(value: Column | str, low: float | Column, high: float | Column)
     """Scale to [0, 1] between two bounds, clamped; null counts as 0."""
     lo, hi = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
     scaled = (col(value).cast("double") - lo) / (hi - lo)
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), scaled)), F.lit(0.0))
+    # greatest and least pass over nulls, so a null has to be taken out before them.
+    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), scaled))
+    return F.when(col(value).isNull(), 0.0).otherwise(clamped)
 
 
 def distinct_sources(articles: DataFrame, url: str = "source_url") -> DataFrame:
@@ -72,7 +74,8 @@ def source_features(observed: DataFrame, as_of: str | dt.date) -> DataFrame:
     status = F.when(F.col("status_code").isin(REACHABLE_STATUS), 1.0).otherwise(0.5)
     left = F.lit(float(MAX_ELAPSED_S)) - F.col("elapsed_s")
 
-    days = F.greatest(F.datediff(dates.date_lit(as_of), F.col("creation_date")), F.lit(0))
+    known = F.datediff(dates.date_lit(as_of), F.col("creation_date"))
+    days = F.greatest(F.coalesce(known, F.lit(0)), F.lit(0))
     age = clamp_scale(F.log1p(days), 0, F.log1p(F.lit(float(FULL_AGE_DAYS))))
     institution = urls.ends_with_any("registered", INSTITUTION_ENDINGS)
     commercial = urls.ends_with_any("registered", COMMERCIAL_ENDINGS)

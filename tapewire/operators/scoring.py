@@ -171,7 +171,8 @@ def text_labels(
     scored = _score_once(news.where(usable), body, scorer, "_scored").select(
         F.col("_key").alias("text_key"), F.lower("_scored.label").alias("label")
     )
-    return rows.select(*keep, "text_key").distinct().join(scored, "text_key", "left")
+    once = rows.select(*keep, "text_key").distinct()
+    return once.join(scored, "text_key", "left").select(*keep, "text_key", "label")
 
 
 def with_labels(news: DataFrame, scorer: Scorer, content: str = "content") -> DataFrame:

@@ -1,0 +1,108 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewire.functions import dates, labels, market
+from tapewire.operators import news, quotes
+from tests.conftest import rows
+
+D = dt.date
+
+
+def test_previous_trading_day(spark):
+    days = [D(2024, 1, 6), D(2024, 1, 7), D(2024, 1, 8), D(2024, 1, 9), D(2024, 1, 13)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r[0] for r in df.select(dates.previous_trading_day("d")).collect()]
+    assert got == [D(2024, 1, 5)] * 3 + [D(2024, 1, 8), D(2024, 1, 12)]
+
+
+def test_previous_trading_day_never_hits_a_weekend(spark):
+    df = spark.range(800).select(F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    back = df.withColumn("p", dates.previous_trading_day("d"))
+    assert back.where(F.weekday("p") >= 5).count() == 0
+    assert back.where((F.datediff("d", "p") < 1) | (F.datediff("d", "p") > 3)).count() == 0
+
+
+def test_an_article_belongs_to_two_report_dates(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, 31)), (2, None)], "id int, date_published date")
+    got = rows(news.on_report_dates(df).orderBy("report_date").select("id", "report_date"))
+    assert got == [(1, D(2024, 2, 1)), (1, D(2024, 2, 2))]
+
+
+def test_on_date_is_half_open(spark):
+    stamps = ["2024-01-04 23:59:59.9", "2024-01-05 00:00:00", "2024-01-05 23:59:59.999999", "2024-01-06 00:00:00"]
+    df = spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast("timestamp_ntz").alias("ts"))
+    assert df.where(dates.on_date("ts", "2024-01-05")).count() == 2
+
+
+def test_formats_and_clock(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 5, 9, 7, 59),)], "ts timestamp_ntz")
+    assert rows(df.select(dates.format_minute("ts"), dates.format_day("ts"))) == [("2024-01-05 09:07", "2024-01-05")]
+    now, there = df.select(dates.now_in("UTC"), dates.now_in("Asia/Singapore")).first()
+    assert there - now == dt.timedelta(hours=8)
+
+
+@pytest.mark.parametrize(
+    ("open_", "close", "pct", "trend"),
+    [
+        (1.0, 2.0, 100.0, "positive"),
+        (1.0, 1.0, 0.0, "positive"),
+        (4.0, 3.0, -25.0, "negative"),
+        (0.0, 1.0, None, "positive"),
+        (0.0, 0.0, None, "negative"),
+        (0.0, -1.0, None, "negative"),
+        (1.0, None, None, "negative"),
+        (None, 1.0, None, "negative"),
+        (math.nan, 1.0, None, "negative"),
+        (1.0, math.nan, None, "negative"),
+        (0.0, math.nan, None, "negative"),
+    ],
+)
+def test_price_change_and_trend(spark, open_, close, pct, trend):
+    df = spark.createDataFrame([(open_, close)], "o double, c double")
+    got = df.select(market.price_change_pct("o", "c"), market.price_trend("o", "c"))
+    assert rows(got) == [(pct, trend)]
+
+
+def test_quotes_accept_any_case_and_keep_one_row_per_day(spark):
+    raw = spark.createDataFrame(
+        [
+            ("A", "2024-01-05", 1.0, 1.0, 1.0, 1.0, "2024-01-06"),
+            ("A", "2024-01-05", 1.0, 1.0, 1.0, 2.0, "2024-01-08"),
+            ("A", "2024-01-05", 1.0, 1.0, 1.0, math.nan, "2024-01-07"),
+        ],
+        "Symbol string, DATE string, Open double, High double, Low double, Close double, run_date string",
+    )
+    assert rows(quotes.clean_quotes(raw, "run_date")) == [("A", D(2024, 1, 5), 1.0, 1.0, 1.0, 2.0)]
+
+
+def test_quote_lookups(spark):
+    history = spark.createDataFrame(
+        [
+            ("A", "2024-01-04 10:00", 1.0),
+            ("A", "2024-01-05 12:00", 2.0),
+            ("A", "2024-01-05 10:00", 3.0),
+            ("B", "2024-01-01 10:00", 4.0),
+        ],
+        "symbol string, t string, open double",
+    ).select("symbol", F.col("t").cast("timestamp_ntz").alias("ts"), "open", *[F.col("open").alias(c) for c in ["high", "low", "close"]])
+    got = rows(quotes.quote_on_date(history, "2024-01-05").select("symbol", "date", "open"))
+    assert got == [("A", D(2024, 1, 5), 3.0)]
+    daily = history.withColumn("date", F.to_date("ts"))
+    last = quotes.latest_quote(daily.where("open <> 3"), "2024-01-06").select("symbol", "date", "open")
+    assert rows(last) == [("A", D(2024, 1, 5), 2.0)]
+    known = spark.createDataFrame([("B", 1), ("C", 1)], "ticker_id string, sector_id int")
+    assert {r.symbol for r in quotes.for_universe(daily, known).collect()} == {"B"}
+
+
+def test_labels(spark):
+    df = spark.createDataFrame([("Positive",), ("NEGATIVE",), ("neutral",), (None,)], "l string")
+    assert [r[0] for r in df.select(labels.label_to_flag("l")).collect()] == [True, False, True, True]
+    assert [r[0] for r in df.select(labels.label_to_score("l")).collect()] == [1, -1, 0, 0]
+    flags = spark.createDataFrame([(True,), (False,), (None,)], "f boolean")
+    assert [r[0] for r in flags.select(labels.flag_to_label("f")).collect()] == ["Positive", "Negative", None]
+    numbers = spark.createDataFrame([(0.1,), (-3.0,), (0.0,), (None,), (math.nan,)], "x double")
+    got = [r[0] for r in numbers.select(labels.sign_bucket("x")).collect()]
+    assert got == ["up", "down", "flat", "unknown", "unknown"]

@@ -1,0 +1,143 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewire import schemas
+from tapewire.operators import reports
+from tapewire.plans.daily_report import daily_report
+from tests.conftest import rows
+
+D, T = dt.date, dt.datetime
+
+
+@pytest.fixture(scope="module")
+def sectors(spark):
+    return spark.createDataFrame([(1, "tech"), (2, "health")], schemas.SECTORS)
+
+
+@pytest.fixture(scope="module")
+def tickers(spark):
+    return spark.createDataFrame([("A", 1), ("B", 1), ("C", 2)], schemas.TICKERS)
+
+
+@pytest.fixture(scope="module")
+def signals(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "A", True, 1.0, True, T(2024, 1, 5, 9), None),
+            ("2", "A", False, 3.0, False, T(2024, 1, 5, 17), None),
+            ("3", "B", True, None, False, T(2024, 1, 5, 9), None),
+            ("4", "C", False, -5.0, True, T(2024, 1, 5, 9), None),
+            ("5", "C", True, 7.0, True, T(2024, 1, 6, 0), None),
+            ("6", "X", None, 1.0, True, T(2024, 1, 5, 9), None),
+        ],
+        schemas.TICKER_ARTICLE,
+    )
+
+
+@pytest.fixture(scope="module")
+def articles(spark):
+    def article(i, sector, day, impact):
+        return (str(i), sector, f"t{i}", "c", day, f"https://x.com/{i}", None, "x.com", impact, None)
+
+    return spark.createDataFrame(
+        [
+            article(1, 1, D(2024, 1, 4), 0.5),
+            article(2, 2, D(2024, 1, 4), 0.9),
+            article(3, 1, D(2024, 1, 5), 1.0),
+            article(4, 1, D(2024, 1, 4), None),
+            article(5, 1, D(2024, 1, 4), -0.9),
+            article(6, None, D(2024, 1, 4), 0.5),
+            article(7, 1, None, 1.0),
+        ],
+        schemas.SECTOR_ARTICLE,
+    )
+
+
+def report(signals, articles, tickers, sectors, **options):
+    return daily_report(signals, articles, tickers, sectors, "2024-01-05", **options)
+
+
+def test_only_the_latest_row_of_the_day_counts(signals, articles, tickers, sectors):
+    got = report(signals, articles, tickers, sectors)
+    k = got.kpis.first()
+    assert (k.n_tickers, k.n_negative, k.avg_sentiment) == (4, 2, -0.25)
+    assert k.avg_price_change == pytest.approx((3.0 - 5.0 + 1.0) / 3)
+    assert (k.sentiment_sign, k.price_sign) == ("down", "down")
+    summary = [(r.stock_ticker, r.article_count, r.avg_sentiment) for r in got.summary.collect()]
+    assert summary == [("A", 1, -1.0), ("B", 1, 1.0), ("C", 1, -1.0), ("X", 1, 0.0)]
+
+
+def test_selections(signals, articles, tickers, sectors):
+    everything = report(signals, articles, tickers, sectors)
+    empty = report(signals, articles, tickers, sectors, sector_names=[], ticker_ids=[], sentiments=[])
+    assert rows(empty.kpis) == rows(everything.kpis)
+    assert rows(empty.summary) == rows(everything.summary)
+    tech = report(signals, articles, tickers, sectors, sector_names=["tech"])
+    assert tech.kpis.first().n_tickers == 2
+    assert {r.sector for r in tech.top_articles.collect()} == {"tech"}
+    one = report(signals, articles, tickers, sectors, ticker_ids=["C"])
+    assert one.kpis.first().n_tickers == 1
+    positive = report(signals, articles, tickers, sectors, sentiments=["Positive"])
+    assert [r.stock_ticker for r in positive.summary.collect()] == ["B"]
+    assert rows(positive.kpis) == rows(everything.kpis)
+
+
+def test_detail(signals, articles, tickers, sectors):
+    got = report(signals, articles, tickers, sectors, detail_ticker="A").detail
+    assert got.columns == ["ticker", "sentiment", "price_change", "matched", "created_at"]
+    assert rows(got) == [("A", "Negative", 3.0, False, "2024-01-05 17:00")]
+
+
+def test_top_articles_of_the_day_before(signals, articles, tickers, sectors):
+    top = report(signals, articles, tickers, sectors, n=3).top_articles
+    assert [r.impact for r in top.collect()] == [0.9, 0.5, 0.5]
+    assert top.first().article == "<a href='https://x.com/2' target='_blank'>t2</a>"
+    assert top.first().published == "2024-01-04"
+    for n in (2, 21):
+        with pytest.raises(ValueError, match="3, 20"):
+            report(signals, articles, tickers, sectors, n=n)
+    by_day = reports.top_articles_by_day(articles, sectors, n=3)
+    assert sorted(rows(by_day.groupBy("report_date").count())) == [
+        (D(2024, 1, 5), 3),
+        (D(2024, 1, 6), 1),
+    ]
+
+
+def test_empty_day_keeps_its_columns(signals, articles, tickers, sectors):
+    got = daily_report(signals, articles, tickers, sectors, "2030-01-01")
+    assert got.kpis.first().n_tickers == 0
+    assert got.kpis.first().sentiment_sign == "unknown"
+    assert got.summary.isEmpty() and got.detail.isEmpty() and got.top_articles.isEmpty()
+
+
+def test_recent_signals_order(spark, signals, tickers, sectors):
+    undated = signals.unionByName(
+        signals.limit(1).withColumns(
+            {"ticker_article_id": F.lit("9"), "created_at": F.lit(None).cast("timestamp_ntz")}
+        )
+    )
+    view = reports.signals_view(undated, tickers, sectors)
+    ids = [r.ticker_article_id for r in reports.recent_signals(view, 4).collect()]
+    assert ids == ["9", "5", "2", "1"]
+    assert reports.recent_signals(view, None).count() == 7
+    assert [r.sector_name for r in view.where("stock_ticker = 'X'").collect()] == [None]
+
+
+def test_bounds_and_options(spark, signals, articles, tickers, sectors):
+    assert rows(reports.date_bounds(signals, articles)) == [(D(2024, 1, 4), D(2024, 1, 6))]
+    view = reports.signals_view(signals, tickers, sectors)
+    shown = reports.articles_view(articles, sectors)
+    assert rows(reports.sector_options(view, shown)) == [("health",), ("tech",)]
+    none = view.where("false")
+    assert rows(reports.sector_options(none, shown.where("sector_name = 'tech'"))) == [("tech",)]
+    # Signals without any sector still count as signals.
+    assert rows(reports.sector_options(view.where("stock_ticker = 'X'"), shown)) == []
+    assert rows(reports.options(view, "stock_ticker")) == [("A",), ("B",), ("C",), ("X",)]
+    assert rows(reports.on_day(signals, "created_at", None)) == rows(signals)
+
+
+def test_articles_newest_first(articles, sectors):
+    view = reports.newest_articles(reports.articles_view(articles, sectors))
+    assert [r.sector_article_id for r in view.collect()] == ["7", "3", "1", "2", "5", "6"]

@@ -1,0 +1,245 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewire.constants import VOTE_MODEL_CHARS
+from tapewire.functions import labels
+from tapewire.operators import scoring, signals, votes
+from tapewire.plans import sector_articles, ticker_signal
+from tests import models
+from tests.conftest import rows
+
+D = dt.date
+LEXICON = scoring.LexiconScorer(positive=("good", "up"), negative=("bad",))
+MODEL = scoring.ModelScorer(models.keyword_model)
+
+
+def score(spark, text, scorer=LEXICON):
+    df = spark.createDataFrame([(text,)], "t string")
+    return rows(df.select(scorer(F.col("t")).alias("s")).select("s.*"))[0]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Good, UP; bad.", ("positive", 1 / 3)),
+        ("bad bad good", ("negative", 1 / 3)),
+        ("goodness upset badly", ("neutral", 0.0)),
+        ("good bad", ("neutral", 0.0)),
+        ("", ("neutral", 0.0)),
+    ],
+)
+def test_lexicon_counts_whole_words(spark, text, expected):
+    label, confidence = score(spark, text)
+    assert label == expected[0]
+    assert confidence == pytest.approx(expected[1])
+
+
+def test_lexicon_reads_the_whole_text(spark):
+    long_text = "x " * 50_000 + "good"
+    assert score(spark, long_text)[0] == "positive"
+    clipped = scoring.LexiconScorer(("good",), ("bad",), max_chars=VOTE_MODEL_CHARS)
+    assert score(spark, long_text, clipped)[0] == "neutral"
+
+
+def test_default_lexicon_is_usable(spark):
+    assert score(spark, "Shares surge on record profit", scoring.LexiconScorer())[0] == "positive"
+    assert score(spark, "Lawsuit deepens losses", scoring.LexiconScorer())[0] == "negative"
+
+
+@pytest.mark.parametrize(
+    ("label", "confidence", "expected"),
+    [
+        ("positive", 0.92004, 0.92),
+        ("negative", 0.78, -0.78),
+        ("neutral", 0.99, 0.0),
+        (None, None, 0.0),
+        ("positive", float("nan"), 0.0),
+    ],
+)
+def test_impact_of_a_label(spark, label, confidence, expected):
+    df = spark.createDataFrame([(label, confidence)], "l string, c double")
+    assert df.select(labels.impact("l", "c")).first()[0] == pytest.approx(expected)
+
+
+def articles(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "title string, content string")
+
+
+@pytest.mark.parametrize("scorer", [LEXICON, MODEL])
+def test_impact_of_articles(spark, scorer):
+    df = articles(spark, ("good", None), (None, "bad"), ("", " \t "), (None, None), ("so", "so"))
+    got = scoring.with_impact(df, scorer).select("impact_score").collect()
+    signs = [(r[0] > 0) - (r[0] < 0) for r in got]
+    assert sorted(signs) == [-1, 0, 0, 0, 1]
+
+
+def test_model_errors_touch_only_their_own_text(spark):
+    df = articles(spark, ("t", "good"), ("t", "boom"), ("t", "bad"), ("t", "good"))
+    got = scoring.with_impact(df.coalesce(1), MODEL).groupBy("content").agg(F.max("impact_score"))
+    assert dict(rows(got)) == {"good": 0.92, "boom": 0.0, "bad": -0.78}
+    votes_ = dict(rows(scoring.with_labels(df, MODEL).select("content", "label").distinct()))
+    assert votes_ == {"good": "positive", "boom": None, "bad": "negative"}
+
+
+def test_score_batch_of_all_failures():
+    model = models.keyword_model()
+    assert scoring.score_batch(model, ["boom", "boom"]) == [(None, None), (None, None)]
+    assert scoring.score_batch(model, []) == []
+    assert scoring.score_batch(model, [None, "good"]) == [(None, None), ("positive", 0.92004)]
+    # A model that returns too few results is an error too.
+    assert scoring.score_batch(lambda texts: [], ["a"]) == [(None, None)]
+
+
+def test_model_reads_up_to_its_limit(spark):
+    scorer = scoring.ModelScorer(models.length_model, max_chars=2000)
+    df = articles(spark, ("", "x" * 4999))
+    assert scoring.with_impact(df, scorer).first()["impact_score"] == 0.2
+
+
+def test_model_scores_each_text_once(spark, tmp_path):
+    scorer = scoring.ModelScorer(models.load_counter(str(tmp_path)))
+    df = spark.range(0, 300, 1, 6).select(
+        F.lit("A").alias("ticker"),
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 10)).alias("content"),
+    )
+    labelled = scoring.with_labels(df, scorer).collect()
+    assert len(labelled) == 300
+    assert {r.label for r in labelled} == {"positive"}
+    assert len(os.listdir(tmp_path)) == 11
+    narrow = scoring.text_labels(df, scorer, ["ticker"])
+    assert narrow.columns == ["ticker", "text_key", "label"]
+    assert narrow.count() == 11
+
+
+def labelled(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "ticker string, label string")
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [
+        (["positive", "positive", "negative"], "positive"),
+        (["positive", "negative", "negative"], "negative"),
+        (["positive", "negative"], "positive"),
+        ([None, None], "positive"),
+        (["neutral", "neutral"], "positive"),
+        (["neutral", "neutral", "negative"], "negative"),
+    ],
+)
+def test_majority(spark, given, expected):
+    df = labelled(spark, *[("A", g) for g in given])
+    got = votes.majority_vote(df).first()
+    assert got.sentiment == expected
+    assert got.n_articles == len(given)
+    assert got.n_valid == sum(g in ("positive", "negative") for g in given)
+
+
+def test_vote_needs_a_ticker_column(spark):
+    df = spark.createDataFrame([("A", "negative")], "topic string, label string")
+    assert votes.majority_vote(df).first().sentiment == "negative"
+    with pytest.raises(ValueError, match="ticker"):
+        votes.majority_vote(df.withColumnRenamed("topic", "asset"))
+
+
+@pytest.mark.parametrize("content", ["", " ", "\t\n", " ", "nan", " None ", "NULL", None])
+def test_text_without_content_does_not_vote(spark, content):
+    df = spark.createDataFrame([("A", content)], "ticker string, content string")
+    always = scoring.LexiconScorer(("nan", "none", "null"), ())
+    assert scoring.with_labels(df, always).first().label is None
+
+
+def news(spark, *values):
+    return spark.createDataFrame(list(values), "ticker string, content string, date_published string")
+
+
+def prices(spark, *values):
+    return spark.createDataFrame(list(values), "symbol string, date date, open double, close double")
+
+
+def test_signals_over_report_dates(spark):
+    raw = news(
+        spark,
+        ("a ", "good", "2024-01-03"),
+        ("A", "good", "2024-01-04T10:00:00Z"),
+        ("A", "bad one", "2024-01-04"),
+        ("A", "bad two", "2024-01-04"),
+        ("B", "bad", "2024-01-04"),
+        ("C", " ", "2024-01-04"),
+        ("D", "good", "n/a"),
+    )
+    quoted = prices(
+        spark,
+        ("A", D(2024, 1, 3), 1.0, 2.0),
+        ("A", D(2024, 1, 4), 2.0, 1.0),
+        ("A", D(2024, 1, 5), 1.0, 2.0),
+        ("B", D(2024, 1, 4), 1.0, None),
+    )
+    got = ticker_signal.matched_votes(raw, quoted, LEXICON).orderBy("ticker", "report_date")
+    seen = got.select(
+        "ticker", "report_date", "n_articles", "sentiment_from_yesterday", "match", "has_price"
+    )
+    assert rows(seen) == [
+        ("A", D(2024, 1, 4), 1, True, True, True),
+        # One copy of the repeated text votes on the fifth.
+        ("A", D(2024, 1, 5), 3, False, True, True),
+        ("A", D(2024, 1, 6), 3, False, False, True),
+        # A price row without a close counts as a negative trend, no row as no match.
+        ("B", D(2024, 1, 5), 1, False, True, True),
+        ("B", D(2024, 1, 6), 1, False, False, False),
+        ("C", D(2024, 1, 5), 1, True, False, False),
+        ("C", D(2024, 1, 6), 1, True, False, False),
+    ]
+
+
+@pytest.mark.parametrize("scorer", [LEXICON, MODEL])
+def test_signals_of_landed_runs(spark, scorer):
+    raw = news(spark, ("A", "bad", "2020-01-01"), ("A", "bad", None)).withColumn(
+        "run_date", F.lit("2024-01-08").cast("date")
+    )
+    quoted = prices(spark, ("A", D(2024, 1, 5), 2.0, 1.0))
+    got = ticker_signal.ticker_signals(raw, quoted, scorer, "run_date")
+    assert got.columns == signals.SIGNAL_COLUMNS
+    row = got.first()
+    assert (row.ticker_id, row.sentiment_from_yesterday, row.match) == ("A", False, True)
+    assert row.price_change_in_percentage == -50.0
+    assert row.created_at == dt.datetime(2024, 1, 8)
+    assert got.count() == 1
+
+
+def test_model_and_lexicon_share_the_signal_plan(spark):
+    raw = news(
+        spark,
+        *[("ABC"[i % 3], ["good", "bad", "so so"][i % 7 % 3] + str(i % 4), f"2024-01-{1 + i % 9:02d}") for i in range(90)],
+    )
+    quoted = prices(spark, *[(s, D(2024, 1, d), 1.0, 1.0 + (d % 3 - 1) / 10) for s in "ABC" for d in range(1, 12)])
+    by_words = scoring.LexiconScorer(("good",), ("bad",))
+    # The stand-in model finds the words inside others, so the texts separate them.
+    spaced = raw.withColumn("content", F.regexp_replace("content", "([0-9])", " $1"))
+    a = ticker_signal.ticker_signals(spaced, quoted, by_words)
+    b = ticker_signal.ticker_signals(spaced, quoted, MODEL)
+    assert a.count() > 0
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_article_table_columns_and_source(spark):
+    clean = spark.createDataFrame(
+        [
+            (1, "good", "text", D(2024, 1, 1), "https://News.Example.com/a", None, None, "2024-01-02"),
+            (1, "t", "c", None, "", None, None, "2024-01-02"),
+            (1, None, "c", None, "u", None, None, "2024-01-02"),
+        ],
+        "sector_id int, title string, content string, date_published date, source_url string, "
+        "author string, source_id string, run_date string",
+    ).withColumn("source_name", F.lit("legacy"))
+    scored = sector_articles.score_articles(clean, LEXICON, "run_date")
+    assert scored.columns == ["run_date", *sector_articles.FINAL_COLUMNS]
+    got = {r.source_url: (r.source_id, r.impact_score) for r in scored.collect()}
+    assert got == {"https://News.Example.com/a": ("news.example.com", 1.0), "": (None, 0.0)}
+    table = sector_articles.as_sector_articles(scored, "run_date")
+    assert {r.created_at for r in table.collect()} == {dt.datetime(2024, 1, 2)}
+    stats = scoring.impact_stats(scored).first()
+    assert (stats.min_impact, stats.max_impact, stats.avg_impact) == (0.0, 1.0, 0.5)
