@@ -32,14 +32,16 @@ def read_landing(
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, files: str = "*.csv"
+) -> DataFrame:
     """CSV with a header in any letter case and column order; text that does not fit its
     type becomes null. Nothing is inferred."""
-    text = spark.read.option("header", "true").option("multiLine", "true").csv(path)
-    return align(lower_columns(text), schema)
+    reader = spark.read.option("header", "true").option("pathGlobFilter", files)
+    return align(lower_columns(reader.csv(path)), schema)
 
 
 def has_files(spark: SparkSession, path: str, suffix: str) -> bool:

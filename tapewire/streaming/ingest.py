@@ -22,9 +22,10 @@ def load_new_sector_articles(
     landing: str,
     table: str,
     scorer: Scorer,
+    name: str,
     checkpoint_default: str | None = None,
 ) -> StreamingQuery:
-    """Load what has landed since the last call, then stop.
+    """Load what has landed since the last call of this name, then stop.
 
     A batch that is replayed after a failure inserts nothing twice, since the merge skips
     the addresses that are already there.
@@ -53,7 +54,7 @@ def load_new_sector_articles(
     root = checkpoint_root(spark, checkpoint_default)
     return (
         landed.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{root}/sector_article_load")
+        .option("checkpointLocation", f"{root}/{name}")
         .trigger(availableNow=True)
         .start()
     )

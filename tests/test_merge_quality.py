@@ -16,39 +16,37 @@ def table(spark, *values):
 
 
 def batch(spark, *values):
-    return spark.createDataFrame(list(values), "k string, v int, arrival int")
+    return spark.createDataFrame(list(values), "k string, v int")
 
 
 def merge(target, incoming, mode):
-    ready = incoming.drop("arrival")
-    # Arrival decides within a key; it is carried in the value's order here.
-    return upsert(target, ready, ["k"], [F.col("v").desc()], mode)
+    return upsert(target, incoming, ["k"], [F.col("v").desc()], mode)
 
 
 def test_insert_only(spark):
     target = table(spark, ("a", 1, "x"))
-    incoming = batch(spark, (" a ", 9, 0), ("b", 2, 1), ("b", 3, 2), (None, 4, 3))
+    incoming = batch(spark, (" a ", 9), ("b", 2), ("b", 3), (None, 4))
     got = rows(merge(target, incoming, "nothing").orderBy("k"))
     assert got == [("a", 1, "x"), ("b", 3, None)]
 
 
 def test_update_keeps_columns_that_the_batch_lacks(spark):
     target = table(spark, ("a", 1, "x"), ("c", 5, "y"))
-    incoming = batch(spark, (" a ", 9, 0), ("b", 2, 1), ("b", 3, 2))
+    incoming = batch(spark, (" a ", 9), ("b", 2), ("b", 3))
     got = rows(merge(target, incoming, "update").orderBy("k"))
     assert got == [("a", 9, "x"), ("b", 3, None), ("c", 5, "y")]
 
 
 def test_update_writes_nulls(spark):
     target = table(spark, ("a", 1, "x"))
-    got = rows(merge(target, batch(spark, ("a", None, 0)), "update"))
+    got = rows(merge(target, batch(spark, ("a", None)), "update"))
     assert got == [("a", None, "x")]
 
 
 @pytest.mark.parametrize("mode", ["nothing", "update"])
 def test_merging_twice_is_merging_once(spark, mode):
     target = table(spark, ("a", 1, "x"), ("z", 2, "y"))
-    incoming = batch(spark, ("a", 9, 0), ("b", 2, 1), ("b", 3, 2))
+    incoming = batch(spark, ("a", 9), ("b", 2), ("b", 3))
     once = merge(target, incoming, mode)
     twice = merge(once, incoming, mode)
     assert sorted(rows(once)) == sorted(rows(twice))
