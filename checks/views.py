@@ -8,11 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Columns of the given tables that the views read.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
 # The numbers 0 to 3 as rows beside each input row.
 FOUR = {"spark": "explode(array(0, 1, 2, 3))", "duckdb": "unnest([0, 1, 2, 3])"}
 
 # The publish day of a document; with 25 tickers every ticker meets every day.
 _DOC_DAY = "cast(1 + cast(floor(d.doc_id / 25) as bigint) % 30 as int)"
+_NEWLINE = chr(10)
 _DOC_ISO = f"'2024-01-' || lpad(cast({_DOC_DAY} as string), 2, '0')"
 _PAGE_DAY = "cast(1 + page_id % 30 as int)"
 _PAGE_ISO = f"'2024-01-' || lpad(cast({_PAGE_DAY} as string), 2, '0')"
@@ -57,7 +68,7 @@ select d.doc_id,
   case when d.doc_id % 11 = 0 then null when d.doc_id % 17 = 0 then ''
        when d.doc_id % 37 = 0 then '  ' when d.doc_id % 41 = 0 then ' NaN '
        else d.text end content,
-  split_part(d.text, chr(10), 1) title,
+  regexp_extract(d.text, '^[^{_NEWLINE}]*', 0) title,
   case when d.doc_id % 19 = 0 then 'n/a' when d.doc_id % 5 = 0 then {_DOC_ISO}
        else {_DOC_ISO} || 'T14:00:00Z' end date_published,
   'https://' || d.source || '.example.com/' || cast(d.doc_id as string) source_url,
@@ -134,7 +145,7 @@ from {events}""",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,30 +40,33 @@ class LexiconScorer:
 
     expensive = False
 
+    def __post_init__(self) -> None:
+        both = set(self.positive) & set(self.negative)
+        if both:
+            raise ValueError(f"words listed as positive and as negative: {sorted(both)}")
+
     def __call__(self, content: Column) -> Column:
-        plus, minus = list(self.positive), list(self.negative)
-        words = F.split(F.lower(text.clip(content, self.max_chars)), "[^a-z]+")
-        hits = F.filter(words, lambda w: w.isin(plus + minus))
-        return F.aggregate(
+        plus, listed = list(self.positive), [*self.positive, *self.negative]
+        words = F.split(F.lower(text.clip(content, self.max_chars)), "[^a-z]++")
+        hits = F.filter(words, lambda w: w.isin(listed))
+        counts = _bind(
             hits,
-            F.struct(F.lit(0).alias("p"), F.lit(0).alias("n")),
-            lambda acc, w: F.struct(
-                (acc["p"] + w.isin(plus).cast("int")).alias("p"),
-                (acc["n"] + w.isin(minus).cast("int")).alias("n"),
-            ),
-            lambda acc: F.struct(
-                F.when(acc["p"] > acc["n"], "positive")
-                .when(acc["p"] < acc["n"], "negative")
-                .otherwise("neutral")
-                .alias("label"),
-                F.coalesce(
-                    F.try_divide(
-                        F.abs(acc["p"] - acc["n"]).cast("double"), acc["p"] + acc["n"]
-                    ),
-                    F.lit(0.0),
-                ).alias("confidence"),
+            lambda h: F.struct(
+                F.size(h).alias("all"), F.size(F.filter(h, lambda w: w.isin(plus))).alias("plus")
             ),
         )
+        return _bind(counts, lambda c: _verdict(c["plus"], c["all"] - c["plus"]))
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _verdict(plus: Column, minus: Column) -> Column:
+    label = F.when(plus > minus, "positive").when(plus < minus, "negative").otherwise("neutral")
+    share = F.try_divide(F.abs(plus - minus).cast("double"), plus + minus)
+    return F.struct(label.alias("label"), F.coalesce(share, F.lit(0.0)).alias("confidence"))
 
 
 @functools.lru_cache(maxsize=4)

@@ -49,7 +49,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str, fmt: str = "p
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
     """Write one table; an empty one keeps its schema in Parquet. CSV gets a header."""
-    return _save(lambda rows: rows.write.mode(mode).option("header", "true"), df, path, fmt)
+    options = {"header": True, "escape": '"'} if fmt == "csv" else {}
+    return _save(lambda rows: rows.write.mode(mode).options(**options), df, path, fmt)
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -39,8 +39,11 @@ def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, files: str = "*.csv"
 ) -> DataFrame:
     """CSV with a header in any letter case and column order; text that does not fit its
-    type becomes null. Nothing is inferred."""
-    reader = spark.read.option("header", "true").option("pathGlobFilter", files)
+    type becomes null. Nothing is inferred.
+
+    Quoted fields may hold line breaks and doubled quotes, as article texts do.
+    """
+    reader = spark.read.options(header=True, multiLine=True, escape='"', pathGlobFilter=files)
     return align(lower_columns(reader.csv(path)), schema)
 
 

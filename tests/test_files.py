@@ -81,6 +81,9 @@ def test_csv_export_and_import(spark, tmp_path):
     path = str(tmp_path / "out")
     assert writers.write_table(df, path, "csv") == 1
     assert rows(readers.read_csv(spark, path, schemas.MARKET_OHLC)) == rows(df)
+    text = spark.createDataFrame([(1, 'two\nlines, "quoted"')], schemas.SECTORS)
+    assert writers.write_table(text, path, "csv") == 1
+    assert rows(readers.read_csv(spark, path, schemas.SECTORS)) == rows(text)
 
 
 def test_csv_header_in_any_case_and_order(spark, tmp_path):

@@ -44,6 +44,11 @@ def test_lexicon_reads_the_whole_text(spark):
     assert score(spark, long_text, clipped)[0] == "neutral"
 
 
+def test_lexicon_lists_must_not_overlap():
+    with pytest.raises(ValueError, match="up"):
+        scoring.LexiconScorer(("up", "good"), ("bad", "up"))
+
+
 def test_default_lexicon_is_usable(spark):
     assert score(spark, "Shares surge on record profit", scoring.LexiconScorer())[0] == "positive"
     assert score(spark, "Lawsuit deepens losses", scoring.LexiconScorer())[0] == "negative"
