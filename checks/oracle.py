@@ -374,7 +374,7 @@ add(
     [],
     """
 select symbol, date, open, high, low, close from market_ohlc
-where symbol in (select ticker_id from tickers where sector_id <= 3)""",
+where symbol in (select ticker_id from tickers)""",
 )
 
 # Sources

@@ -255,8 +255,7 @@ def latest_quote(spark, sf):
 
 @query
 def quotes_for_universe(spark, sf):
-    listed = view(spark, sf, "tickers").where(F.col("sector_id") <= 3)
-    return quotes.for_universe(view(spark, sf, "market_ohlc"), listed)
+    return quotes.for_universe(view(spark, sf, "market_ohlc"), view(spark, sf, "tickers"))
 
 
 # Sources

@@ -52,7 +52,8 @@ select symbol, date,
   high, low,
   case when (length(symbol) + day(date)) % 13 = 0 then null else close end as close
 from (
-  select 'NATION_' || cast(user_id % 25 as string) symbol, cast(ts as date) date,
+  select case when event_id % 97 = 0 then 'UNLISTED'
+      else 'NATION_' || cast(user_id % 25 as string) end symbol, cast(ts as date) date,
     min_by(value, event_id) open, max(value) high, min(value) low,
     max_by(value, event_id) as close
   from {events} group by 1, 2) q""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,36 +38,60 @@ def violations(
     required: dict[str, list[str]],
     foreign_keys: Sequence[tuple[str, str, str, str]],
 ) -> DataFrame:
-    """Every broken constraint of a set of tables as (check, table_name, columns, n_rows)."""
-    reports = []
+    """Every broken constraint of a set of tables as (check, table_name, columns, n_rows).
 
-    def report(df: DataFrame, check: str, table: str, columns: str) -> None:
-        reports.append(
-            df.select(
-                F.lit(check).alias("check"),
-                F.lit(table).alias("table_name"),
-                F.lit(columns).alias("columns"),
-                F.col("n_rows").cast("long").alias("n_rows"),
-            ).where(F.col("n_rows") > 0)
-        )
-
-    total = F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")
+    A key that is also required is checked for both in one pass over its column.
+    """
+    reports = []
     for table, df in tables.items():
-        for keys in unique_keys.get(table, []):
-            report(duplicate_keys(df, keys).agg(total), "unique", table, ",".join(keys))
+        keys_of_table = unique_keys.get(table, [])
+        reports += [_key_report(df, table, keys) for keys in keys_of_table]
+        covered = [keys[0] for keys in keys_of_table if len(keys) == 1]
         for name in required.get(table, []):
-            nulls = df.agg(F.count_if(F.col(name).isNull()).alias("n_rows"))
-            report(nulls, "not_null", table, name)
+            if name not in covered:
+                nulls = df.agg(F.count_if(F.col(name).isNull()).alias("n"))
+                reports.append(nulls.select(*_finding("not_null", table, name, F.col("n"))))
     for child, fk, parent, pk in foreign_keys:
         if child in tables and parent in tables:
-            lost = orphans(tables[child], fk, tables[parent], pk).agg(total)
-            report(lost, "foreign_key", child, fk)
+            lost = orphans(tables[child], fk, tables[parent], pk).agg(F.sum("n_rows").alias("n"))
+            reports.append(lost.select(*_finding("foreign_key", child, fk, F.col("n"))))
     if not reports:
         raise ValueError("no constraint applies to the given tables")
     out = reports[0]
     for other in reports[1:]:
         out = out.unionByName(other)
-    return out
+    wanted = F.array(
+        *[F.lit(f"{table}.{name}") for table, names in required.items() for name in names]
+    )
+    is_required = F.array_contains(wanted, F.concat_ws(".", "table_name", "columns"))
+    return out.where((F.col("n_rows") > 0) & ((F.col("check") != "not_null") | is_required))
+
+
+def _finding(check: str, table: str, columns: str, n: Column) -> list[Column]:
+    return [
+        F.lit(check).alias("check"),
+        F.lit(table).alias("table_name"),
+        F.lit(columns).alias("columns"),
+        F.coalesce(n.cast("long"), F.lit(0).cast("long")).alias("n_rows"),
+    ]
+
+
+def _key_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """Rows with a repeated key, and rows without one."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    totals = counted.agg(
+        F.sum(F.when(~missing & (F.col("_n") > 1), F.col("_n"))).alias("repeated"),
+        F.sum(F.when(missing, F.col("_n"))).alias("missing"),
+    )
+    columns = ",".join(keys)
+    findings = F.array(
+        F.struct(*_finding("unique", table, columns, F.col("repeated"))),
+        F.struct(*_finding("not_null", table, columns, F.col("missing"))),
+    )
+    return totals.select(F.inline(findings))
 
 
 def article_counters(raw: DataFrame, cleaned: DataFrame, missing: str) -> DataFrame:

@@ -51,10 +51,6 @@ def create_warehouse(
     writers.insert_new(spark, f"{root}/tickers", schemas.TICKERS, tickers, ["ticker_id"], by_id)
 
 
-def run_date_frame(df: DataFrame, run_date: str | dt.date) -> DataFrame:
-    return df.withColumn("run_date", dates.date_lit(run_date))
-
-
 def run_day(
     spark: SparkSession,
     landing: str,
@@ -85,16 +81,20 @@ def run_day(
     )
 
     of_day = F.col("run_date") == dates.date_lit(run_date)
-    ticker_news = spark.read.parquet(f"{curated}/ticker_clean").where(of_day)
+    ticker_news = read_parquet(
+        spark, f"{curated}/ticker_clean", schemas.with_run_date(schemas.TICKER_CLEAN)
+    ).where(of_day)
     signals = ticker_signals(ticker_news, clean_quotes(quotes, "run_date"), vote_scorer, "run_date")
     signals = signals.withColumnRenamed("id", "ticker_article_id")
     rows["ticker_article"] = writers.write_partitioned(
-        run_date_frame(align(signals, schemas.TICKER_ARTICLE), run_date),
+        align(signals, schemas.TICKER_ARTICLE).withColumn("run_date", dates.date_lit(run_date)),
         f"{warehouse}/ticker_article",
         "run_date",
     )
 
-    sector_news = spark.read.parquet(f"{curated}/sector_clean").where(of_day)
+    sector_news = read_parquet(
+        spark, f"{curated}/sector_clean", schemas.with_run_date(schemas.SECTOR_CLEAN)
+    ).where(of_day)
     sources = rate_article_sources(sector_news, probe, run_date)
     by_source = [F.col("last_verified").asc()]
     # Sources go in before the articles that refer to them.

@@ -67,6 +67,13 @@ SECTOR_CLEAN = _struct(
     source_id=STR,
 )
 
+
+
+def with_run_date(schema: T.StructType) -> T.StructType:
+    """A table that is partitioned by run date."""
+    return T.StructType([*schema.fields, T.StructField("run_date", DATE, True)])
+
+
 # Warehouse tables. Surrogate ids are content-derived strings (see functions.ids),
 # so that re-running a day yields the same ids on any cluster.
 SECTORS = _struct(sector_id=INT, sector_name=STR)

@@ -103,6 +103,19 @@ def test_a_day_without_prices_stops(spark, tmp_path, probe):
         )
 
 
+def test_a_day_without_news_writes_empty_tables(spark, tmp_path, probe):
+    land_day(tmp_path / "landing", "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
+    for kind in ("ticker", "sector"):
+        (tmp_path / f"landing/news/{kind}/date=2024-01-08/part.jsonl").write_text("")
+    warehouse = str(tmp_path / "w")
+    create_warehouse(spark, warehouse)
+    got = run_day(
+        spark, str(tmp_path / "landing"), str(tmp_path / "c"), warehouse, probe, "2024-01-08",
+        SCORER, SCORER,
+    )
+    assert set(got.values()) == {0}
+
+
 def test_incremental_load_skips_what_is_there(spark, tmp_path):
     landing, table = tmp_path / "sector", str(tmp_path / "articles")
     name = f"test_load_{uuid.uuid4().hex}"
