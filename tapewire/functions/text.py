@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace as Python's ``str.strip`` sees it: Unicode spaces and the ASCII separators.
+# The characters that Python's ``str.strip`` removes.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# The same as a regular expression, with (?U) in front.
 _SPACE = r"[\s\x1c-\x1f]"
 _BLANK = rf"(?U)\A{_SPACE}*\z"
 _NO_TEXT = rf"(?iU)\A{_SPACE}*(?:nan|none|null)?{_SPACE}*\z"
@@ -14,6 +20,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column | str) -> Column:
+    """Without whitespace of any kind at the ends; Spark's plain trim removes spaces only."""
+    return F.trim(col(c), F.lit(WHITESPACE))
+
+
 def normalise_ticker(c: Column | str) -> Column:
     return F.upper(F.trim(col(c)))
 

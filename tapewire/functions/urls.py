@@ -7,9 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from tapewire.constants import COMPOUND_SUFFIXES
-from tapewire.functions.text import col
+from tapewire.functions.text import col, strip
 
-_SPACES = " \t\n\r\x0b\x0c"
 _AUTHORITY = r"^https?://(?:[^/?#]*@)?(\[[^\]]*\]|[^/:?#]+)"
 _IPV4 = r"^\d{1,3}(\.\d{1,3}){3}$"
 _DOMAIN = r"^([a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?\.)+([a-z]{2,63}|xn--[a-z0-9-]{1,59})$"
@@ -21,8 +20,10 @@ def host(url: Column | str) -> Column:
     A regular expression rather than ``try_parse_url``, which gives up on hosts with
     underscores or spaces.
     """
-    text = F.trim(col(url), F.lit(_SPACES))
-    full = F.when(text.rlike("^https?://"), text).otherwise(F.concat(F.lit("https://"), text))
+    address = strip(url)
+    full = F.when(address.rlike("^https?://"), address).otherwise(
+        F.concat(F.lit("https://"), address)
+    )
     return F.coalesce(F.lower(F.regexp_extract(full, _AUTHORITY, 1)), F.lit(""))
 
 

@@ -14,7 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tapewire.constants import FINANCE_NEGATIVE, FINANCE_POSITIVE
+from tapewire.constants import (
+    FINANCE_NEGATIVE,
+    FINANCE_POSITIVE,
+    IMPACT_MODEL_CHARS,
+    VOTE_MODEL_CHARS,
+)
 from tapewire.functions import labels, text
 from tapewire.functions.ids import text_key
 
@@ -69,7 +74,7 @@ def _verdict(plus: Column, minus: Column) -> Column:
     return F.struct(label.alias("label"), F.coalesce(share, F.lit(0.0)).alias("confidence"))
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)
 def _loaded(load: Callable[[], Model]) -> Model:
     """One model per Python worker process, kept across tasks."""
     return load()
@@ -81,12 +86,14 @@ class ModelScorer:
 
     ``load`` returns the model and must be a module-level function, so that a worker
     recognises it and loads once. The model takes a list of texts and returns one
-    (label, confidence) pair each. ``max_chars`` is the model's own input limit. A text
-    that fails gets a null label and does not disturb its neighbours.
+    (label, confidence) pair each. ``max_chars`` is the model's own input limit, counted
+    after surrounding whitespace is removed if ``strip`` is set. A text that fails gets a
+    null label and does not disturb its neighbours.
     """
 
     load: Callable[[], Model]
     max_chars: int | None = None
+    strip: bool = False
     batch_size: int = 64
 
     expensive = True
@@ -107,7 +114,18 @@ class ModelScorer:
 
         # Not deterministic in Spark's sense: a filter on the label must not be pushed
         # below the projection, where it would run the model a second time.
-        return score.asNondeterministic()(text.clip(content, self.max_chars))
+        body = text.strip(content) if self.strip else content
+        return score.asNondeterministic()(text.clip(body, self.max_chars))
+
+
+def vote_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
+    """A model for the vote, reading what the vote's texts are cut to."""
+    return ModelScorer(load, VOTE_MODEL_CHARS, strip=True, batch_size=batch_size)
+
+
+def impact_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
+    """A model for the impact score, reading what title and content together are cut to."""
+    return ModelScorer(load, IMPACT_MODEL_CHARS, batch_size=batch_size)
 
 
 def score_batch(model: Model, texts: list[str]) -> list[tuple[str | None, float | None]]:
@@ -180,7 +198,8 @@ def text_labels(
 
 def with_labels(news: DataFrame, scorer: Scorer, content: str = "content") -> DataFrame:
     """Add ``label`` for the vote; null for text that is blank, missing or failed to score."""
-    scored = score_texts(news, F.col(content), scorer, text.has_scorable_text(content))
+    usable = text.has_scorable_text(content)
+    scored = score_texts(news, F.col(content), scorer, usable)
     return scored.withColumn("label", F.lower(F.col("_scored.label"))).drop("_scored")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tapewire.functions import text
 from tapewire.operators.dedupe import first_n
 
 
@@ -14,7 +15,7 @@ def prepare_batch(
 ) -> DataFrame:
     """String keys trimmed, rows with a null key rejected, the first row per key kept."""
     trimmed = {
-        k: F.trim(k) for k in keys if isinstance(batch.schema[k].dataType, T.StringType)
+        k: text.strip(k) for k in keys if isinstance(batch.schema[k].dataType, T.StringType)
     }
     df = batch.withColumns(trimmed) if trimmed else batch
     return first_n(df.dropna(subset=list(keys)), keys, order)

@@ -221,6 +221,14 @@ def test_latest_rows_break_ties_by_id(spark):
     assert {r.id for r in dedupe.latest_per_key(df).collect()} == {2, 4}
 
 
+def test_whitespace_is_what_python_strips(spark):
+    every = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())
+    assert sorted(text.WHITESPACE) == sorted(every)
+    df = spark.createDataFrame([(f"{every}a b{every}",), (every,), (None,)], "c string")
+    got = rows(df.select(text.strip("c"), text.is_blank("c"), text.has_scorable_text("c")))
+    assert got == [("a b", False, True), ("", True, False), (None, True, False)]
+
+
 def test_text_helpers(spark):
     df = spark.createDataFrame([("a & b", "https://x.y/?a='1'"), (None, None)], "t string, u string")
     links = [r[0] for r in df.select(text.article_link("u", "t")).collect()]

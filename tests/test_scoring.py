@@ -99,11 +99,18 @@ def test_score_batch_of_all_failures():
 
 
 def test_model_reads_up_to_its_limit(spark):
-    scorer = scoring.ModelScorer(models.length_model, max_chars=2000)
+    scorer = scoring.impact_model(models.length_model)
     df = articles(spark, ("", "x" * 4999))
     assert scoring.with_impact(df, scorer).first()["impact_score"] == 0.2
 
 
+def test_vote_model_reads_the_stripped_text(spark):
+    scorer = scoring.vote_model(models.first_letter_model)
+    df = spark.createDataFrame([("A", "\u3000\n bad" + "x" * 9000)], "ticker string, content string")
+    assert scoring.with_labels(df, scorer).first().label == "starts with b, 4000 long"
+    assert scoring.text_labels(df, scorer, ["ticker"]).first().label == "starts with b, 4000 long"
+
+
 def test_model_scores_each_text_once(spark, tmp_path):
     scorer = scoring.ModelScorer(models.load_counter(str(tmp_path)))
     df = spark.range(0, 300, 1, 6).select(
