@@ -123,7 +123,8 @@ add(
     [TICKER_ROWS, TICKER_LABELS],
     """
 select ticker, case when count(*) filter (label = 'negative') > count(*) filter (label = 'positive')
-  then 'negative' else 'positive' end sentiment
+  then 'negative' else 'positive' end sentiment, count(*) n_articles,
+  count(*) filter (label in ('positive', 'negative')) n_valid
 from (select distinct ticker, content, label from ticker_labels) t group by ticker""",
 )
 add(

@@ -53,9 +53,10 @@ def ticker_clean(spark, sf):
 
 @query
 def article_vote(spark, sf):
-    clean = news.clean_ticker_news(view(spark, sf, "raw_ticker_news"))
-    labelled = scoring.with_labels(clean, SCORER)
-    return votes.majority_vote(labelled).select("ticker", "sentiment")
+    rows = news.ticker_rows(view(spark, sf, "raw_ticker_news"))
+    labelled = scoring.text_labels(rows, SCORER, ["ticker"])
+    voted = votes.majority_vote(votes.distinct_texts(labelled, ["ticker"]))
+    return voted.select("ticker", "sentiment", "n_articles", "n_valid")
 
 
 @query
@@ -176,7 +177,7 @@ def union_feeds(spark, sf):
 
 
 def payload_table(spark, sf) -> DataFrame:
-    """Responses of at most 20 articles; some failed and some empty."""
+    """Responses of at most 20 articles, by page id; some failed and some empty."""
     article = F.struct(
         "position",
         F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name")).alias(

@@ -51,6 +51,10 @@ def create_warehouse(
     writers.insert_new(spark, f"{root}/tickers", schemas.TICKERS, tickers, ["ticker_id"], by_id)
 
 
+def write_day(df: DataFrame, path: str) -> int:
+    return writers.write_partitioned(df, path, "run_date", spread=False)
+
+
 def run_day(
     spark: SparkSession,
     landing: str,
@@ -73,11 +77,11 @@ def run_day(
     require_non_empty(quotes, f"market landing of {run_date}")
     raw_ticker = read_landing(spark, f"{landing}/news/ticker", schemas.RAW_TICKER_NEWS, days)
     raw_sector = read_landing(spark, f"{landing}/news/sector", schemas.RAW_SECTOR_NEWS, days)
-    rows["ticker_clean"] = writers.write_partitioned(
-        clean_ticker_news(raw_ticker, "run_date"), f"{curated}/ticker_clean", "run_date"
+    rows["ticker_clean"] = write_day(
+        clean_ticker_news(raw_ticker, "run_date"), f"{curated}/ticker_clean"
     )
-    rows["sector_clean"] = writers.write_partitioned(
-        clean_sector_news(raw_sector, "run_date"), f"{curated}/sector_clean", "run_date"
+    rows["sector_clean"] = write_day(
+        clean_sector_news(raw_sector, "run_date"), f"{curated}/sector_clean"
     )
 
     of_day = F.col("run_date") == dates.date_lit(run_date)
@@ -86,10 +90,9 @@ def run_day(
     ).where(of_day)
     signals = ticker_signals(ticker_news, clean_quotes(quotes, "run_date"), vote_scorer, "run_date")
     signals = signals.withColumnRenamed("id", "ticker_article_id")
-    rows["ticker_article"] = writers.write_partitioned(
+    rows["ticker_article"] = write_day(
         align(signals, schemas.TICKER_ARTICLE).withColumn("run_date", dates.date_lit(run_date)),
         f"{warehouse}/ticker_article",
-        "run_date",
     )
 
     sector_news = read_parquet(

@@ -28,13 +28,16 @@ def _save(writer_of, df: DataFrame, path: str, fmt: str) -> int:
     return seen.get["rows"]
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: str, fmt: str = "parquet") -> int:
+def write_partitioned(
+    df: DataFrame, path: str, partition_by: str, fmt: str = "parquet", spread: bool = True
+) -> int:
     """Replace the partitions that occur in ``df`` and leave all others alone.
 
-    Running a day again therefore replaces that day. Rows are rebalanced by partition
-    value: small days share a task, and a day with most of the rows is split over many.
+    Running a day again therefore replaces that day. ``spread`` rebalances the rows by
+    partition value first: small days share a task, and a day with most of the rows is split
+    over many. Rows of one single day need no such shuffle; their tasks write side by side.
     """
-    spread = df.hint("rebalance", F.col(partition_by))
+    ready = spread_by(df, partition_by) if spread else df
 
     def writer(rows: DataFrame) -> DataFrameWriter:
         return (
@@ -44,7 +47,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str, fmt: str = "p
             .partitionBy(partition_by)
         )
 
-    return _save(writer, spread, path, fmt)
+    return _save(writer, ready, path, fmt)
+
+
+def spread_by(df: DataFrame, partition_by: str) -> DataFrame:
+    return df.hint("rebalance", F.col(partition_by))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:

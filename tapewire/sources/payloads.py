@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tapewire import schemas
 
@@ -14,16 +14,12 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     ).drop(payload)
 
 
-def is_usable() -> Column:
-    """The response succeeded and holds at least one article."""
-    return F.coalesce(
-        (F.col("response.status") == "ok") & (F.size("response.articles") > 0), F.lit(False)
-    )
-
-
 def _articles(payloads: DataFrame, payload: str, keep: list[str]) -> DataFrame:
-    usable = parse_payloads(payloads, payload).where(is_usable())
-    return usable.select(*keep, F.posexplode("response.articles").alias("position", "a"))
+    """Exploding no array gives no row, so failed and empty responses drop out without a
+    filter. A filter would be pushed below the parsing and parse every payload again."""
+    articles = F.when(F.col("response.status") == "ok", F.col("response.articles"))
+    parsed = parse_payloads(payloads, payload)
+    return parsed.select(*keep, F.posexplode(articles).alias("position", "a"))
 
 
 def flatten_ticker_payloads(
@@ -61,7 +57,8 @@ def flatten_sector_payloads(
 def payload_outcomes(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """How many responses were used, failed, or came back empty."""
     ok = F.col("response.status") == "ok"
-    outcome = F.when(is_usable(), "used").when(ok, "empty").otherwise("error")
+    some = F.size("response.articles") > 0
+    outcome = F.when(ok & some, "used").when(ok, "empty").otherwise("error")
     return (
         parse_payloads(payloads, payload)
         .groupBy(outcome.alias("outcome"))

@@ -11,6 +11,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxPlanStringLength="2000000",
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

@@ -67,6 +67,23 @@ def test_only_the_written_partitions_are_replaced(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3, 4]
 
 
+def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        rows_ = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 < 2, "2024-01-01")
+            .otherwise(F.concat(F.lit("2024-02-"), F.col("id") % 20 + 10))
+            .alias("date"),
+            F.sha2(F.col("id").cast("string"), 256).alias("body"),
+        )
+        assert writers.write_partitioned(rows_, str(tmp_path / "t"), "date") == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list((tmp_path / "t" / "date=2024-01-01").glob("*.parquet"))) > 4
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
+
+
 def test_empty_tables_keep_their_schema(spark, tmp_path):
     path = str(tmp_path / "empty")
     empty = spark.createDataFrame([], schemas.SOURCES)
@@ -104,7 +121,7 @@ def test_format_dispatch(spark, tmp_path):
     (neither / "x.txt").write_text("x")
     (csv_only / "x.csv").write_text("sector_id,sector_name\n1,from csv\n")
     (both / "x.csv").write_text("sector_id,sector_name\n1,from csv\n")
-    table = spark.createDataFrame([(1, "from parquet")], schemas.SECTORS)
+    table = spark.createDataFrame([(1, "from parquet")], schemas.SECTORS).coalesce(1)
     table.write.mode("append").parquet(str(both))
     table.write.mode("append").parquet(str(both))
 

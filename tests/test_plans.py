@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.registry import QUERIES
 from checks.views import view
 from tapewire.functions import dates
-from tapewire.operators import quality, reports
+from tapewire.operators import quality
 from tapewire.operators.scoring import ModelScorer
 from tapewire.plans import ticker_signal
 from tests import models
@@ -98,15 +98,11 @@ def test_recent_signals_take_the_top_without_a_full_sort(spark, small):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_scorer_runs_once_per_article(spark, small):
-    text = plan(reports.articles_view(scored_articles(spark, small), view(spark, small, "sectors")))
-    assert len(re.findall(r"split\(lower", text)) == 1
-
-
-def scored_articles(spark, small):
-    from checks.registry import article_table
-
-    return article_table(spark, small)
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_scoring_and_parsing_happen_once_per_row(spark, small, name):
+    text = plan(QUERIES[name](spark, small))
+    assert len(re.findall(r"split\(lower", text)) <= 1
+    assert len(re.findall(r"from_json", text)) <= 1
 
 
 def test_ratings_need_no_join(spark, small):
