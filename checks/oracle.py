@@ -412,12 +412,12 @@ from raw_sector_news where source_url is not null""",
 )
 
 
-def features(source: str) -> list[tuple[str, str]]:
+def features(source: str, as_of: str = "date '2024-02-01'") -> list[tuple[str, str]]:
     inst = "regexp_matches(registered, '[.](gov|edu|mil|org|gov[.]sg)$')"
     comm = "regexp_matches(registered, '[.](com|co|net)$')"
     age = (
         "coalesce(greatest(0e0, least(1e0, ln(1 + greatest(0, "
-        "date '2024-02-01' - creation_date)) / ln(9126e0))), 0e0)"
+        f"{as_of} - creation_date)) / ln(9126e0))), 0e0)"
     )
     unread = "(article_text is null or polarity is null or length(article_text) < 300)"
     sites = (
@@ -515,6 +515,30 @@ from raw_sector_news where source_url is not null""",
     ],
     "select source_id, credibility_score, rating, date '2024-02-01' last_verified from rated",
 )
+add(
+    "source_rating_first_run",
+    ["raw_sector_news", "source_probe"],
+    [
+        (
+            "wanted",
+            """
+select lower(regexp_extract(trim(source_url), '^https?://([^/:?#]+)', 1)) source_id,
+  min(run_date) as_of
+from raw_sector_news where source_url is not null group by 1""",
+        ),
+        ("observed", "select * from wanted left join source_probe using (source_id)"),
+        *features("observed", "as_of"),
+        (
+            "rated",
+            """
+select source_id, round(avg(reliability_score), 2) credibility_score, min(as_of) last_verified
+from scores group by source_id""",
+        ),
+    ],
+    f"""
+select source_id, credibility_score, {RATING.format(s='credibility_score')} rating,
+  cast(last_verified as date) last_verified from rated""",
+)
 add(
     "rating_distribution",
     ["source_probe"],

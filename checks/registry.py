@@ -316,6 +316,12 @@ def source_rating(spark, sf):
     return source_reliability.rate_article_sources(articles, probe, AS_OF)
 
 
+@query
+def source_rating_first_run(spark, sf):
+    articles, probe = view(spark, sf, "raw_sector_news"), view(spark, sf, "source_probe")
+    return reliability.rate_from_first_run(articles, probe)
+
+
 @query
 def rating_distribution(spark, sf):
     return reliability.rating_distribution(probe_ratings(spark, sf))

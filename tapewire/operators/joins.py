@@ -1,0 +1,24 @@
+"""Joins that stand hot keys."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+SALTS = 16
+
+
+def join_hot(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """Join with a side that has one row per key, where one key may hold much of the left.
+
+    The left rows of a key are spread over salts by their input partition, and rows with a
+    null key likewise; each right row is there once per salt. The salt only routes rows, so
+    results do not depend on it.
+    """
+    salted = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    joined = salted.join(right.withColumn("_salt", copies), [*keys, "_salt"], how)
+    return joined.drop("_salt")

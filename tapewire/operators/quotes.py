@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,21 +15,27 @@ from tapewire.operators.dedupe import first_n
 PRICES = ["open", "high", "low", "close"]
 
 
-def clean_quotes(raw: DataFrame, run_col: str | None = None) -> DataFrame:
+def clean_quotes(
+    raw: DataFrame, run_col: str | None = None, per_run: bool = False
+) -> DataFrame:
     """One quote per (symbol, date), column names in any letter case, NaN as null.
 
-    Runs on Saturday, Sunday and Monday all land Friday's row; the latest run wins.
+    Runs on Saturday, Sunday and Monday all land Friday's row; the latest run wins, or with
+    ``per_run`` every run keeps its own.
     """
     df = lower_columns(raw)
     runs = [run_col] if run_col else []
     df = align(df, schemas.MARKET_OHLC, runs)
     df = df.withColumns({c: market.nan_to_null(c) for c in PRICES})
     order = [F.col(c).desc_nulls_last() for c in [*runs, *reversed(PRICES)]]
+    if per_run:
+        return first_n(df, [*runs, "symbol", "date"], order)
     return first_n(df, ["symbol", "date"], order).drop(*runs)
 
 
-def price_changes(quotes: DataFrame) -> DataFrame:
+def price_changes(quotes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return quotes.select(
+        *keep,
         "symbol",
         "date",
         market.price_change_pct("open", "close").alias("price_change_in_percentage"),

@@ -21,6 +21,7 @@ from tapewire.constants import (
 )
 from tapewire.functions import dates, urls
 from tapewire.functions.text import col
+from tapewire.operators.joins import join_hot
 
 # Scales of the features.
 MAX_ELAPSED_S = 5
@@ -66,7 +67,7 @@ def summarise_probe(probe: DataFrame) -> DataFrame:
     )
 
 
-def source_features(observed: DataFrame, as_of: str | dt.date) -> DataFrame:
+def source_features(observed: DataFrame, as_of: str | dt.date | Column) -> DataFrame:
     """The eight features of each summarised observation, and its registered domain."""
     df = observed.withColumn("registered", urls.registered_domain("source_id"))
     address = F.concat(F.lit("https://"), F.col("source_id"))
@@ -163,9 +164,34 @@ def rate_known_and_unprobed(
     between the two. It adds up map-side, so a source that holds most of the observations
     is no heavier than the others.
     """
-    empty = sources.select("source_id").distinct().withColumn("_empty", F.lit(True))
-    observed = summarise_probe(probe).unionByName(empty, allowMissingColumns=True)
-    scores = source_scores(source_features(observed, as_of), exact_trust)
+    wanted = sources.select("source_id").distinct()
+    return _rate_with_fallback(summarise_probe(probe), wanted, as_of, exact_trust)
+
+
+def rate_from_first_run(
+    articles: DataFrame,
+    probe: DataFrame,
+    run_col: str = "run_date",
+    url: str = "source_url",
+    exact_trust: bool = False,
+) -> DataFrame:
+    """Ratings of all sources over many runs, each as of the first run that met it.
+
+    This is what an insert-only table holds after rating the sources run by run.
+    """
+    met = articles.select(urls.source_id(url).alias("source_id"), F.col(run_col).alias("as_of"))
+    first = met.where(F.col("source_id").isNotNull()).groupBy("source_id")
+    wanted = first.agg(F.min("as_of").alias("as_of"))
+    observed = join_hot(summarise_probe(probe), wanted, ["source_id"], "inner")
+    return _rate_with_fallback(observed, wanted, F.col("as_of"), exact_trust)
+
+
+def _rate_with_fallback(
+    observed: DataFrame, wanted: DataFrame, as_of: str | dt.date | Column, exact_trust: bool
+) -> DataFrame:
+    empty = wanted.withColumn("_empty", F.lit(True))
+    every = observed.unionByName(empty, allowMissingColumns=True)
+    scores = source_scores(source_features(every, as_of), exact_trust)
     score = F.col("reliability_score")
     mean = F.avg(F.when(F.col("_empty").isNull(), score))
     fallback = F.max(F.when(F.col("_empty"), score))
@@ -174,11 +200,15 @@ def rate_known_and_unprobed(
         .agg(
             F.round(F.coalesce(mean, fallback), 2).alias("credibility_score"),
             fallback.alias("_fallback"),
+            F.max(dates.date_lit(as_of)).alias("last_verified"),
         )
         .where(F.col("_fallback").isNotNull())
-        .drop("_fallback")
-        .withColumn("rating", rating("credibility_score"))
-        .withColumn("last_verified", dates.date_lit(as_of))
+        .select(
+            "source_id",
+            "credibility_score",
+            rating("credibility_score").alias("rating"),
+            "last_verified",
+        )
     )
 
 

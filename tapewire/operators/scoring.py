@@ -22,9 +22,7 @@ from tapewire.constants import (
 )
 from tapewire.functions import labels, text
 from tapewire.functions.ids import text_key
-
-# Spread of the rows of one text when an expensive scorer's results are joined back.
-JOIN_SALTS = 16
+from tapewire.operators.joins import join_hot
 
 Scorer = Callable[[Column], Column]
 Model = Callable[[list[str]], Sequence[tuple[str, float]]]
@@ -152,16 +150,14 @@ def score_texts(
     """Add the scorer's struct, null where the text is not usable.
 
     A cheap scorer is a plain expression. An expensive one sees each distinct text once:
-    texts are grouped by their 32-byte key, scored, and joined back on the key. The rows of
-    a hot text, and those without a text, are spread over salts by their input partition.
+    texts are grouped by their 32-byte key, scored, and joined back on the key, with the
+    rows of a hot text spread over many tasks.
     """
     if not _is_expensive(scorer):
         return df.withColumn(name, F.when(usable, scorer(content)))
-    salt = F.pmod(F.spark_partition_id(), F.lit(JOIN_SALTS))
-    keyed = df.withColumn("_key", F.when(usable, text_key(content))).withColumn("_salt", salt)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))
-    scored = _score_once(df.where(usable), content, scorer, name).withColumn("_salt", salts)
-    return keyed.join(scored, ["_key", "_salt"], "left").drop("_key", "_salt")
+    keyed = df.withColumn("_key", F.when(usable, text_key(content)))
+    scored = _score_once(df.where(usable), content, scorer, name)
+    return join_hot(keyed, scored, ["_key"]).drop("_key")
 
 
 def _is_expensive(scorer: Scorer) -> bool:
@@ -193,7 +189,7 @@ def text_labels(
         F.col("_key").alias("text_key"), F.lower("_scored.label").alias("label")
     )
     once = rows.select(*keep, "text_key").distinct()
-    return once.join(scored, "text_key", "left").select(*keep, "text_key", "label")
+    return join_hot(once, scored, ["text_key"]).select(*keep, "text_key", "label")
 
 
 def with_labels(news: DataFrame, scorer: Scorer, content: str = "content") -> DataFrame:

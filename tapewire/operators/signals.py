@@ -17,23 +17,30 @@ SIGNAL_COLUMNS = [
 
 
 def match_prices(
-    votes: DataFrame, changes: DataFrame, report_date: str = "report_date"
+    votes: DataFrame,
+    changes: DataFrame,
+    report_date: str = "report_date",
+    run_col: str | None = None,
 ) -> DataFrame:
     """Join each vote with the price change of the trading day before its report date.
 
-    Both sides hold one row per ticker and day. Spark broadcasts the prices when they are
-    small enough and sorts and merges otherwise.
+    Prices landed per run, with their run date in ``run_col``, serve the report of their own
+    run only. Both sides hold one row per ticker and day. Spark broadcasts the prices when
+    they are small enough and sorts and merges otherwise.
     """
+    run = [F.col(run_col).alias(report_date)] if run_col else []
     prices = changes.select(
+        *run,
         F.col("symbol").alias("ticker"),
         F.col("date").alias("_trade_date"),
         "price_change_in_percentage",
         "price_trend",
     )
+    keys = ["ticker", "_trade_date", *([report_date] if run_col else [])]
     aligned = votes.withColumn("_trade_date", dates.previous_trading_day(report_date))
     flag = labels.label_to_flag("sentiment")
     return (
-        aligned.join(prices, ["ticker", "_trade_date"], "left")
+        aligned.join(prices, keys, "left")
         .withColumn("sentiment_from_yesterday", flag)
         .withColumn("match", labels.trend_matches("sentiment_from_yesterday", "price_trend"))
         .withColumn("has_price", F.col("price_trend").isNotNull())

@@ -1,4 +1,4 @@
-"""One run date from landed files to warehouse tables.
+"""Landed files to warehouse tables, for one run date or for a backlog of them.
 
 Curated tables are written before anything reads them, so each later step starts from
 files rather than from a long lineage, and a lost executor costs only its own tasks.
@@ -15,16 +15,18 @@ from tapewire import schemas
 from tapewire.constants import SECTOR_TICKERS
 from tapewire.functions import dates
 from tapewire.operators.columns import align, require_non_empty
+from tapewire.operators.dedupe import first_n
 from tapewire.operators.news import clean_sector_news, clean_ticker_news
 from tapewire.operators.quotes import clean_quotes
+from tapewire.operators.reliability import rate_from_first_run
 from tapewire.operators.scoring import Scorer
 from tapewire.plans.sector_articles import as_sector_articles, score_articles
-from tapewire.plans.source_reliability import rate_article_sources
 from tapewire.plans.ticker_signal import ticker_signals
 from tapewire.sinks import writers
 from tapewire.sources import dimensions
 from tapewire.sources.readers import read_landing, read_parquet
 
+RUN = "run_date"
 TABLES = {
     "sectors": schemas.SECTORS,
     "tickers": schemas.TICKERS,
@@ -51,10 +53,6 @@ def create_warehouse(
     writers.insert_new(spark, f"{root}/tickers", schemas.TICKERS, tickers, ["ticker_id"], by_id)
 
 
-def write_day(df: DataFrame, path: str) -> int:
-    return writers.write_partitioned(df, path, "run_date", spread=False)
-
-
 def run_day(
     spark: SparkSession,
     landing: str,
@@ -65,51 +63,68 @@ def run_day(
     vote_scorer: Scorer,
     impact_scorer: Scorer,
 ) -> dict[str, int]:
-    """Process one run date and return the rows written per table.
+    return run_days(
+        spark, landing, curated, warehouse, probe, [run_date], vote_scorer, impact_scorer
+    )
+
+
+def run_days(
+    spark: SparkSession,
+    landing: str,
+    curated: str,
+    warehouse: str,
+    probe: DataFrame,
+    run_dates: Sequence[str | dt.date],
+    vote_scorer: Scorer,
+    impact_scorer: Scorer,
+) -> dict[str, int]:
+    """Process the run dates together and return the rows written per table.
 
-    Running it again replaces the day's curated rows and signals and inserts no source or
-    article twice.
+    The outcome is that of running them one after another. Running them again replaces
+    their curated rows and signals and inserts no source or article twice.
     """
-    days = [run_date]
     rows = {}
 
-    quotes = read_landing(spark, f"{landing}/market", schemas.MARKET_OHLC, days)
-    require_non_empty(quotes, f"market landing of {run_date}")
-    raw_ticker = read_landing(spark, f"{landing}/news/ticker", schemas.RAW_TICKER_NEWS, days)
-    raw_sector = read_landing(spark, f"{landing}/news/sector", schemas.RAW_SECTOR_NEWS, days)
-    rows["ticker_clean"] = write_day(
-        clean_ticker_news(raw_ticker, "run_date"), f"{curated}/ticker_clean"
-    )
-    rows["sector_clean"] = write_day(
-        clean_sector_news(raw_sector, "run_date"), f"{curated}/sector_clean"
-    )
+    def write_runs(table: str, root: str, df: DataFrame) -> None:
+        several = len(run_dates) > 1
+        rows[table] = writers.write_partitioned(df, f"{root}/{table}", RUN, spread=several)
 
-    of_day = F.col("run_date") == dates.date_lit(run_date)
-    ticker_news = read_parquet(
-        spark, f"{curated}/ticker_clean", schemas.with_run_date(schemas.TICKER_CLEAN)
-    ).where(of_day)
-    signals = ticker_signals(ticker_news, clean_quotes(quotes, "run_date"), vote_scorer, "run_date")
-    signals = signals.withColumnRenamed("id", "ticker_article_id")
-    rows["ticker_article"] = write_day(
-        align(signals, schemas.TICKER_ARTICLE).withColumn("run_date", dates.date_lit(run_date)),
-        f"{warehouse}/ticker_article",
-    )
+    def read_runs(table: str, schema) -> DataFrame:
+        df = read_parquet(spark, f"{curated}/{table}", schemas.with_run_date(schema))
+        return df.where(F.col(RUN).isin([dates.date_lit(d) for d in run_dates]))
+
+    def land(kind: str, schema) -> DataFrame:
+        return read_landing(spark, f"{landing}/{kind}", schema, run_dates, RUN)
+
+    quotes = require_non_empty(land("market", schemas.MARKET_OHLC), f"market landing of {run_dates}")
+    raw_ticker = land("news/ticker", schemas.RAW_TICKER_NEWS)
+    raw_sector = land("news/sector", schemas.RAW_SECTOR_NEWS)
+    write_runs("ticker_clean", curated, clean_ticker_news(raw_ticker, RUN))
+    write_runs("sector_clean", curated, clean_sector_news(raw_sector, RUN))
 
-    sector_news = read_parquet(
-        spark, f"{curated}/sector_clean", schemas.with_run_date(schemas.SECTOR_CLEAN)
-    ).where(of_day)
-    sources = rate_article_sources(sector_news, probe, run_date)
-    by_source = [F.col("last_verified").asc()]
+    ticker_news = read_runs("ticker_clean", schemas.TICKER_CLEAN)
+    landed_quotes = clean_quotes(quotes, RUN, per_run=True)
+    signals = ticker_signals(ticker_news, landed_quotes, vote_scorer, RUN)
+    table = align(signals.withColumnRenamed("id", "ticker_article_id"), schemas.TICKER_ARTICLE)
+    write_runs("ticker_article", warehouse, table.withColumn(RUN, F.to_date("created_at")))
+
+    sector_news = read_runs("sector_clean", schemas.SECTOR_CLEAN)
     # Sources go in before the articles that refer to them.
     rows["sources"] = writers.insert_new(
-        spark, f"{warehouse}/sources", schemas.SOURCES, sources, ["source_id"], by_source
+        spark,
+        f"{warehouse}/sources",
+        schemas.SOURCES,
+        rate_from_first_run(sector_news, probe, RUN),
+        ["source_id"],
+        [F.col("last_verified").asc()],
     )
-    scored = score_articles(sector_news, impact_scorer, "run_date")
+    # The first run to see an address keeps it; only its row is scored.
+    first = first_n(sector_news, ["source_url"], [F.col(RUN).asc()])
     rows["sector_article"] = writers.insert_new(
         spark,
         f"{warehouse}/sector_article",
         schemas.SECTOR_ARTICLE,
-        as_sector_articles(scored, "run_date"),
+        as_sector_articles(score_articles(first, impact_scorer, RUN), RUN),
         ["source_url"],
         [F.col("created_at").asc(), F.col("sector_article_id").asc()],
     )

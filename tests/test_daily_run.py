@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tapewire import schemas
 from tapewire.operators import quality
 from tapewire.operators.scoring import LexiconScorer
-from tapewire.plans.daily_run import TABLES, create_warehouse, run_day
+from tapewire.plans.daily_run import TABLES, create_warehouse, run_day, run_days
 from tapewire.session import checkpoint_root
 from tapewire.streaming.ingest import load_new_sector_articles
 from tests.conftest import rows
@@ -93,6 +93,35 @@ def test_days_build_up_a_consistent_warehouse(spark, tmp_path, probe):
     assert report.isEmpty()
 
 
+def test_a_backlog_equals_its_days_in_turn(spark, tmp_path, probe):
+    landing = tmp_path / "landing"
+    land_day(landing, "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
+    land_day(landing, "2024-01-09", "2024-01-08", 0.5, "https://b.com/2")
+    land_day(landing, "2024-01-10", "2024-01-09", 1.5, "https://www.reuters.com/3")
+    # Two runs land Friday's price, the second of them revised.
+    land_day(landing, "2024-01-06", "2024-01-05", 0.5, "https://a.com/0")
+    days = ["2024-01-06", "2024-01-08", "2024-01-09", "2024-01-10"]
+    in_turn, at_once = tmp_path / "in_turn", tmp_path / "at_once"
+
+    def run(root, dates_):
+        return run_days(
+            spark, str(landing), f"{root}/curated", f"{root}/warehouse", probe, dates_, SCORER, SCORER
+        )
+
+    for root in (in_turn, at_once):
+        create_warehouse(spark, f"{root}/warehouse")
+    counts = [run(in_turn, [day]) for day in days]
+    total = run(at_once, days)
+    assert total == {k: sum(c[k] for c in counts) for k in total}
+    for table in [*TABLES, "ticker_article"]:
+        a, b = (spark.read.parquet(f"{root}/warehouse/{table}") for root in (in_turn, at_once))
+        assert sorted(map(str, rows(a))) == sorted(map(str, rows(b)))
+        assert not a.isEmpty()
+    verified = dict(rows(spark.read.parquet(f"{at_once}/warehouse/sources").select("source_id", "last_verified")))
+    assert verified["www.reuters.com"] == dt.date(2024, 1, 6)
+    assert verified["b.com"] == dt.date(2024, 1, 9)
+
+
 def test_a_day_without_prices_stops(spark, tmp_path, probe):
     land_day(tmp_path / "landing", "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
     (tmp_path / "landing/market/date=2024-01-08/part.jsonl").write_text("")
