@@ -77,7 +77,12 @@ def newest_articles(view: DataFrame) -> DataFrame:
 
 
 def select_in(df: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame:
-    """Rows with one of the values; an empty selection selects everything."""
+    """Rows with one of the values. An empty selection filters nothing.
+
+    No selection at all stands for every option being chosen, and options are never null.
+    """
+    if values is None:
+        return df.where(F.col(column).isNotNull())
     return df.where(F.col(column).isin(list(values))) if values else df
 
 

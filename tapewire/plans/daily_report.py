@@ -34,9 +34,10 @@ def daily_report(
     detail_ticker: str | None = None,
     n: int = TOP_ARTICLES_DEFAULT,
 ) -> DailyReport:
-    """Report of one date; an empty selection selects everything.
+    """Report of one date.
 
-    Day and ticker filters reach the scan, and the latest row per ticker is picked before
+    Without a selection every row with a known sector, ticker and sentiment is shown; an
+    empty selection filters nothing. Day and ticker filters reach the scan, and the latest row per ticker is picked before
     the dimensions are joined: a ticker has one sector, so the sector filter may follow.
     The sentiment selection narrows the summary but not the indicators. Articles are those
     published the day before.

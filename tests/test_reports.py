@@ -60,20 +60,33 @@ def report(signals, articles, tickers, sectors, **options):
 
 
 def test_only_the_latest_row_of_the_day_counts(signals, articles, tickers, sectors):
-    got = report(signals, articles, tickers, sectors)
-    k = got.kpis.first()
+    unfiltered = report(signals, articles, tickers, sectors, sector_names=[], sentiments=[])
+    k = unfiltered.kpis.first()
     assert (k.n_tickers, k.n_negative, k.avg_sentiment) == (4, 2, -0.25)
     assert k.avg_price_change == pytest.approx((3.0 - 5.0 + 1.0) / 3)
     assert (k.sentiment_sign, k.price_sign) == ("down", "down")
-    summary = [(r.stock_ticker, r.article_count, r.avg_sentiment) for r in got.summary.collect()]
+    summary = [
+        (r.stock_ticker, r.article_count, r.avg_sentiment) for r in unfiltered.summary.collect()
+    ]
     assert summary == [("A", 1, -1.0), ("B", 1, 1.0), ("C", 1, -1.0), ("X", 1, 0.0)]
 
 
+def test_no_selection_is_every_known_option(signals, articles, tickers, sectors):
+    got = report(signals, articles, tickers, sectors)
+    # Ticker X has no sector and its signal no sentiment.
+    assert (got.kpis.first().n_tickers, got.kpis.first().n_negative) == (3, 2)
+    assert [r.stock_ticker for r in got.summary.collect()] == ["A", "B", "C"]
+    assert {r.sector for r in got.top_articles.collect()} == {"tech", "health"}
+    unlabelled = report(signals, articles, tickers, sectors, sector_names=[])
+    assert unlabelled.kpis.first().n_tickers == 4
+    assert [r.stock_ticker for r in unlabelled.summary.collect()] == ["A", "B", "C"]
+
+
 def test_selections(signals, articles, tickers, sectors):
     everything = report(signals, articles, tickers, sectors)
     empty = report(signals, articles, tickers, sectors, sector_names=[], ticker_ids=[], sentiments=[])
-    assert rows(empty.kpis) == rows(everything.kpis)
-    assert rows(empty.summary) == rows(everything.summary)
+    assert empty.kpis.first().n_tickers == empty.summary.count() == 4
+    assert empty.top_articles.count() == 4
     tech = report(signals, articles, tickers, sectors, sector_names=["tech"])
     assert tech.kpis.first().n_tickers == 2
     assert {r.sector for r in tech.top_articles.collect()} == {"tech"}
@@ -91,7 +104,7 @@ def test_detail(signals, articles, tickers, sectors):
 
 
 def test_top_articles_of_the_day_before(signals, articles, tickers, sectors):
-    top = report(signals, articles, tickers, sectors, n=3).top_articles
+    top = report(signals, articles, tickers, sectors, sector_names=[], n=3).top_articles
     assert [r.impact for r in top.collect()] == [0.9, 0.5, 0.5]
     assert top.first().article == "<a href='https://x.com/2' target='_blank'>t2</a>"
     assert top.first().published == "2024-01-04"
