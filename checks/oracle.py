@@ -662,7 +662,8 @@ select 'foreign_key', 'ticker_article', 'ticker_id', (select count(*) from signa
   where ticker_id not in (select ticker_id from tickers))""",
         )
     ],
-    'select "check", table_name, columns, cast(n_rows as bigint) n_rows from found where n_rows > 0',
+    """
+select "check", table_name, columns, cast(n_rows as bigint) n_rows from found where n_rows > 0""",
 )
 add(
     "quality_counters",

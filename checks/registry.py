@@ -169,7 +169,8 @@ def union_feeds(spark, sf):
     sectors = view(spark, sf, "raw_sector_news").drop("title", "content", "run_date")
     both = news.union_feeds(tickers, sectors)
     return both.select(
-        "doc_id", "feed_id", "ticker", "sector_id", "date_published", "source_url", "author", "source_name"
+        "doc_id", "feed_id", "ticker", "sector_id", "date_published", "source_url", "author",
+        "source_name",
     )
 
 
@@ -178,11 +179,10 @@ def union_feeds(spark, sf):
 
 def payload_table(spark, sf) -> DataFrame:
     """Responses of at most 20 articles, by page id; some failed and some empty."""
+    source = F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name"))
     article = F.struct(
         "position",
-        F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name")).alias(
-            "source"
-        ),
+        source.alias("source"),
         "author",
         "title",
         "content",
@@ -236,7 +236,8 @@ def alias_align(spark, sf):
 
 @query
 def lenient_projection(spark, sf):
-    raw = view(spark, sf, "market_ohlc").withColumnsRenamed({"symbol": "Ticker", "close": "Last"})
+    names = {"symbol": "Ticker", "close": "Last"}
+    raw = view(spark, sf, "market_ohlc").withColumnsRenamed(names)
     kept, _ = columns.project_lenient(raw, ["Ticker", "date", "Last", "volume"])
     return columns.project_strict(kept, ["date", "Ticker", "Last"])
 
@@ -265,7 +266,8 @@ def quotes_for_universe(spark, sf):
 @query
 def hosts(spark, sf):
     pages = view(spark, sf, "page_urls")
-    return pages.select("page_id", urls.host("url").alias("host"), urls.source_id("url").alias("source_id"))
+    named = pages.withColumns({"host": urls.host("url"), "source_id": urls.source_id("url")})
+    return named.drop("url")
 
 
 @query

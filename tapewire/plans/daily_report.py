@@ -37,10 +37,11 @@ def daily_report(
     """Report of one date.
 
     Without a selection every row with a known sector, ticker and sentiment is shown; an
-    empty selection filters nothing. Day and ticker filters reach the scan, and the latest row per ticker is picked before
+    empty selection filters nothing. The sentiment selection narrows the summary but not
+    the indicators. Articles are those published the day before.
+
+    Day and ticker filters reach the scan, and the latest row per ticker is picked before
     the dimensions are joined: a ticker has one sector, so the sector filter may follow.
-    The sentiment selection narrows the summary but not the indicators. Articles are those
-    published the day before.
     """
     day = reports.on_day(signals, "created_at", report_date)
     day = reports.select_in(day, "ticker_id", ticker_ids)

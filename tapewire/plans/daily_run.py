@@ -96,7 +96,8 @@ def run_days(
     def land(kind: str, schema) -> DataFrame:
         return read_landing(spark, f"{landing}/{kind}", schema, run_dates, RUN)
 
-    quotes = require_non_empty(land("market", schemas.MARKET_OHLC), f"market landing of {run_dates}")
+    quotes = land("market", schemas.MARKET_OHLC)
+    require_non_empty(quotes, f"market landing of {', '.join(map(str, run_dates))}")
     raw_ticker = land("news/ticker", schemas.RAW_TICKER_NEWS)
     raw_sector = land("news/sector", schemas.RAW_SECTOR_NEWS)
     write_runs("ticker_clean", curated, clean_ticker_news(raw_ticker, RUN))

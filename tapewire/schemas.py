@@ -54,9 +54,7 @@ SOURCE_PROBE = _struct(
 )
 
 # Curated feeds
-TICKER_CLEAN = _struct(
-    ticker=STR, content=STR, title=STR, date_published=DATE, source_url=STR
-)
+TICKER_CLEAN = _struct(ticker=STR, content=STR, title=STR, date_published=DATE, source_url=STR)
 SECTOR_CLEAN = _struct(
     sector_id=INT,
     title=STR,
@@ -68,7 +66,6 @@ SECTOR_CLEAN = _struct(
 )
 
 
-
 def with_run_date(schema: T.StructType) -> T.StructType:
     """A table that is partitioned by run date."""
     return T.StructType([*schema.fields, T.StructField("run_date", DATE, True)])
