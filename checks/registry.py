@@ -460,7 +460,9 @@ def ticker_articles_view(spark, sf):
 
 @query
 def ticker_articles_recent(spark, sf):
-    return reports.recent_signals(signal_report(spark, sf))
+    return reports.recent_signals(
+        view(spark, sf, "signals"), view(spark, sf, "tickers"), view(spark, sf, "sectors")
+    )
 
 
 @query

@@ -42,12 +42,22 @@ def signals_view(signals: DataFrame, tickers: DataFrame, sectors: DataFrame) ->
     )
 
 
-def recent_signals(view: DataFrame, n: int | None = RECENT_SIGNALS) -> DataFrame:
-    """Newest first, undated rows before all others; no limit returns every row."""
-    ordered = view.orderBy(
-        F.col("created_at").desc_nulls_first(), F.col("ticker_article_id").asc()
-    )
-    return ordered if n is None else ordered.limit(n)
+def newest_signals(df: DataFrame) -> DataFrame:
+    """Newest first, undated rows before all others."""
+    return df.orderBy(F.col("created_at").desc_nulls_first(), F.col("ticker_article_id").asc())
+
+
+def recent_signals(
+    signals: DataFrame, tickers: DataFrame, sectors: DataFrame, n: int | None = RECENT_SIGNALS
+) -> DataFrame:
+    """The newest signals with their sector; no limit returns every row.
+
+    The rows are picked before the dimensions are joined, which neither adds nor drops any.
+    """
+    if n is None:
+        return newest_signals(signals_view(signals, tickers, sectors))
+    picked = newest_signals(signals).limit(n)
+    return newest_signals(signals_view(picked, tickers, sectors)).limit(n)
 
 
 def articles_view(articles: DataFrame, sectors: DataFrame) -> DataFrame:

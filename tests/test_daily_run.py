@@ -4,7 +4,6 @@ import uuid
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
 
 from tapewire import schemas
 from tapewire.operators import quality
@@ -180,41 +179,3 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(session(), "/own/") == "/own"
     with pytest.raises(ValueError, match="checkpoint"):
         checkpoint_root(session())
-
-
-def test_signals_match_a_plain_count(spark, medium):
-    """The fixture figures for all documents over all report dates, from raw rows."""
-    from tapewire.operators.quotes import price_changes
-    from tapewire.operators.scoring import with_labels
-    from tapewire.operators.signals import match_prices
-    from tapewire.operators.votes import majority_vote
-    from tapewire.operators.news import on_report_dates
-
-    docs = spark.read.parquet(f"{medium}/documents.parquet")
-    news = docs.select(
-        F.concat(F.lit("NATION_"), (F.col("doc_id") % 25).cast("string")).alias("ticker"),
-        F.col("text").alias("content"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias(
-            "date_published"
-        ),
-    )
-    scorer = LexiconScorer(
-        ("the", "to", "is", "der", "la"), ("and", "of", "in", "die", "de"), max_chars=4000
-    )
-    events = spark.read.parquet(f"{medium}/events.parquet")
-    quotes = events.groupBy(
-        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("symbol"),
-        F.to_date("ts").alias("date"),
-    ).agg(F.min_by("value", "event_id").alias("open"), F.max_by("value", "event_id").alias("close"))
-    labelled = on_report_dates(with_labels(news, scorer))
-    votes = majority_vote(labelled, ["ticker", "report_date"])
-    matched = match_prices(votes, price_changes(quotes))
-    counts = matched.groupBy("sentiment_from_yesterday", "match", ~F.col("has_price")).count()
-    assert sorted(rows(counts)) == [
-        (False, False, False, 26),
-        (False, False, True, 1),
-        (False, True, False, 27),
-        (True, False, False, 123),
-        (True, False, True, 4),
-        (True, True, False, 119),
-    ]

@@ -95,7 +95,9 @@ def test_date_slices_and_columns_reach_the_scan(spark, small):
 
 def test_recent_signals_take_the_top_without_a_full_sort(spark, small):
     text = plan(QUERIES["ticker_articles_recent"](spark, small))
-    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+    assert text.count("TakeOrderedAndProject") == 2 and "rangepartitioning" not in text
+    # The first pick lies below the joins.
+    assert text.rindex("TakeOrderedAndProject") > text.index("BroadcastHashJoin")
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

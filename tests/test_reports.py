@@ -131,10 +131,11 @@ def test_recent_signals_order(spark, signals, tickers, sectors):
             {"ticker_article_id": F.lit("9"), "created_at": F.lit(None).cast("timestamp_ntz")}
         )
     )
+    recent = reports.recent_signals(undated, tickers, sectors, 4)
+    assert [r.ticker_article_id for r in recent.collect()] == ["9", "5", "2", "1"]
+    every = reports.recent_signals(undated, tickers, sectors, None)
+    assert [r.ticker_article_id for r in every.collect()] == ["9", "5", "2", "1", "3", "4", "6"]
     view = reports.signals_view(undated, tickers, sectors)
-    ids = [r.ticker_article_id for r in reports.recent_signals(view, 4).collect()]
-    assert ids == ["9", "5", "2", "1"]
-    assert reports.recent_signals(view, None).count() == 7
     assert [r.sector_name for r in view.where("stock_ticker = 'X'").collect()] == [None]
 
 
