@@ -69,11 +69,13 @@ def escape_html(c: Column | str) -> Column:
     return out
 
 
-def article_link(url: Column | str, title: Column | str) -> Column:
+def article_link(url: Column | str, title: Column | str, escape: bool = True) -> Column:
+    """A link to the article; without ``escape`` the texts go in as they are."""
+    address, label = (escape_html(c) if escape else col(c) for c in (url, title))
     return F.concat(
         F.lit("<a href='"),
-        F.coalesce(escape_html(url), F.lit("")),
+        F.coalesce(address, F.lit("")),
         F.lit("' target='_blank'>"),
-        F.coalesce(escape_html(title), F.lit("")),
+        F.coalesce(label, F.lit("")),
         F.lit("</a>"),
     )

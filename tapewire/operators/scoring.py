@@ -33,8 +33,8 @@ class LexiconScorer:
     """Counts listed words over the whole text, row by row inside the JVM.
 
     The label is the sign of positives minus negatives, the confidence their difference
-    over their sum. Words are runs of the letters a to z. The lists become hash sets, so
-    their length does not matter, and nothing is joined or shuffled.
+    over their sum. Words are runs of the letters a to z. Spark turns lists of more than ten
+    words into hash sets, so their length does not matter, and nothing is joined or shuffled.
     """
 
     positive: tuple[str, ...] = tuple(FINANCE_POSITIVE)

@@ -234,5 +234,7 @@ def test_text_helpers(spark):
     links = [r[0] for r in df.select(text.article_link("u", "t")).collect()]
     assert links[0] == "<a href='https://x.y/?a=&#x27;1&#x27;' target='_blank'>a &amp; b</a>"
     assert links[1] == "<a href='' target='_blank'></a>"
+    plain = df.select(text.article_link("u", "t", escape=False)).first()[0]
+    assert plain == "<a href='https://x.y/?a='1'' target='_blank'>a & b</a>"
     both = df.select(text.title_and_content("t", F.lit(None).cast("string")))
     assert rows(both) == [("a & b ",), (" ",)]
