@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapewire.llm.embedding_duplicates import embedding_duplicates
+from tapewire.llm.language import language_id
 from tapewire.llm.near_duplicates import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op9_minhash_near_dedup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op3_embedding_near_dedup(spark, sf):
+    return embedding_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op2_language_id(spark, sf):
+    return language_id(table(spark, sf, "documents"))
