@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapewire.llm.components import components
-from tapewire.llm.store import Scratch
+from tapewire.llm.store import Scratch, bound_batches
 
 PASSES = 10
 WINDOW = 512
@@ -160,6 +160,7 @@ def embedding_duplicates(
     nothing, has no component and is kept. Other columns are not read.
     """
     spark = vectors.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "embedding-duplicates")
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"),

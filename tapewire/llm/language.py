@@ -20,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tapewire.llm.shingles import utf8
+from tapewire.llm.shingles import chunks, utf8
+from tapewire.llm.store import bound_batches
 
 # Bound of the sample that is learned from: pieces a language, and characters a piece.
 PIECES, PIECE_CHARS = 96, 400
 STRETCH = 512
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 UNDETERMINED = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -152,23 +153,12 @@ def _model(pieces: dict[str, list[str]]) -> Model:
     return _models[key]
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in pieces of about CHUNK bytes of text."""
-    at = utf8(batch.column("text"))[1]
-    low = 0
-    while low < batch.num_rows:
-        high = int(np.searchsorted(at, at[low] + CHUNK, side="right")) - 1
-        high = min(max(high, low + 1), batch.num_rows)
-        yield batch.slice(low, high - low)
-        low = high
-
-
 def _predict(pieces: dict[str, list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(pieces)
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            for part in _chunks(batch):
+            for part in chunks(batch, batch.schema.get_field_index("text"), CHUNK):
                 found = np.full(part.num_rows, len(names) - 1)
                 score = np.zeros(part.num_rows)
                 if model.languages:
@@ -218,6 +208,7 @@ def identify(texts: DataFrame, pieces: dict[str, list[str]], *keep: str) -> Data
     bits that the best language saves against the second best, 1 if there is only one. Equal
     languages go by name. Without any labelled text everything is ``und``. Repeated rows stay.
     """
+    bound_batches(texts.sparkSession)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
     rows = texts.select(*keep, F.coalesce("text", F.lit("")).alias("text"), letters)
     schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double")

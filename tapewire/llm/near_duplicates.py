@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tapewire.llm.components import components
-from tapewire.llm.shingles import MinHash, sets
-from tapewire.llm.store import Scratch
+from tapewire.llm.shingles import MinHash, chunks, sets
+from tapewire.llm.store import Scratch, bound_batches
 
 BANDS, ROWS = 32, 4
 # Minima that serve the verification only; the bands use the first BANDS * ROWS.
@@ -36,6 +36,8 @@ SEED = 7
 # Four standard deviations of the share of equal minima below the threshold.
 SLACK = 4 * (0.75 * 0.25 / HASHES) ** 0.5
 BLOCK = 512
+# Bytes of text that are hashed at once.
+CHUNK = 1 << 20
 # Ids of texts to fetch are broadcast up to this number (8 bytes each), else joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -46,8 +48,7 @@ SKETCH = "doc_id long, n_shingles long, digest binary, minima binary, keys binar
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        for part in chunks(batch, 1, CHUNK):
             found = list(sets(part.column(1)))
             sizes = [len(s) for s in found]
             full = [s for s in found if len(s)]
@@ -112,8 +113,7 @@ def _alike(least: float):
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for part in chunks(batch, 1, CHUNK):
             found = [s.tobytes() for s in sets(part.column(1))]
             yield pa.record_batch(
                 [part.column(0), pa.array(found, pa.large_binary())], names=["id", "set"]
@@ -243,6 +243,7 @@ def near_duplicates(
     Other columns are not read.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "near-duplicates")
     least = percent / 100 - SLACK
     docs = docs.select(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
 from tapewire.llm.language import language_id
 from tapewire.llm.near_duplicates import near_duplicates
@@ -37,3 +38,9 @@ def op3_embedding_near_dedup(spark, sf):
 @query
 def op2_language_id(spark, sf):
     return language_id(table(spark, sf, "documents"))
+
+
+@query
+def op6_benchmark_decontamination(spark, sf):
+    docs, benchmark = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    return digest(contamination(docs, benchmark, "doc_id"))

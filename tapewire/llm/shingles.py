@@ -55,6 +55,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[at[0] : at[-1]], at - at[0]
 
 
+def chunks(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in slices of about ``size`` bytes of a text column, one row at least."""
+    at = utf8(batch.column(column))[1]
+    low = 0
+    while low < batch.num_rows:
+        high = int(np.searchsorted(at, at[low] + size, side="right")) - 1
+        high = min(max(high, low + 1), batch.num_rows)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each word starts and ends; ``starts``: the first byte of every text."""
     inside = ~_SPACE[data]

@@ -6,6 +6,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of rows that Spark hands to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound batches for Python workers by their size, for texts of any length.
+
+    A session setting, since Spark reads it when the query runs.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
