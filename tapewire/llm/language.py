@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tapewire.llm.shingles import chunks, utf8
 from tapewire.llm.store import bound_batches
@@ -211,7 +211,8 @@ def identify(texts: DataFrame, pieces: dict[str, list[str]], *keep: str) -> Data
     bound_batches(texts.sparkSession)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
     rows = texts.select(*keep, F.coalesce("text", F.lit("")).alias("text"), letters)
-    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    found = T.StructType.fromDDL("lang_pred string, score double")
+    schema = T.StructType(rows.select(*keep).schema.fields + found.fields)
     return rows.mapInArrow(_predict(pieces), schema)
 
 

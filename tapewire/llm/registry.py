@@ -10,6 +10,7 @@ from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
 from tapewire.llm.language import language_id
 from tapewire.llm.near_duplicates import near_duplicates
+from tapewire.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +45,8 @@ def op2_language_id(spark, sf):
 def op6_benchmark_decontamination(spark, sf):
     docs, benchmark = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     return digest(contamination(docs, benchmark, "doc_id"))
+
+
+@query
+def op10_toxicity(spark, sf):
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
