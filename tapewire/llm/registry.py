@@ -10,6 +10,8 @@ from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
 from tapewire.llm.language import language_id
 from tapewire.llm.near_duplicates import near_duplicates
+from tapewire.llm.store import Scratch
+from tapewire.llm.token_files import token_index, write_tokens
 from tapewire.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +52,12 @@ def op6_benchmark_decontamination(spark, sf):
 @query
 def op10_toxicity(spark, sf):
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op1_token_files(spark, sf):
+    from public_tokenizers import path
+
+    files = Scratch(spark, "token-files").path("orc")
+    write_tokens(table(spark, sf, "documents"), path("byte_bpe_50k.json"), files)
+    return token_index(spark, files)

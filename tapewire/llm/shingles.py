@@ -19,7 +19,8 @@ PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _random = np.random.default_rng(20240501)
-_LETTER = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
+BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
+_LETTER = BYTE_VALUES.copy()
 _LETTER[65:91] = _LETTER[97:123]
 _PLACE = _random.integers(1, 1 << 63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _COUNT = _random.integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64)
@@ -79,8 +80,10 @@ def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _hash_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash for each word: a polynomial over its letters, from differences of sums."""
+def hash_spans(
+    data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray
+) -> np.ndarray:
+    """A hash of each span of bytes: a polynomial over their values, by differences of sums."""
     global _up, _down
     out = np.empty(len(begin), dtype=np.uint64)
     i = 0
@@ -90,7 +93,7 @@ def _hash_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         if high - low > len(_up):
             _up, _down = _powers(_BASE, high - low), _powers(_BASE_INVERSE, high - low)
         sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(_LETTER[data[low:high]] * _up[: high - low], out=sums[1:])
+        np.cumsum(values[data[low:high]] * _up[: high - low], out=sums[1:])
         b, e = begin[i:j] - low, end[i:j] - low
         out[i:j] = mix((sums[e] - sums[b]) * _down[b] + (e - b).astype(np.uint64))
         i = j
@@ -101,7 +104,7 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles, repeats included, and where each text's hashes start."""
     data, at = utf8(column)
     begin, end = _words(data, at[:-1])
-    words = _hash_words(data, begin, end)
+    words = hash_spans(data, begin, end, _LETTER)
     first = np.searchsorted(begin, at)
     n = np.diff(first)
     counts = np.where(n >= WIDTH, n - WIDTH + 1, np.minimum(n, 1))
