@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
+from tapewire.llm.inputs import view
 from tapewire.llm.language import language_id
+from tapewire.llm.mixing import mix
 from tapewire.llm.near_duplicates import near_duplicates
+from tapewire.llm.quotations import link_quotations
 from tapewire.llm.store import Scratch
 from tapewire.llm.token_files import token_index, write_tokens
 from tapewire.llm.toxicity import toxicity
+from tapewire.llm.url_lists import on_lists
+from tapewire.llm.warc import derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +66,32 @@ def op1_token_files(spark, sf):
     files = Scratch(spark, "token-files").path("orc")
     write_tokens(table(spark, sf, "documents"), path("byte_bpe_50k.json"), files)
     return token_index(spark, files)
+
+
+@query
+def op4_source_mixing(spark, sf):
+    drawn = mix(
+        table(spark, sf, "documents").select("doc_id", "text", "source"),
+        target_entropy=0.98,
+        max_repeats=4.0,
+    )
+    return drawn.select(
+        "doc_id", "source", "copy", "block", "turn", "place", "n_tokens",
+        F.round("weight", 9).alias("weight"),
+    )
+
+
+@query
+def op5_warc_derivatives(spark, sf):
+    pages = view(spark, sf, "captures").withColumnRenamed("fetched", "date")
+    return derivatives(responses(pages))
+
+
+@query
+def op7_quotation_linking(spark, sf):
+    return link_quotations(view(spark, sf, "mails"))
+
+
+@query
+def op8_temporal_url_lists(spark, sf):
+    return on_lists(view(spark, sf, "captures"), view(spark, sf, "list_entries"))
