@@ -158,22 +158,22 @@ def _predict(pieces: dict[str, list[str]]):
         model = _model(pieces)
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            for part in chunks(batch, batch.schema.get_field_index("text"), CHUNK):
+            for part in chunks(batch, batch.schema.get_field_index("_text"), CHUNK):
                 found = np.full(part.num_rows, len(names) - 1)
                 score = np.zeros(part.num_rows)
                 if model.languages:
-                    rates = model.rates(*plain(*utf8(part.column("text"))))
-                    letters = part.column("letters").to_numpy(zero_copy_only=False)
+                    rates = model.rates(*plain(*utf8(part.column("_text"))))
+                    letters = part.column("_letters").to_numpy(zero_copy_only=False)
                     best = np.where(letters, rates.argmin(axis=1), len(names) - 1)
                     ranked = np.sort(rates, axis=1)
                     second = ranked[:, 1] if rates.shape[1] > 1 else np.full(len(rates), np.inf)
                     margin = 1 - ranked[:, 0] / np.maximum(second, 1e-9)
                     found, score = best, np.where(letters, np.clip(margin, 0, 1), 0.0)
                 columns = [c for n, c in zip(part.schema.names, part.columns, strict=True)
-                           if n not in ("text", "letters")]
+                           if n not in ("_text", "_letters")]
                 yield pa.record_batch(
                     [*columns, pa.array(names[found], pa.string()), pa.array(score)],
-                    names=[*(n for n in part.schema.names if n not in ("text", "letters")),
+                    names=[*(n for n in part.schema.names if n not in ("_text", "_letters")),
                            "lang_pred", "score"],
                 )
 
@@ -209,19 +209,27 @@ def identify(texts: DataFrame, pieces: dict[str, list[str]], *keep: str) -> Data
     languages go by name. Without any labelled text everything is ``und``. Repeated rows stay.
     """
     bound_batches(texts.sparkSession)
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    rows = texts.select(*keep, F.coalesce("text", F.lit("")).alias("text"), letters)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters")
+    rows = texts.select(*keep, F.coalesce("text", F.lit("")).alias("_text"), letters)
     found = T.StructType.fromDDL("lang_pred string, score double")
     schema = T.StructType(rows.select(*keep).schema.fields + found.fields)
     return rows.mapInArrow(_predict(pieces), schema)
 
 
-def language_id(docs: DataFrame, learn: str = "crc32(cast(doc_id as string)) % 3 != 1") -> DataFrame:
+# Documents that languages are learned from.
+LEARN = "crc32(cast(doc_id as string)) % 3 != 1"
+
+
+def learned_pieces(docs: DataFrame, learn: str = LEARN) -> dict[str, list[str]]:
+    """The labelled sample of those documents (doc_id, text, lang) where ``learn``."""
+    return sample_pieces(docs.where(learn).select("lang", "text"))
+
+
+def language_id(docs: DataFrame, learn: str = LEARN) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of each row; learned from rows where ``learn``.
 
     A row whose id is null is held out.
     """
     held_out = F.coalesce(~F.expr(learn), F.lit(True)).alias("held_out")
-    rows = docs.select("doc_id", "text", "lang", held_out)
-    pieces = sample_pieces(rows.where("not held_out").select("lang", "text"))
-    return identify(rows, pieces, "doc_id", "held_out")
+    rows = docs.select("doc_id", "text", held_out)
+    return identify(rows, learned_pieces(docs, learn), "doc_id", "held_out")
