@@ -1,0 +1,110 @@
+from html.parser import HTMLParser
+
+import pytest
+
+from tapewire.llm import warc
+
+
+class Reader(HTMLParser):
+    """The text of a page, element by element."""
+
+    BREAKS = set(
+        "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer "
+        "form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot "
+        "th thead tr ul".split()
+    )
+    SILENT = {"script", "style", "noscript", "template", "head"}
+
+    def __init__(self):
+        super().__init__()
+        self.parts, self.silent = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.SILENT:
+            self.silent.append(tag)
+        elif tag in self.BREAKS:
+            self.parts.append("\n")
+
+    def handle_endtag(self, tag):
+        if self.silent and tag == self.silent[-1]:
+            self.silent.pop()
+        elif tag in self.BREAKS:
+            self.parts.append("\n")
+
+    def handle_data(self, data):
+        if not self.silent:
+            self.parts.append(data)
+
+
+def text(page):
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    lines = (" ".join(x.split()) for x in "".join(reader.parts).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+def test_text_equals_a_parser(spark, medium):
+    pages = spark.read.parquet(f"{medium}/pages.parquet").collect()
+    for row in pages:
+        assert warc.page_text(row.html) == text(row.html)
+
+
+def test_text_of_odd_markup():
+    assert warc.page_text("<p>a<!-- <p>x --> b &amp;&lt;p&gt;<SCRIPT>if (a<b) {}</SCRIPT>c<br/>d") == (
+        "a b &<p>c\nd"
+    )
+    assert warc.page_text("1 < 2 <style>p{") == "1 < 2"
+    assert warc.page_text("") == ""
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    rows = [
+        (1, "https://a.example/x", "2024-05-01",
+         '<html lang="de"><head><title>T &amp; U</title></head><a href="/y">Ünï</a><p>z', 0),
+        (2, None, None, None, 0), (3, "https://b.example", "2024-05-02", "", 0),
+        (None, "https://c.example", "2024-05-03", "plain\r\n\r\nWARC/1.1 text " * 5000, 0),
+        (3, "https://b.example", "2024-05-02", "", 0),
+    ]
+    table = spark.createDataFrame(
+        rows, "page_id long, url string, date string, html string, block int"
+    )
+    return warc.responses(table)
+
+
+def test_records_refer_to_their_response(found):
+    sources = {(r.page_id, r.record_id): r for r in found.collect()}
+    rows = warc.derivatives(found).collect()
+    assert len(rows) == 10
+    for row in rows:
+        source = sources[row.page_id, row.refers_to]
+        assert (row.target_uri, row.date) == (source.target_uri, source.date)
+        assert row.source_digest == source.payload_digest == warc.digest((source.body or "").encode())
+        raw = row.block.encode()
+        assert (row.content_length, row.block_digest) == (len(raw), warc.digest(raw))
+    first = {r.warc_type: r for r in rows if r.page_id == 1}
+    assert first["conversion"].block == "Ünï\nz"
+    assert first["metadata"].block.split("\r\n") == [
+        f"source-payload-digest: {first['metadata'].source_digest}",
+        "source-status-line: HTTP/1.1 200 OK",
+        "source-header-content-type: text/html; charset=utf-8",
+        "source-header-content-length: 79",
+        "title: T & U", "languages-html: de", "outlink: /y", "",
+    ]
+    assert len({r.record_id for r in rows}) == 8
+
+
+def test_files_hold_the_records(spark, found, tmp_path):
+    records = warc.derivatives(found)
+    path = str(tmp_path / "warc")
+    warc.write_warc(records, path)
+    back = warc.read_warc(spark, path)
+    assert back.columns == records.columns
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, records.collect()), key=str)
+    raw = next(p for p in sorted((tmp_path / "warc").glob("part-*")) if p.stat().st_size).read_bytes()
+    assert raw.startswith(b"WARC/1.1\r\nWARC-Type: ") and raw.endswith(b"\r\n\r\n")
+
+
+def test_no_rows(found):
+    assert warc.derivatives(found.limit(0)).collect() == []
