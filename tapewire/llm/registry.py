@@ -12,6 +12,7 @@ from tapewire.llm.inputs import view
 from tapewire.llm.language import language_id
 from tapewire.llm.mixing import mix
 from tapewire.llm.near_duplicates import near_duplicates
+from tapewire.llm.oracle import ORACLE
 from tapewire.llm.quotations import link_quotations
 from tapewire.llm.store import Scratch
 from tapewire.llm.token_files import token_index, write_tokens
@@ -21,7 +22,8 @@ from tapewire.llm.warc import derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def query(f: Query) -> Query:
