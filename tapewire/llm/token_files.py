@@ -17,6 +17,7 @@ whole texts.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain, count
@@ -33,7 +34,7 @@ from tapewire.llm.store import bound_batches
 END_ID = 0
 CHUNK = 4 << 20
 # Pieces that a Python worker remembers before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
 INDEX_ROWS = 1000
 
 FILE_ROW = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -74,26 +75,62 @@ def _cuts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+# A piece of letters alone, with a space at most before them, which is one word to the tokenizer.
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is
+    printed, else the next one from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
-    """Ids of texts; remembers pieces by their hashes."""
+    """Ids of texts. Of a byte-level vocabulary it remembers pieces, by their hashes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # Names of special tokens that a text holds are text.
         self.tokenizer.encode_special_tokens = True
+        splitter = self.tokenizer.pre_tokenizer
+        # The cuts hold for this splitting only.
+        self.by_piece = (
+            isinstance(splitter, pre_tokenizers.ByteLevel)
+            and splitter.use_regex
+            and not splitter.add_prefix_space
+            and self.tokenizer.normalizer is None
+        )
+        self.letters = _byte_letters()
         self._forget()
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [e.ids for e in found]
+
+    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
+        """Words go to the tokenizer's model, which they reach whole in any case."""
+        model = self.tokenizer.model.tokenize
+        out = [
+            [t.id for t in model(x.encode().decode("latin-1").translate(self.letters))]
+            if _WORD.fullmatch(x)
+            else None
+            for x in pieces
+        ]
+        rest = iter(self._ids([x for x, ids in zip(pieces, out, strict=True) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in out]
+
     def _forget(self) -> None:
         self.places: dict[int, int] = {}
         self.ids = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        ids = self._piece_ids(pieces)
         new = np.fromiter(chain.from_iterable(ids), np.int32)
         ends = np.cumsum([len(x) for x in ids]) + self.starts[-1]
         self.places.update(zip(hashes, count(len(self.starts) - 1)))
@@ -102,6 +139,10 @@ class Encoder:
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column, each with the end id, and their numbers of ids."""
+        if not self.by_piece:
+            ids = [x + [end_id] for x in self._ids(column.fill_null("").to_pylist())]
+            sizes = np.array([len(x) for x in ids], np.int64)
+            return np.fromiter(chain.from_iterable(ids), np.int32), sizes
         data, at = utf8(column)
         begin = _cuts(data, at)
         end = np.append(begin[1:], len(data))
