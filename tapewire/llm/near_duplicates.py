@@ -1,6 +1,6 @@
 """Near-duplicate texts: MinHash banding, signature verification, exact check, components.
 
-1. One pass over the texts gives each its number of shingles, a digest of its set, 256
+1. One pass over the texts gives each its number of shingles, a digest of its set, 640
    universal hash minima and a key for each of 32 bands of 4 minima. Texts with equal sets
    form a class, represented by the smallest id, and are not compared with each other.
 2. Classes that share a band key are candidates. Every member of a bucket is compared with
@@ -31,7 +31,7 @@ from tapewire.llm.store import Scratch, bound_batches
 
 BANDS, ROWS = 32, 4
 # Minima that serve the verification only; the bands use the first BANDS * ROWS.
-HASHES = 256
+HASHES = 640
 SEED = 7
 # Four standard deviations of the share of equal minima below the threshold.
 SLACK = 4 * (0.75 * 0.25 / HASHES) ** 0.5
