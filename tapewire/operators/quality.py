@@ -40,58 +40,59 @@ def violations(
 ) -> DataFrame:
     """Every broken constraint of a set of tables as (check, table_name, columns, n_rows).
 
-    A key that is also required is checked for both in one pass over its column.
+    One pass over each table turns a row into a fact for each constraint it matters to: a
+    key's value, a null, a child's or a parent's value. Equal facts are added up before
+    the shuffle, and one grouping by constraint and value serves all checks.
     """
-    reports = []
-    for table, df in tables.items():
-        keys_of_table = unique_keys.get(table, [])
-        reports += [_key_report(df, table, keys) for keys in keys_of_table]
-        covered = [keys[0] for keys in keys_of_table if len(keys) == 1]
+    facts: dict[str, list[Column]] = {table: [] for table in tables}
+    for table in tables:
+        for keys in unique_keys.get(table, []):
+            facts[table].append(_fact("unique", table, ",".join(keys), _value(keys)))
         for name in required.get(table, []):
-            if name not in covered:
-                nulls = df.agg(F.count_if(F.col(name).isNull()).alias("n"))
-                reports.append(nulls.select(*_finding("not_null", table, name, F.col("n"))))
+            null = F.when(F.col(name).isNull(), F.lit(""))
+            facts[table].append(_fact("not_null", table, name, null))
     for child, fk, parent, pk in foreign_keys:
         if child in tables and parent in tables:
-            lost = orphans(tables[child], fk, tables[parent], pk).agg(F.sum("n_rows").alias("n"))
-            reports.append(lost.select(*_finding("foreign_key", child, fk, F.col("n"))))
-    if not reports:
+            facts[child].append(_fact("foreign_key", child, fk, _value([fk])))
+            facts[parent].append(_fact("foreign_key", child, fk, _value([pk]), parent=True))
+    found = [
+        df.select(F.inline(F.array(*facts[table]))) for table, df in tables.items() if facts[table]
+    ]
+    if not found:
         raise ValueError("no constraint applies to the given tables")
-    out = reports[0]
-    for other in reports[1:]:
-        out = out.unionByName(other)
-    wanted = F.array(
-        *[F.lit(f"{table}.{name}") for table, names in required.items() for name in names]
+    every = found[0]
+    for other in found[1:]:
+        every = every.unionByName(other)
+    constraint = ["check", "table_name", "columns"]
+    per_value = (
+        every.where(F.col("value").isNotNull())
+        .groupBy(*constraint, "value")
+        .agg(F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("parent"))
+    )
+    broken = (
+        F.when(F.col("check") == "unique", F.col("n") > 1)
+        .when(F.col("check") == "foreign_key", ~F.col("parent") & (F.col("n") > 0))
+        .otherwise(F.lit(True))
     )
-    is_required = F.array_contains(wanted, F.concat_ws(".", "table_name", "columns"))
-    return out.where((F.col("n_rows") > 0) & ((F.col("check") != "not_null") | is_required))
+    return per_value.where(broken).groupBy(*constraint).agg(F.sum("n").alias("n_rows"))
+
+
+def _value(names: Sequence[str]) -> Column:
+    """Key columns as one text, null if one of them is; lengths keep them apart."""
+    parts = [F.col(n).cast("string") for n in names]
+    return F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)])
 
 
-def _finding(check: str, table: str, columns: str, n: Column) -> list[Column]:
-    return [
+def _fact(
+    check: str, table: str, columns: str, value: Column, parent: bool = False
+) -> Column:
+    return F.struct(
         F.lit(check).alias("check"),
         F.lit(table).alias("table_name"),
         F.lit(columns).alias("columns"),
-        F.coalesce(n.cast("long"), F.lit(0).cast("long")).alias("n_rows"),
-    ]
-
-
-def _key_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Rows with a repeated key, and rows without one."""
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    totals = counted.agg(
-        F.sum(F.when(~missing & (F.col("_n") > 1), F.col("_n"))).alias("repeated"),
-        F.sum(F.when(missing, F.col("_n"))).alias("missing"),
-    )
-    columns = ",".join(keys)
-    findings = F.array(
-        F.struct(*_finding("unique", table, columns, F.col("repeated"))),
-        F.struct(*_finding("not_null", table, columns, F.col("missing"))),
+        value.alias("value"),
+        F.lit(parent).alias("parent"),
     )
-    return totals.select(F.inline(findings))
 
 
 def article_counters(raw: DataFrame, cleaned: DataFrame, missing: str) -> DataFrame:

@@ -21,22 +21,16 @@ def prepare_batch(
     return first_n(df.dropna(subset=list(keys)), keys, order)
 
 
-def _present_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the batch that the target holds.
-
-    Reads only the key columns of the target, and a small batch is broadcast, so a large
-    target is scanned in place and never shuffled.
-    """
-    return target.select(*keys).join(batch.select(*keys), keys, "left_semi")
-
-
 def new_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """The rows that an insert-only merge adds."""
+    """The rows that an insert-only merge adds.
+
+    Reads only the key columns of the target, once, and the batch once.
+    """
     names = list(keys)
     ready = prepare_batch(batch, names, order)
-    return ready.join(_present_keys(target, ready, names), names, "left_anti")
+    return ready.join(target.select(*names), names, "left_anti")
 
 
 def upsert(
@@ -50,33 +44,25 @@ def upsert(
 
     ``nothing`` keeps existing rows as they are. ``update`` overwrites their other columns
     with the batch's values, nulls included; columns that the batch lacks stay. ``order``
-    says which of several batch rows with one key comes first.
+    says which of several batch rows with one key comes first. One full outer join on the keys
+    brings both sides together; each is read once.
     """
     names = list(keys)
     unknown = [c for c in batch.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
-    inserts = new_rows(target, batch, names, order)
-    if on_conflict == "nothing":
-        kept = target
-    elif on_conflict == "update":
-        kept = _updated(target, prepare_batch(batch, names, order), names)
-    else:
+    if on_conflict not in ("nothing", "update"):
         raise ValueError(f"unknown conflict rule {on_conflict!r}")
-    merged = kept.unionByName(inserts, allowMissingColumns=True)
-    return merged.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-
-
-def _updated(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    changed = [c for c in batch.columns if c not in keys]
-    patch = batch.select(
-        *keys, F.struct(F.lit(True).alias("hit"), *changed).alias("_patch")
-    )
-    joined = target.join(patch, keys, "left")
+    ready = prepare_batch(batch, names, order)
+    theirs = [c for c in batch.columns if c not in names]
+    new = ready.select(*names, F.struct(F.lit(True).alias("hit"), *theirs).alias("_new"))
+    old = target.withColumn("_old", F.lit(True))
+    joined = old.join(new, names, "full")
+    taken = F.col("_new.hit") if on_conflict == "update" else F.col("_old").isNull()
     out = [
-        F.when(F.col("_patch.hit"), F.col(f"_patch.{c}")).otherwise(F.col(c)).alias(c)
-        if c in changed
-        else F.col(c)
-        for c in target.columns
+        F.when(taken, F.col(f"_new.{f.name}").cast(f.dataType)).otherwise(F.col(f.name))
+        if f.name in theirs
+        else F.col(f.name).cast(f.dataType)
+        for f in target.schema.fields
     ]
-    return joined.select(*out)
+    return joined.select(*[c.alias(f.name) for c, f in zip(out, target.schema.fields, strict=True)])

@@ -121,3 +121,10 @@ def test_duplicate_report_aggregates_before_the_shuffle(spark, small):
     df = quality.duplicate_keys(view(spark, small, "signals"), ["ticker_id"])
     assert "partial_count" in plan(df)
     assert df.where(F.col("n_rows") < 2).isEmpty()
+
+
+@pytest.mark.parametrize(
+    ("name", "scans"), [("upsert_update", 2), ("upsert_nothing", 2), ("constraint_violations", 4)]
+)
+def test_each_side_is_read_once(spark, small, name, scans):
+    assert len(re.findall(r"\n[ +:*()\d-]*Scan parquet|FileScan parquet", plan(QUERIES[name](spark, small)))) <= scans
