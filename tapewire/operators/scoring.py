@@ -22,7 +22,9 @@ from tapewire.constants import (
 )
 from tapewire.functions import labels, text
 from tapewire.functions.ids import text_key
-from tapewire.operators.joins import join_hot
+
+# Texts from which a task judges by its failures that the model is broken.
+FAILURES_FROM = 20
 
 Scorer = Callable[[Column], Column]
 Model = Callable[[list[str]], Sequence[tuple[str, float]]]
@@ -84,30 +86,44 @@ class ModelScorer:
 
     ``load`` returns the model and must be a module-level function, so that a worker
     recognises it and loads once. The model takes a list of texts and returns one
-    (label, confidence) pair each. ``max_chars`` is the model's own input limit, counted
-    after surrounding whitespace is removed if ``strip`` is set. A text that fails gets a
-    null label and does not disturb its neighbours.
+    (label, confidence) pair each. A text longer than ``window_chars``, the model's own input
+    limit, is scored window by window and the windows' results are combined, so that the
+    whole text counts. ``max_chars`` cuts texts instead, where a caller asks for that.
+    Surrounding whitespace is removed first if ``strip`` is set.
+
+    A text that fails gets a null label and does not disturb its neighbours. A task in
+    which more than ``max_failed`` of at least ``FAILURES_FROM`` texts fail raises an error.
     """
 
     load: Callable[[], Model]
     max_chars: int | None = None
     strip: bool = False
     batch_size: int = 64
+    window_chars: int | None = None
+    max_failed: float = 0.5
 
     expensive = True
 
     def __call__(self, content: Column) -> Column:
         load, size = self.load, self.batch_size
+        window, max_failed = self.window_chars, self.max_failed
 
         @pandas_udf("label string, confidence double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            model = _loaded(load)
+            model, seen, failed = _loaded(load), 0, 0
             for texts in batches:
                 rows = [
                     row
                     for i in range(0, len(texts), size)
-                    for row in score_batch(model, list(texts.iloc[i : i + size]))
+                    for row in score_windows(model, list(texts.iloc[i : i + size]), window, size)
                 ]
+                seen += sum(t is not None for t in texts)
+                failed += sum(
+                    t is not None and label is None
+                    for t, (label, _) in zip(texts, rows, strict=True)
+                )
+                if seen >= FAILURES_FROM and failed > max_failed * seen:
+                    raise RuntimeError(f"the model failed on {failed} of {seen} texts")
                 yield pd.DataFrame(rows, columns=["label", "confidence"], index=texts.index)
 
         # Not deterministic in Spark's sense: a filter on the label must not be pushed
@@ -117,13 +133,45 @@ class ModelScorer:
 
 
 def vote_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
-    """A model for the vote, reading what the vote's texts are cut to."""
-    return ModelScorer(load, VOTE_MODEL_CHARS, strip=True, batch_size=batch_size)
+    """A model for the vote, over whole texts in windows of the size that it reads."""
+    return ModelScorer(load, strip=True, batch_size=batch_size, window_chars=VOTE_MODEL_CHARS)
 
 
 def impact_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
-    """A model for the impact score, reading what title and content together are cut to."""
-    return ModelScorer(load, IMPACT_MODEL_CHARS, batch_size=batch_size)
+    """A model for the impact score, over title and content in windows that it reads."""
+    return ModelScorer(load, batch_size=batch_size, window_chars=IMPACT_MODEL_CHARS)
+
+
+def score_windows(
+    model: Model, texts: list[str], window: int | None, size: int
+) -> list[tuple[str | None, float | None]]:
+    """Score texts, each in windows of ``window`` characters.
+
+    Of several windows, positive confidences count up and negative ones down; the sign of
+    the sum is the label and its size over the number of windows the confidence. A text
+    fails if one of its windows does.
+    """
+    if window is None:
+        return score_batch(model, texts)
+    parts = [
+        [t[i : i + window] for i in range(0, max(len(t), 1), window)] if t is not None else [None]
+        for t in texts
+    ]
+    flat = [part for one in parts for part in one]
+    found = [
+        row for i in range(0, len(flat), size) for row in score_batch(model, flat[i : i + size])
+    ]
+    rows, out = iter(found), []
+    for one in parts:
+        scored = [next(rows) for _ in one]
+        if len(scored) == 1 or any(label is None for label, _ in scored):
+            out.append(scored[0] if len(scored) == 1 else (None, None))
+            continue
+        signs = {"positive": 1, "negative": -1}
+        total = sum(signs.get(label, 0) * confidence for label, confidence in scored)
+        label = "positive" if total > 0 else "negative" if total < 0 else "neutral"
+        out.append((label, abs(total) / len(scored)))
+    return out
 
 
 def score_batch(model: Model, texts: list[str]) -> list[tuple[str | None, float | None]]:
@@ -135,6 +183,8 @@ def score_batch(model: Model, texts: list[str]) -> list[tuple[str | None, float
             present, model([texts[i] for i in present]), strict=True
         ):
             out[i] = (str(label).lower(), float(confidence))
+    except MemoryError:
+        raise
     except Exception:  # noqa: BLE001 - any model error means an unscored text
         if len(present) > 1:
             for i in present:
@@ -150,14 +200,14 @@ def score_texts(
     """Add the scorer's struct, null where the text is not usable.
 
     A cheap scorer is a plain expression. An expensive one sees each distinct text once:
-    texts are grouped by their 32-byte key, scored, and joined back on the key, with the
-    rows of a hot text spread over many tasks.
+    texts are grouped by their 32-byte key, scored, and joined back on the key. Adaptive
+    execution splits the rows of a hot text over many tasks.
     """
     if not _is_expensive(scorer):
         return df.withColumn(name, F.when(usable, scorer(content)))
     keyed = df.withColumn("_key", F.when(usable, text_key(content)))
     scored = _score_once(df.where(usable), content, scorer, name)
-    return join_hot(keyed, scored, ["_key"]).drop("_key")
+    return keyed.join(scored, "_key", "left").drop("_key")
 
 
 def _is_expensive(scorer: Scorer) -> bool:
@@ -189,7 +239,7 @@ def text_labels(
         F.col("_key").alias("text_key"), F.lower("_scored.label").alias("label")
     )
     once = rows.select(*keep, "text_key").distinct()
-    return join_hot(once, scored, ["text_key"]).select(*keep, "text_key", "label")
+    return once.join(scored, "text_key", "left").select(*keep, "text_key", "label")
 
 
 def with_labels(news: DataFrame, scorer: Scorer, content: str = "content") -> DataFrame:

@@ -41,3 +41,10 @@ def load_counter(folder):
         return score
 
     return load
+
+
+def broken_model():
+    def score(texts):
+        raise RuntimeError("no weights")
+
+    return score

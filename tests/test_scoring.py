@@ -98,14 +98,25 @@ def test_score_batch_of_all_failures():
     assert scoring.score_batch(lambda texts: [], ["a"]) == [(None, None)]
 
 
-def test_model_reads_up_to_its_limit(spark):
-    scorer = scoring.impact_model(models.length_model)
-    df = articles(spark, ("", "x" * 4999))
-    assert scoring.with_impact(df, scorer).first()["impact_score"] == 0.2
+def test_model_reads_whole_texts_in_windows(spark):
+    scorer = scoring.impact_model(models.keyword_model)
+    df = articles(spark, ("", "x" * 4990 + " good"), ("", "good " + "x" * 3000 + " bad" + "y" * 3000))
+    found = [r["impact_score"] for r in scoring.with_impact(df, scorer).collect()]
+    assert found[0] > 0 and len(found) == 2
+    assert scoring.score_windows(models.keyword_model(), ["good", None], 2000, 8) == (
+        scoring.score_batch(models.keyword_model(), ["good", None])
+    )
+
+
+def test_a_broken_model_stops_the_job(spark):
+    scorer = scoring.ModelScorer(models.broken_model)
+    df = spark.range(40).select(F.concat(F.lit("t"), "id").alias("content")).coalesce(1)
+    with pytest.raises(Exception, match="the model failed on"):
+        scoring.with_labels(df, scorer).collect()
 
 
 def test_vote_model_reads_the_stripped_text(spark):
-    scorer = scoring.vote_model(models.first_letter_model)
+    scorer = scoring.ModelScorer(models.first_letter_model, max_chars=VOTE_MODEL_CHARS, strip=True)
     df = spark.createDataFrame([("A", "\u3000\n bad" + "x" * 9000)], "ticker string, content string")
     assert scoring.with_labels(df, scorer).first().label == "starts with b, 4000 long"
     assert scoring.text_labels(df, scorer, ["ticker"]).first().label == "starts with b, 4000 long"

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tapewire import schemas
 from tapewire.operators import news, votes
 from tapewire.operators.dedupe import first_n
-from tapewire.operators.joins import join_hot
 from tapewire.operators.quality import orphans
 from tapewire.operators.reliability import rate_known_and_unprobed
 from tapewire.operators.scoring import LexiconScorer, with_impact
@@ -84,16 +83,6 @@ def test_hot_foreign_key_and_hot_source(spark, hot):
     assert set(rated) == {"hot.com", "new.xyz"} and rated["new.xyz"] == 18.0
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_a_plain_one(spark, hot, how):
-    left = hot.select(F.when(F.col("content") != "good 7", F.col("ticker")).alias("k"), "content")
-    right = spark.createDataFrame([("HOT", 1), ("T1", 2), ("T499", 3)], "k string, v int")
-    salted, plain = join_hot(left, right, ["k"], how), left.join(right, ["k"], how)
-    assert salted.columns == plain.columns
-    assert salted.count() == plain.count()
-    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
-
-
 def test_hot_key_in_a_merge(spark, hot):
     target = hot.select("source_url", F.lit(0).alias("v")).where("source_url = 'https://hot.com/'").limit(1)
     batch = hot.select("source_url", F.lit(1).alias("v"))
