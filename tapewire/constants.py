@@ -14,14 +14,11 @@ SECTOR_TICKERS = {
     "entertainment": ["DIS", "NFLX", "CMCSA", "WBD", "EA"],
 }
 
-# Articles kept per sector and run; characters a transformer model reads.
-SECTOR_HEAD = 20
+# Characters a transformer model reads.
 IMPACT_MODEL_CHARS = 2000
 VOTE_MODEL_CHARS = 4000
-# Row cap of the recent-signals report; default and bounds of its top list.
-RECENT_SIGNALS = 2000
+# Fixed value: length of the report's top list.
 TOP_ARTICLES_DEFAULT = 5
-TOP_ARTICLES_RANGE = (3, 20)
 
 # Sites of user-generated content.
 UGC_SITES = [
@@ -77,8 +74,8 @@ FEATURE_WEIGHTS = {
     "ugc_score": -0.30,
 }
 
-# Common public suffixes of more than one label. A suffix of one label
-# needs no entry: a host that ends in none of these has its last label as the suffix.
+# Common public suffixes of more than one label, not all there are. A suffix of
+# one label needs no entry: a host that ends in none of these has its last label as the suffix.
 COMPOUND_SUFFIXES = [
     "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "org.uk", "plc.uk",
     "com.au", "edu.au", "gov.au", "net.au", "org.au",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tapewire.functions.market import nan_to_null
+from tapewire.functions.market import finite
 from tapewire.functions.text import col
 
 
@@ -46,4 +46,4 @@ def impact(label: Column | str, confidence: Column | str) -> Column:
     signed = F.when(col(label) == "positive", col(confidence)).when(
         col(label) == "negative", -col(confidence)
     )
-    return F.coalesce(F.round(nan_to_null(signed), 4), F.lit(0.0))
+    return F.coalesce(F.round(finite(signed), 4), F.lit(0.0))

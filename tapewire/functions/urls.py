@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from tapewire.constants import COMPOUND_SUFFIXES
 from tapewire.functions.text import col, strip
 
 _AUTHORITY = r"^https?://(?:[^/?#]*@)?(\[[^\]]*\]|[^/:?#]+)"
 _IPV4 = r"^\d{1,3}(\.\d{1,3}){3}$"
-_DOMAIN = r"^([a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?\.)+([a-z]{2,63}|xn--[a-z0-9-]{1,59})$"
+# Letters and digits of any script, as an internationalised name has before its conversion.
+_DOMAIN = (
+    r"^([\p{L}\p{N}]([\p{L}\p{M}\p{N}-]{0,61}[\p{L}\p{M}\p{N}])?\.)+"
+    r"([\p{L}\p{M}]{2,63}|xn--[a-z0-9-]{1,59})$"
+)
 
 
 def host(url: Column | str) -> Column:
@@ -33,28 +37,52 @@ def source_id(url: Column | str) -> Column:
 
 
 def registered_domain(
-    host_: Column | str, compound_suffixes: Iterable[str] = COMPOUND_SUFFIXES
+    host_: Column | str, suffixes: Iterable[str] = COMPOUND_SUFFIXES
 ) -> Column:
     """Public suffix plus one label, decided row by row without a join.
 
-    The longest listed suffix wins; a host that ends in none has its last label as the
-    suffix. A host that is itself a suffix, or an IPv4 address, stays as it is.
+    ``suffixes`` are rules of the public suffix list: a suffix, ``*.`` and a suffix for any
+    label before it, or ``!`` and a host that such a rule does not cover. The longest rule that
+    fits wins, an exception before all others; a host that no rule fits has its last label as
+    the suffix. The built-in rules are the common ones only: pass ``read_suffixes`` of the full
+    list wherever other suffixes occur. A host that is itself a suffix, or an IPv4 address,
+    stays as it is.
     """
     h = F.rtrim(F.lower(col(host_)), F.lit("."))
     labels = F.split(h, r"\.")
     n = F.size(labels)
-    suffixes = list(compound_suffixes)
-    longest = max((s.count(".") + 1 for s in suffixes), default=1)
-    keep = F.lit(2)
-    for k in range(2, longest + 1):
-        listed = [s for s in suffixes if s.count(".") + 1 == k]
-        if listed:
-            tail = F.substring_index(h, ".", -k)
-            keep = F.when(tail.isin(listed), k + 1).otherwise(keep)
+    rules = [r.strip().lower() for r in suffixes]
+    depth = lambda rule: rule.count(".") + 1
+    keep, exact = F.lit(2), F.lit(None).cast("int")
+    for k in range(2, max((depth(r) for r in rules), default=1) + 1):
+        of_depth = [r for r in rules if depth(r) == k]
+        plain = [r for r in of_depth if r[0] not in "*!"]
+        wild = [r[2:] for r in of_depth if r.startswith("*.")]
+        excepted = [r[1:] for r in of_depth if r.startswith("!")]
+        tail = F.substring_index(h, ".", -k)
+        if plain:
+            keep = F.when(tail.isin(plain), k + 1).otherwise(keep)
+        if wild:
+            below = F.substring_index(h, ".", -(k - 1)).isin(wild) & (n >= k)
+            keep = F.when(below, k + 1).otherwise(keep)
+        if excepted:
+            exact = F.when(tail.isin(excepted), k).otherwise(exact)
+    keep = F.coalesce(exact, keep)
     domain = F.array_join(F.slice(labels, F.greatest(n - keep + 1, F.lit(1)), keep), ".")
     return F.when(h.rlike(_IPV4), h).otherwise(domain)
 
 
+def read_suffixes(spark: SparkSession, path: str, most: int = 100_000) -> list[str]:
+    """The rules of a file in the public suffix list's format, at most ``most`` of them."""
+    line = F.regexp_extract("value", r"^\s*(\S+)", 1)
+    rules = spark.read.text(path).select(line.alias("rule"))
+    rows = rules.where((F.col("rule") != "") & ~F.col("rule").startswith("//")).limit(most + 1)
+    found = sorted({r["rule"] for r in rows.collect()})
+    if len(found) > most:
+        raise ValueError(f"more than {most} suffix rules")
+    return found
+
+
 def is_valid_domain(domain: Column | str) -> Column:
     return F.coalesce(
         col(domain).rlike(_DOMAIN) & (F.length(col(domain)) <= 253), F.lit(False)

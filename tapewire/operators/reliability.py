@@ -7,11 +7,13 @@ means that the visit or that part of it failed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapewire.constants import (
     COMMERCIAL_ENDINGS,
+    COMPOUND_SUFFIXES,
     FEATURE_WEIGHTS,
     INSTITUTION_ENDINGS,
     REACHABLE_STATUS,
@@ -20,8 +22,8 @@ from tapewire.constants import (
     UGC_SITES,
 )
 from tapewire.functions import dates, urls
+from tapewire.functions.market import finite
 from tapewire.functions.text import col
-from tapewire.operators.joins import join_hot
 
 # Scales of the features.
 MAX_ELAPSED_S = 5
@@ -38,12 +40,12 @@ RATING_A_FROM, RATING_B_ABOVE = 86, 55
 
 
 def clamp_scale(value: Column | str, low: float | Column, high: float | Column) -> Column:
-    """Scale to [0, 1] between two bounds, clamped; null counts as 0."""
+    """Scale to [0, 1] between two bounds, clamped; null and NaN count as 0."""
     lo, hi = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
     scaled = (col(value).cast("double") - lo) / (hi - lo)
-    # greatest and least pass over nulls, so a null has to be taken out before them.
+    # greatest and least pass over nulls and rank NaN above all, so both go before them.
     clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), scaled))
-    return F.when(col(value).isNull(), 0.0).otherwise(clamped)
+    return F.when(col(value).isNull() | F.isnan(scaled), 0.0).otherwise(clamped)
 
 
 def distinct_sources(articles: DataFrame, url: str = "source_url") -> DataFrame:
@@ -59,17 +61,21 @@ def summarise_probe(probe: DataFrame) -> DataFrame:
     return probe.select(
         "source_id",
         "status_code",
-        "elapsed_s",
+        finite("elapsed_s").alias("elapsed_s"),
         "creation_date",
-        "polarity",
+        finite("polarity").alias("polarity"),
         F.length("article_text").alias("text_chars"),
         urls.contains_any(page, phrases).alias("ugc_page"),
     )
 
 
-def source_features(observed: DataFrame, as_of: str | dt.date | Column) -> DataFrame:
+def source_features(
+    observed: DataFrame,
+    as_of: str | dt.date | Column,
+    suffixes: Sequence[str] = COMPOUND_SUFFIXES,
+) -> DataFrame:
     """The eight features of each summarised observation, and its registered domain."""
-    df = observed.withColumn("registered", urls.registered_domain("source_id"))
+    df = observed.withColumn("registered", urls.registered_domain("source_id", suffixes))
     address = F.concat(F.lit("https://"), F.col("source_id"))
     reached = F.col("status_code").isNotNull()
     status = F.when(F.col("status_code").isin(REACHABLE_STATUS), 1.0).otherwise(0.5)
@@ -131,7 +137,7 @@ def reliability_score(exact_trust: bool = False) -> Column:
     solid = (F.col("domain_age") > FLOOR_MIN_AGE) & (F.col("ugc_score") < FLOOR_MAX_UGC)
     total = F.when(solid, F.greatest(total, F.lit(float(SCORE_FLOOR)))).otherwise(total)
     clamped = F.greatest(F.lit(0.0), F.least(total, F.lit(100.0)))
-    return F.coalesce(F.round(clamped, 2), F.lit(0.0))
+    return F.when(total.isNull() | F.isnan(total), 0.0).otherwise(F.round(clamped, 2))
 
 
 def source_scores(features: DataFrame, exact_trust: bool = False) -> DataFrame:
@@ -174,15 +180,19 @@ def rate_from_first_run(
     run_col: str = "run_date",
     url: str = "source_url",
     exact_trust: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Ratings of all sources over many runs, each as of the first run that met it.
 
-    This is what an insert-only table holds after rating the sources run by run.
+    This is what an insert-only table holds after rating the sources run by run. Sources
+    that ``known`` holds already are left out before anything is rated.
     """
     met = articles.select(urls.source_id(url).alias("source_id"), F.col(run_col).alias("as_of"))
     first = met.where(F.col("source_id").isNotNull()).groupBy("source_id")
     wanted = first.agg(F.min("as_of").alias("as_of"))
-    observed = join_hot(summarise_probe(probe), wanted, ["source_id"], "inner")
+    if known is not None:
+        wanted = wanted.join(known.select("source_id"), "source_id", "left_anti")
+    observed = summarise_probe(probe).join(wanted, "source_id")
     return _rate_with_fallback(observed, wanted, F.col("as_of"), exact_trust)
 
 

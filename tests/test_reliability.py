@@ -190,3 +190,21 @@ def test_longest_suffix_wins(spark):
     df = spark.createDataFrame([("x.city.kawasaki.jp",), ("a.co.jp",)], "h string")
     got = df.select(urls.registered_domain("h", ["co.jp", "kawasaki.jp", "city.kawasaki.jp"]))
     assert rows(got) == [("x.city.kawasaki.jp",), ("a.co.jp",)]
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf")])
+def test_numbers_that_are_none_count_as_missing(spark, value):
+    def score(elapsed, polarity):
+        row = ("a.com", 404, elapsed, "", None, "x" * 2500, polarity)
+        probe = spark.createDataFrame([row], schemas.SOURCE_PROBE)
+        observed = reliability.summarise_probe(probe)
+        return reliability.source_scores(reliability.source_features(observed, "2024-02-01")).first()
+
+    assert score(value, 0.0).response_time == 0.0
+    assert score(1.0, value).reliability_score == score(1.0, None).reliability_score
+    assert score(value, value).reliability_score < 100
+
+
+def test_domains_of_any_script(spark):
+    hosts = spark.createDataFrame([("m\u00fcnchen.de",), ("xn--mnchen-3ya.de",), ("-a.de",), ("a_b.de",)], "h string")
+    assert [r[0] for r in hosts.select(urls.is_valid_domain("h")).collect()] == [True, True, False, False]
