@@ -40,9 +40,12 @@ def daily_report(
     empty selection filters nothing. The sentiment selection narrows the summary but not
     the indicators. Articles are those published the day before.
 
-    Day and ticker filters reach the scan, and the latest row per ticker is picked before
+    Day and ticker filters reach the scan, of stored signals also the partitions, and the latest row per ticker is picked before
     the dimensions are joined: a ticker has one sector, so the sector filter may follow.
     """
+    # The stored table is partitioned by run date, which is the date of creation.
+    if "run_date" in signals.columns:
+        signals = signals.where(F.col("run_date") == dates.date_lit(report_date))
     day = reports.on_day(signals, "created_at", report_date)
     day = reports.select_in(day, "ticker_id", ticker_ids)
     latest = latest_per_key(day, "ticker_id", id_col="ticker_article_id")

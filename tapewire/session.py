@@ -24,9 +24,9 @@ def build_session(app: str = "tapewire", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
-    """The shared folder that the cluster names; ``default`` serves only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", default)
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("spark.checkpoint.dir is not set and no default folder was given")
+        raise ValueError("spark.checkpoint.dir is not set")
     return root.rstrip("/")

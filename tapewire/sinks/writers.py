@@ -29,15 +29,14 @@ def _save(writer_of, df: DataFrame, path: str, fmt: str) -> int:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: str, fmt: str = "parquet", spread: bool = True
+    df: DataFrame, path: str, partition_by: str, fmt: str = "parquet"
 ) -> int:
     """Replace the partitions that occur in ``df`` and leave all others alone.
 
-    Running a day again therefore replaces that day. ``spread`` rebalances the rows by
-    partition value first: small days share a task, and a day with most of the rows is split
-    over many. Rows of one single day need no such shuffle; their tasks write side by side.
+    Running a day again therefore replaces that day. Rows are rebalanced by partition value
+    first: small days share a task, and a day with most of the rows is split over many.
     """
-    ready = spread_by(df, partition_by) if spread else df
+    ready = spread_by(df, partition_by)
 
     def writer(rows: DataFrame) -> DataFrameWriter:
         return (
@@ -78,7 +77,12 @@ def insert_new(
     The table is read by its key columns and never rewritten.
     """
     target = spark.read.schema(schema).parquet(path)
-    return write_table(align(new_rows(target, batch, keys, order), schema), path, mode="append")
+    return append_rows(align(new_rows(target, batch, keys, order), schema), path)
+
+
+def append_rows(rows: DataFrame, path: str) -> int:
+    """Append to a table in few files: small inserts leave one, large ones are spread."""
+    return write_table(rows.hint("rebalance"), path, mode="append")
 
 
 def write_merged(merged: DataFrame, target_path: str, new_path: str) -> int:

@@ -17,34 +17,58 @@ def read_landing(
     schema: T.StructType,
     run_dates: Sequence[str | dt.date] | None = None,
     run_col: str = "run_date",
+    bad_col: str | None = None,
 ) -> DataFrame:
     """JSON lines under ``root/date=YYYY-MM-DD/`` with the run date as a column.
 
     The run date comes from the path rather than from partition discovery, because a
     partition column ``date`` would replace the trade date that price rows carry. Given
-    run dates limit the listing to their directories.
+    run dates limit the listing to their directories. A line that is no JSON is a row of nulls;
+    ``bad_col`` names a column that holds its text, null for all other rows.
     """
     base = root.rstrip("/")
     paths = [base] if run_dates is None else [f"{base}/date={d}" for d in run_dates]
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").json(paths)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if bad_col:
+        schema = T.StructType([*schema.fields, T.StructField(bad_col, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", bad_col)
+    files = reader.schema(schema).json(paths)
     run = F.regexp_extract(F.col("_metadata.file_path"), r"date=(\d{4}-\d{2}-\d{2})", 1)
     return files.select("*", run.try_cast("date").alias(run_col))
 
 
+def bad_lines(landed: DataFrame, bad_col: str) -> int:
+    """Lines of a landed feed that were no JSON."""
+    # Spark refuses to read the column of bad lines alone.
+    count = F.count_if(F.col(bad_col).isNotNull()).alias("n")
+    return landed.agg(count, F.count(landed.columns[0])).first()["n"]
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, files: str = "*.csv"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files: str = "*.csv",
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header in any letter case and column order; text that does not fit its
     type becomes null. Nothing is inferred.
 
-    Quoted fields may hold line breaks and doubled quotes, as article texts do.
+    All files of a folder must have the same header; reading one that differs raises an
+    error, since Spark matches columns by place. Quoted fields may hold doubled quotes and,
+    with ``multi_line``, line breaks, as article texts do; a file is then read by one task.
     """
-    reader = spark.read.options(header=True, multiLine=True, escape='"', pathGlobFilter=files)
-    return align(lower_columns(reader.csv(path)), schema)
+    reader = spark.read.options(
+        header=True, multiLine=multi_line, escape='"', pathGlobFilter=files
+    )
+    names = reader.csv(path).columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    checked = reader.schema(text).option("enforceSchema", "false").csv(path)
+    return align(lower_columns(checked), schema)
 
 
 def has_files(spark: SparkSession, path: str, suffix: str) -> bool:

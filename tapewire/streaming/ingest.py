@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewire import schemas
+from tapewire.operators.columns import align
 from tapewire.operators.news import clean_sector_news
 from tapewire.operators.scoring import Scorer
+from tapewire.operators.upsert import new_rows
 from tapewire.plans.sector_articles import as_sector_articles, score_articles
 from tapewire.session import checkpoint_root
 from tapewire.sinks import writers
+from tapewire.sources.readers import read_parquet
 
 
 def load_new_sector_articles(
@@ -23,7 +26,6 @@ def load_new_sector_articles(
     table: str,
     scorer: Scorer,
     name: str,
-    checkpoint_default: str | None = None,
 ) -> StreamingQuery:
     """Load what has landed since the last call of this name, then stop.
 
@@ -41,17 +43,13 @@ def load_new_sector_articles(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         clean = clean_sector_news(batch, "run_date", first_run_wins=True)
-        articles = as_sector_articles(score_articles(clean, scorer, "run_date"), "run_date")
-        writers.insert_new(
-            batch.sparkSession,
-            table,
-            schemas.SECTOR_ARTICLE,
-            articles,
-            ["source_url"],
-            [F.col("created_at").asc(), F.col("sector_article_id").asc()],
-        )
-
-    root = checkpoint_root(spark, checkpoint_default)
+        # Stored addresses go before anything is scored.
+        stored = read_parquet(batch.sparkSession, table, schemas.SECTOR_ARTICLE)
+        fresh = new_rows(stored, clean, ["source_url"], [F.col("run_date").asc()])
+        articles = as_sector_articles(score_articles(fresh, scorer, "run_date"), "run_date")
+        writers.append_rows(align(articles, schemas.SECTOR_ARTICLE), table)
+
+    root = checkpoint_root(spark)
     return (
         landed.writeStream.foreachBatch(merge)
         .option("checkpointLocation", f"{root}/{name}")

@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__maxPlanStringLength="2000000",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,10 +7,12 @@ import pytest
 
 from tapewire import schemas
 from tapewire.operators import quality
-from tapewire.operators.scoring import LexiconScorer
+from tapewire.operators.scoring import LexiconScorer, ModelScorer
 from tapewire.plans.daily_run import TABLES, create_warehouse, run_day, run_days
 from tapewire.session import checkpoint_root
 from tapewire.streaming.ingest import load_new_sector_articles
+from tapewire.plans.daily_report import daily_report
+from tests import models
 from tests.conftest import rows
 
 SCORER = LexiconScorer(("good",), ("bad",))
@@ -67,6 +69,12 @@ def test_days_build_up_a_consistent_warehouse(spark, tmp_path, probe):
         "ticker_article": 1,
         "sources": 2,
         "sector_article": 2,
+        "articles_of_unknown_sector": 0,
+        "signals_of_unknown_ticker": 0,
+        "sector_rows_in": 2,
+        "sector_rows_dropped": 0,
+        "sector_duplicates_removed": 0,
+        "bad_lines": 0,
     }
     second = run("2024-01-09")
     assert (second["sources"], second["sector_article"]) == (1, 1)
@@ -92,6 +100,49 @@ def test_days_build_up_a_consistent_warehouse(spark, tmp_path, probe):
     assert report.isEmpty()
 
 
+def test_refused_rows_and_bad_lines_are_counted(spark, tmp_path, probe):
+    landing, curated, warehouse = (str(tmp_path / n) for n in ("landing", "curated", "warehouse"))
+    land_day(tmp_path / "landing", "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
+    ticker, sector = (tmp_path / f"landing/news/{k}/date=2024-01-08" for k in ("ticker", "sector"))
+    (ticker / "more.jsonl").write_text(json.dumps(ticker_item("NOPE", "good", "u")) + "\n{broken\n")
+    more = [sector_item(77, "good", "https://c.com/3"), {"sector_id": 1}, sector_item(2, "bad", "https://a.com/1")]
+    (sector / "more.jsonl").write_text("".join(json.dumps(r) + "\n" for r in more) + "no json\n")
+    create_warehouse(spark, warehouse)
+    got = run_day(spark, landing, curated, warehouse, probe, "2024-01-08", SCORER, SCORER)
+    assert got["bad_lines"] == 2
+    assert (got["articles_of_unknown_sector"], got["signals_of_unknown_ticker"]) == (1, 1)
+    assert (got["sector_rows_in"], got["sector_rows_dropped"], got["sector_duplicates_removed"]) == (5, 1, 1)
+    assert (got["ticker_article"], got["sector_article"]) == (1, 2)
+
+
+def test_a_second_run_scores_nothing(spark, tmp_path, probe):
+    landing, curated, warehouse = (str(tmp_path / n) for n in ("landing", "curated", "warehouse"))
+    land_day(tmp_path / "landing", "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
+    create_warehouse(spark, warehouse)
+    (tmp_path / "calls").mkdir()
+    model = ModelScorer(models.load_counter(str(tmp_path / "calls")))
+    calls = []
+    for _ in range(2):
+        run_day(spark, landing, curated, warehouse, probe, "2024-01-08", SCORER, model)
+        calls.append(len(list((tmp_path / "calls").iterdir())))
+    assert calls[0] > 0 and calls[1] == calls[0]
+
+
+def test_stored_signals_are_read_by_partition(spark, tmp_path, probe, capsys):
+    landing, curated, warehouse = (str(tmp_path / n) for n in ("landing", "curated", "warehouse"))
+    land_day(tmp_path / "landing", "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
+    create_warehouse(spark, warehouse)
+    run_day(spark, landing, curated, warehouse, probe, "2024-01-08", SCORER, SCORER)
+    tables = {n: spark.read.parquet(f"{warehouse}/{n}") for n in [*TABLES, "ticker_article"]}
+    report = daily_report(
+        tables["ticker_article"], tables["sector_article"], tables["tickers"], tables["sectors"],
+        "2024-01-08",
+    )
+    report.detail.explain("formatted")
+    assert "PartitionFilters: [isnotnull(run_date" in capsys.readouterr().out
+    assert report.detail.count() == 1
+
+
 def test_a_backlog_equals_its_days_in_turn(spark, tmp_path, probe):
     landing = tmp_path / "landing"
     land_day(landing, "2024-01-08", "2024-01-05", 2.0, "https://a.com/1")
@@ -150,7 +201,7 @@ def test_incremental_load_skips_what_is_there(spark, tmp_path):
 
     def load():
         query = load_new_sector_articles(
-            spark, str(landing), table, SCORER, name, checkpoint_default=str(tmp_path / "state")
+            spark, str(landing), table, SCORER, name
         )
         query.awaitTermination()
         return sorted(rows(spark.read.parquet(table).select("source_url", "impact_score", "created_at")))
@@ -174,8 +225,7 @@ def test_checkpoint_folder_comes_from_the_session():
     def session(**settings):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: settings.get(k, d)))
 
-    named = session(**{"spark.checkpoint.dir": "/shared/x"})
-    assert checkpoint_root(named, "/own") == "/shared/x"
-    assert checkpoint_root(session(), "/own/") == "/own"
+    named = session(**{"spark.checkpoint.dir": "/shared/x/"})
+    assert checkpoint_root(named) == "/shared/x"
     with pytest.raises(ValueError, match="checkpoint"):
         checkpoint_root(session())

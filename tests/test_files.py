@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewire import schemas
+from tapewire.functions import urls
 from tapewire.sinks import writers
 from tapewire.sources import payloads, readers
 from tests.conftest import rows
@@ -192,3 +193,37 @@ def test_payloads(spark):
     assert (sector.sector_id, sector.author, sector.source_name) == (0, "x", "BBC")
     outcomes = dict(rows(payloads.payload_outcomes(df)))
     assert outcomes == {"used": 1, "empty": 2, "error": 3}
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("sector_id,SECTOR_NAME\n1,x\n")
+    (tmp_path / "b.csv").write_text("sector_id,sector_name\n2,y\n")
+    both = readers.read_csv(spark, str(tmp_path), schemas.SECTORS)
+    assert sorted(rows(both)) == [(1, "x"), (2, "y")]
+    for header in ("sector_name,sector_id\ny,2\n", "sector_id,sector_name,more\n2,y,z\n"):
+        (tmp_path / "b.csv").write_text(header)
+        with pytest.raises(Exception, match="(?i)header"):
+            readers.read_csv(spark, str(tmp_path), schemas.SECTORS).collect()
+
+
+def test_bad_json_lines_are_kept_and_counted(spark, tmp_path):
+    folder = tmp_path / "date=2024-01-08"
+    folder.mkdir()
+    (folder / "part.jsonl").write_text('{"ticker": "A"}\n{"ticker": \n[1\n{"ticker": "B"}\n')
+    landed = readers.read_landing(
+        spark, str(tmp_path), schemas.RAW_TICKER_NEWS, bad_col="bad"
+    )
+    assert readers.bad_lines(landed, "bad") == 2
+    assert sorted(r.ticker for r in landed.cache().where("bad is null").collect()) == ["A", "B"]
+
+
+def test_suffix_rules_from_a_file(spark, tmp_path):
+    path = tmp_path / "rules.dat"
+    path.write_text("// comment\n\ncom\nco.uk\n*.ck // more\n!www.ck\n")
+    rules = urls.read_suffixes(spark, str(path))
+    assert rules == ["!www.ck", "*.ck", "co.uk", "com"]
+    hosts = spark.createDataFrame([("a.b.co.uk",), ("x.y.z.ck",), ("a.www.ck",), ("b.a.com",)], "h string")
+    found = [r[0] for r in hosts.select(urls.registered_domain("h", rules)).collect()]
+    assert found == ["b.co.uk", "y.z.ck", "www.ck", "a.com"]
+    with pytest.raises(ValueError, match="more than 2"):
+        urls.read_suffixes(spark, str(path), 2)
