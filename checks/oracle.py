@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.views import cte
+from tapewire.constants import TRUSTED_SOURCES, UGC_PHRASES, UGC_SITES
 
 ORACLE: dict[str, str] = {}
 
@@ -77,7 +78,8 @@ CHANGES = (
 select symbol, date, case when open <> 0 then (close - open) / open * 100 end pct,
   case when (open <> 0 and (close - open) / open * 100 >= 0) or (open = 0 and close > 0)
     then 'positive' else 'negative' end trend
-from market_ohlc""",
+from (select symbol, date, case when isfinite(open) then open end open,
+  case when isfinite(close) then close end as close from market_ohlc) m""",
 )
 MATCHED = (
     "matched",
@@ -117,6 +119,58 @@ select ticker, content, title, date_published, source_url from ticker_rows
 qualify row_number() over (partition by ticker, content order by date_published desc nulls last,
   source_url nulls last, title nulls last) = 1""",
 )
+TICKER_RUNS = (
+    "ticker_runs",
+    """
+select r.*, cast(date '2024-01-08' + cast(doc_id % 5 as int) as date) run_date
+from ticker_rows r""",
+)
+add(
+    "ticker_clean_per_run",
+    ["raw_ticker_news"],
+    [TICKER_ROWS, TICKER_RUNS],
+    """
+select run_date, ticker, content, title, date_published, source_url from ticker_runs
+qualify row_number() over (partition by run_date, ticker, content
+  order by date_published desc nulls last, source_url nulls last, title nulls last) = 1""",
+)
+add(
+    "ticker_signal_runs",
+    SIGNAL_VIEWS,
+    [
+        TICKER_ROWS,
+        TICKER_RUNS,
+        ("ticker_labels", TICKER_LABELS[1].replace("from ticker_rows", "from ticker_runs")),
+        (
+            "report_rows",
+            "select distinct ticker, run_date report_date, content, label from ticker_labels",
+        ),
+        VOTES,
+        CHANGES,
+        MATCHED,
+    ],
+    f"""
+select {stable_id('ticker', 'report_date')} id, ticker ticker_id, sent sentiment_from_yesterday,
+  round(pct, 6) price_change_in_percentage, hit as match, cast(report_date as timestamp) created_at
+from matched""",
+)
+add(
+    "undated_articles",
+    ["raw_ticker_news"],
+    [TICKER_ROWS],
+    """
+select ticker, count(*) n_undated from ticker_rows where date_published is null group by ticker""",
+)
+add(
+    "quotes_per_run",
+    ["market_ohlc"],
+    [CHANGES],
+    """
+select cast(c.date + k.off as date) run_date, c.symbol, c.date,
+  case when isfinite(m.open) then m.open end open, round(pct, 6) price_change_in_percentage,
+  trend price_trend
+from changes c join market_ohlc m using (symbol, date), (values (1), (2), (3)) k(off)""",
+)
 add(
     "article_vote",
     ["raw_ticker_news"],
@@ -230,7 +284,7 @@ add(
     ["raw_sector_news"],
     [COMPLETE],
     f"""
-select run_date, sector_id, title, date_published, source_url, author,
+select run_date, sector_id, title, content, date_published, source_url, author,
   cast(null as varchar) source_id
 from complete
 qualify row_number() over (partition by run_date, source_url order by {SECTOR_ORDER}) = 1""",
@@ -241,14 +295,15 @@ add(
     [],
     f"select feed_id, sector_id, date_published, run_date from raw_sector_news where {IN_WINDOW}",
 )
-add(
-    "sector_head_n",
-    ["raw_sector_news"],
-    [],
-    f"""
+for name, n in [("sector_head_n", 3), ("sector_head_20", 20)]:
+    add(
+        name,
+        ["raw_sector_news"],
+        [],
+        f"""
 select feed_id, sector_id, run_date, title, source_url from raw_sector_news where {IN_WINDOW}
-qualify row_number() over (partition by run_date, sector_id order by feed_id) <= 3""",
-)
+qualify row_number() over (partition by run_date, sector_id order by feed_id) <= {n}""",
+    )
 add(
     "impact_score",
     ["raw_sector_news"],
@@ -295,10 +350,11 @@ add(
     ["raw_ticker_news", "raw_sector_news"],
     [],
     """
-select doc_id, cast(null as bigint) feed_id, ticker, cast(null as int) sector_id, date_published,
-  source_url, cast(null as varchar) author, source_name from raw_ticker_news
+select doc_id, cast(null as bigint) feed_id, ticker, cast(null as int) sector_id, title, content,
+  date_published, source_url, cast(null as varchar) author, source_name from raw_ticker_news
 union all
-select null, feed_id, null, sector_id, date_published, source_url, author, source_name
+select null, feed_id, null, sector_id, title, content, date_published, source_url, author,
+  source_name
 from raw_sector_news""",
 )
 
@@ -360,21 +416,27 @@ select symbol, date '2024-01-05' as date, open, high, low, close from price_tick
 where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-06'
 qualify row_number() over (partition by symbol order by ts, open, high, low, close) = 1""",
 )
+DAILY_QUOTES = (
+    "daily_quotes",
+    """
+select symbol, date, case when isfinite(open) then open end open, high, low, close
+from market_ohlc""",
+)
 add(
     "latest_quote",
     ["market_ohlc"],
-    [],
+    [DAILY_QUOTES],
     """
-select symbol, date, open, high, low, close from market_ohlc
+select symbol, date, open, high, low, close from daily_quotes
 where date > date '2024-01-25' and date <= date '2024-01-30'
 qualify row_number() over (partition by symbol order by date desc) = 1""",
 )
 add(
     "quotes_for_universe",
     ["market_ohlc", "tickers"],
-    [],
+    [DAILY_QUOTES],
     """
-select symbol, date, open, high, low, close from market_ohlc
+select symbol, date, open, high, low, close from daily_quotes
 where symbol in (select ticker_id from tickers)""",
 )
 
@@ -402,6 +464,26 @@ add(
 select source_id, registered, {VALID} as valid
 from (select distinct source_id, {REGISTERED} registered from source_probe) h""",
 )
+add(
+    "registered_domain_rules",
+    ["suffix_hosts"],
+    [],
+    """
+select host, registered,
+  regexp_matches(registered, '^([\\p{L}0-9]([\\p{L}0-9-]*[\\p{L}0-9])?[.])+\\p{L}{2,}$') as valid
+from (
+  select host, case
+      when regexp_matches(host, '^[0-9.]+$') then host
+      when regexp_matches(host, '[.]www[.]ck$') then 'www.ck'
+      when regexp_matches(host, '(^|[.])[^.]+[.]ck$')
+        then regexp_extract(host, '([^.]+[.])?[^.]+[.]ck$')
+      when regexp_matches(host, '(^|[.])k12[.]ca[.]us$')
+        then regexp_extract(host, '([^.]+[.])?k12[.]ca[.]us$')
+      when regexp_matches(host, '(^|[.])(ca[.]us|com[.]pe)$')
+        then regexp_extract(host, '([^.]+[.])?[^.]+[.][^.]+$')
+      else regexp_extract(host, '([^.]+[.])?[^.]+$') end registered
+  from suffix_hosts) q""",
+)
 add(
     "distinct_sources",
     ["raw_sector_news"],
@@ -412,6 +494,11 @@ from raw_sector_news where source_url is not null""",
 )
 
 
+def pattern(names: list[str]) -> str:
+    """A pattern that finds one of the names; dots are the only special characters in them."""
+    return "|".join(n.replace(".", "[.]") for n in names)
+
+
 def features(source: str, as_of: str = "date '2024-02-01'") -> list[tuple[str, str]]:
     inst = "regexp_matches(registered, '[.](gov|edu|mil|org|gov[.]sg)$')"
     comm = "regexp_matches(registered, '[.](com|co|net)$')"
@@ -419,19 +506,12 @@ def features(source: str, as_of: str = "date '2024-02-01'") -> list[tuple[str, s
         "coalesce(greatest(0e0, least(1e0, ln(1 + greatest(0, "
         f"{as_of} - creation_date)) / ln(9126e0))), 0e0)"
     )
-    unread = "(article_text is null or polarity is null or length(article_text) < 300)"
-    sites = (
-        "wikipedia[.]org|wikihow[.]com|fandom[.]com|reddit[.]com|quora[.]com|stackexchange[.]com|"
-        "stackoverflow[.]com|wikia[.]org|miraheze[.]org|archive[.]org|tvtropes[.]org"
-    )
-    phrases = (
-        "mediawiki|view history|edit this page|contribute|user:|talk:|post reply|"
-        "comments-section|discussion"
-    )
-    trusted = (
-        "bbc[.]com|nytimes[.]com|reuters[.]com|theguardian[.]com|bloomberg[.]com|apnews[.]com|"
-        "washingtonpost[.]com|ft[.]com|cnbc[.]com"
+    unread = (
+        "(article_text is null or polarity is null or isnan(polarity) "
+        "or length(article_text) < 300)"
     )
+    sites, trusted = pattern(UGC_SITES), pattern(TRUSTED_SOURCES)
+    phrases = pattern([p.lower() for p in UGC_PHRASES])
     return [
         ("named", f"select *, {REGISTERED} registered from {source}"),
         (
@@ -441,7 +521,7 @@ select *, case when {VALID} then 1e0 else 0e0 end domain_valid,
   case when status_code is null then 0e0 else 1e0 end https,
   case when status_code is null then 0e0 when status_code in (200, 301, 302, 403) then 1e0
     else 0.5e0 end status,
-  case when status_code is null or elapsed_s is null then 0e0
+  case when status_code is null or elapsed_s is null or isnan(elapsed_s) then 0e0
     else greatest(0e0, least(1e0, (5e0 - elapsed_s) / 5e0)) end response_time,
   case when {inst} then 1e0 when {comm} then greatest({age}, 0.9e0) else {age} end domain_age,
   case when {unread} then 0.8e0 else greatest(0.7e0, 1 - abs(polarity)) end neutrality,
@@ -751,12 +831,19 @@ add(
     [SIGNAL_VIEW],
     "select * from signal_view order by created_at desc nulls first, ticker_article_id limit 2000",
 )
+add(
+    "ticker_articles_every",
+    DIMS,
+    [SIGNAL_VIEW],
+    "select * from signal_view order by created_at desc nulls first, ticker_article_id",
+)
 add(
     "sector_articles_view",
     ["raw_sector_news", "sectors"],
     [*ARTICLE_STEPS, ARTICLE_VIEW],
     """
-select sector_article_id, title, impact_score, date_published, source_url, created_at, sector_name
+select sector_article_id, title, content, impact_score, date_published, source_url, created_at,
+  sector_name
 from article_view order by date_published desc nulls first, sector_article_id""",
 )
 add(

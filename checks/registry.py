@@ -51,6 +51,40 @@ def ticker_clean(spark, sf):
     return news.clean_ticker_news(view(spark, sf, "raw_ticker_news"))
 
 
+def ticker_runs(spark, sf) -> DataFrame:
+    """Ticker news as five runs landed it, undated articles included."""
+    run = F.date_add(F.lit("2024-01-08").cast("date"), (F.col("doc_id") % 5).cast("int"))
+    return view(spark, sf, "raw_ticker_news").withColumn("run_date", run)
+
+
+@query
+def ticker_clean_per_run(spark, sf):
+    return news.clean_ticker_news(ticker_runs(spark, sf), "run_date")
+
+
+@query
+def ticker_signal_runs(spark, sf):
+    prices = view(spark, sf, "market_ohlc")
+    out = plan_signals.ticker_signals(ticker_runs(spark, sf), prices, SCORER, "run_date")
+    return rounded(out, 6, "price_change_in_percentage")
+
+
+@query
+def undated_articles(spark, sf):
+    return news.undated(news.ticker_rows(view(spark, sf, "raw_ticker_news")))
+
+
+@query
+def quotes_per_run(spark, sf):
+    # A weekend's runs land Friday's row again.
+    run = F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", 3)))
+    landed = view(spark, sf, "market_ohlc").withColumn("run_date", run)
+    clean = quotes.clean_quotes(landed, "run_date", per_run=True)
+    return quotes.price_changes(clean, ["run_date", "open"]).withColumn(
+        "price_change_in_percentage", F.round("price_change_in_percentage", 6)
+    )
+
+
 @query
 def article_vote(spark, sf):
     rows = news.ticker_rows(view(spark, sf, "raw_ticker_news"))
@@ -120,7 +154,7 @@ def sector_clean(spark, sf):
 @query
 def sector_clean_per_run(spark, sf):
     clean = news.clean_sector_news(view(spark, sf, "raw_sector_news"), "run_date")
-    return clean.drop("content")
+    return clean
 
 
 @query
@@ -132,8 +166,17 @@ def publish_window(spark, sf):
 @query
 def sector_head_n(spark, sf):
     # A small head, so that the limit cuts at every scale of the given tables.
+    return sector_head(spark, sf, 3)
+
+
+@query
+def sector_head_20(spark, sf):
+    return sector_head(spark, sf, 20)
+
+
+def sector_head(spark, sf, n: int) -> DataFrame:
     raw = view(spark, sf, "raw_sector_news")
-    head = news.head_per_sector(raw, "run_date", "feed_id", n=3)
+    head = news.head_per_sector(raw, "run_date", "feed_id", n)
     return head.select("feed_id", "sector_id", "run_date", "title", "source_url")
 
 
@@ -165,12 +208,12 @@ def article_table(spark, sf) -> DataFrame:
 
 @query
 def union_feeds(spark, sf):
-    tickers = view(spark, sf, "raw_ticker_news").drop("title", "content")
-    sectors = view(spark, sf, "raw_sector_news").drop("title", "content", "run_date")
+    tickers = view(spark, sf, "raw_ticker_news")
+    sectors = view(spark, sf, "raw_sector_news").drop("run_date")
     both = news.union_feeds(tickers, sectors)
     return both.select(
-        "doc_id", "feed_id", "ticker", "sector_id", "date_published", "source_url", "author",
-        "source_name",
+        "doc_id", "feed_id", "ticker", "sector_id", "title", "content", "date_published",
+        "source_url", "author", "source_name",
     )
 
 
@@ -250,14 +293,18 @@ def quote_on_date(spark, sf):
     return quotes.quote_on_date(view(spark, sf, "price_ticks"), "2024-01-05")
 
 
+def daily_quotes(spark, sf) -> DataFrame:
+    return quotes.clean_quotes(view(spark, sf, "market_ohlc"))
+
+
 @query
 def latest_quote(spark, sf):
-    return quotes.latest_quote(view(spark, sf, "market_ohlc"), "2024-01-30")
+    return quotes.latest_quote(daily_quotes(spark, sf), "2024-01-30", lookback_days=5)
 
 
 @query
 def quotes_for_universe(spark, sf):
-    return quotes.for_universe(view(spark, sf, "market_ohlc"), view(spark, sf, "tickers"))
+    return quotes.for_universe(daily_quotes(spark, sf), view(spark, sf, "tickers"))
 
 
 # Sources
@@ -279,6 +326,17 @@ def registered_domain(spark, sf):
     )
 
 
+SUFFIX_RULES = ["com.pe", "k12.ca.us", "ca.us", "us", "*.ck", "!www.ck"]
+
+
+@query
+def registered_domain_rules(spark, sf):
+    hosts = view(spark, sf, "suffix_hosts")
+    domain = urls.registered_domain("host", SUFFIX_RULES)
+    valid = urls.is_valid_domain(domain).alias("valid")
+    return hosts.select("host", domain.alias("registered"), valid)
+
+
 @query
 def distinct_sources(spark, sf):
     return reliability.distinct_sources(view(spark, sf, "raw_sector_news"))
@@ -460,6 +518,13 @@ def ticker_articles_view(spark, sf):
 
 @query
 def ticker_articles_recent(spark, sf):
+    return reports.recent_signals(
+        view(spark, sf, "signals"), view(spark, sf, "tickers"), view(spark, sf, "sectors"), n=2000
+    )
+
+
+@query
+def ticker_articles_every(spark, sf):
     return reports.recent_signals(
         view(spark, sf, "signals"), view(spark, sf, "tickers"), view(spark, sf, "sectors")
     )
@@ -467,7 +532,7 @@ def ticker_articles_recent(spark, sf):
 
 @query
 def sector_articles_view(spark, sf):
-    return reports.newest_articles(article_report(spark, sf)).drop("content")
+    return reports.newest_articles(article_report(spark, sf))
 
 
 def latest_daily(spark, sf) -> DataFrame:

@@ -6,7 +6,9 @@ ids, which spreads missing values, padding, bad dates and duplicates over all of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from tapewire.sources.readers import read_parquet
 
 # Columns of the given tables that the views read.
 TABLES = {
@@ -48,7 +50,9 @@ from {events}""",
         ["events"],
         """
 select symbol, date,
-  case when (length(symbol) + day(date)) % 11 = 0 then cast(0 as double) else open end open,
+  case when (length(symbol) + day(date)) % 11 = 0 then cast(0 as double)
+    when (length(symbol) + day(date)) % 17 = 0 then cast('Infinity' as double)
+    when (length(symbol) + day(date)) % 19 = 0 then cast('NaN' as double) else open end open,
   high, low,
   case when (length(symbol) + day(date)) % 13 = 0 then null else close end as close
 from (
@@ -100,6 +104,18 @@ select page_id * 4 + k feed_id,
 from (select page_id, url, html, {{four}} k from {{pages}}) q""",
     ),
     "page_urls": (["pages"], "select page_id, url from {pages}"),
+    # Hosts under suffixes of three labels, wildcard rules, exceptions and unlisted suffixes.
+    "suffix_hosts": (
+        ["pages"],
+        """
+select distinct case page_id % 10 when 0 then 'www.city' || cast(page_id % 7 as string) || '.k12.ca.us'
+    when 1 then 'a.b' || cast(page_id % 7 as string) || '.co.ck' when 2 then 'x.www.ck'
+    when 3 then 'www.abc' || cast(page_id % 7 as string) || '.com.pe' when 4 then 'news.münchen.de'
+    when 5 then 'k12.ca.us' when 6 then '10.1.2.' || cast(page_id % 7 as string)
+    when 7 then 'la.ca.us' when 8 then 'x' || cast(page_id % 7 as string) || '.unlisted.zz'
+    else lower(regexp_extract(url, '^https?://([^/:?#]+)', 1)) end host
+from {pages}""",
+    ),
     "payload_articles": (
         ["pages"],
         """
@@ -120,7 +136,8 @@ select case page_id % 16 when 0 then 'en.wikipedia.org' when 1 then 'www.reuters
     else lower(regexp_extract(url, '^https?://([^/:?#]+)', 1)) end source_id,
   cast(case page_id % 7 when 0 then null when 1 then 404 when 2 then 403 else 200 end as int)
     status_code,
-  case when page_id % 13 = 0 then null else cast(page_id % 60 as double) / 10 end elapsed_s,
+  case when page_id % 13 = 0 then null when page_id % 17 = 0 then cast('NaN' as double)
+    else cast(page_id % 60 as double) / 10 end elapsed_s,
   case when page_id % 9 = 0 then null when page_id % 8 = 0 then html || ' EDIT this page'
     else html end html,
   case when page_id % 5 = 0 then null
@@ -128,7 +145,8 @@ select case page_id % 16 when 0 then 'en.wikipedia.org' when 1 then 'www.reuters
   case when page_id % 6 = 0 then null when page_id % 6 = 1 then url
     when page_id % 6 = 2 then url || url || url || url || url || url || url || url || url || url
     else html end article_text,
-  case when page_id % 14 = 0 then null else cast(page_id % 21 - 10 as double) / 10 end polarity
+  case when page_id % 14 = 0 then null when page_id % 15 = 1 then cast('NaN' as double)
+    else cast(page_id % 21 - 10 as double) / 10 end polarity
 from {pages}""",
     ),
     "signals": (
@@ -146,7 +164,7 @@ from {events}""",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", T.StructType.fromDDL(TABLES[name]))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

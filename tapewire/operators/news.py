@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tapewire import schemas
-from tapewire.constants import SECTOR_HEAD, TICKER_ALIASES
+from tapewire.constants import TICKER_ALIASES
 from tapewire.functions import dates, text
 from tapewire.operators.columns import align, project_strict, resolve_alias
 from tapewire.operators.dedupe import first_n
@@ -83,7 +83,7 @@ def publish_window(
 
 
 def head_per_sector(
-    raw: DataFrame, run_date: str | dt.date, position: str, n: int = SECTOR_HEAD
+    raw: DataFrame, run_date: str | dt.date, position: str, n: int
 ) -> DataFrame:
     """The first ``n`` articles of each sector in response order, inside the news window.
 
@@ -101,13 +101,19 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return out
 
 
+def undated(news: DataFrame, by: str = "ticker", published: str = "date_published") -> DataFrame:
+    """(by, n_undated): rows without a publish date, which belong to no report date."""
+    rows = news.where(F.col(published).isNull()).groupBy(by)
+    return rows.agg(F.count(F.lit(1)).alias("n_undated"))
+
+
 def on_report_dates(
     news: DataFrame, published: str = "date_published", name: str = "report_date"
 ) -> DataFrame:
     """Each article once for either report date whose window holds it.
 
     An equi-join on the report date then replaces a range join on the window. Rows
-    without a publish date belong to no report date.
+    without a publish date belong to no report date; ``undated`` counts them.
     """
     # Exploding a null array yields no row; the dates of a null date are null.
     dated = news.where(F.col(published).isNotNull())

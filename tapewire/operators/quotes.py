@@ -18,7 +18,8 @@ PRICES = ["open", "high", "low", "close"]
 def clean_quotes(
     raw: DataFrame, run_col: str | None = None, per_run: bool = False
 ) -> DataFrame:
-    """One quote per (symbol, date), column names in any letter case, NaN as null.
+    """One quote per (symbol, date), column names in any letter case; prices that are NaN or
+    infinite become null.
 
     Runs on Saturday, Sunday and Monday all land Friday's row; the latest run wins, or with
     ``per_run`` every run keeps its own.
@@ -26,7 +27,7 @@ def clean_quotes(
     df = lower_columns(raw)
     runs = [run_col] if run_col else []
     df = align(df, schemas.MARKET_OHLC, runs)
-    df = df.withColumns({c: market.nan_to_null(c) for c in PRICES})
+    df = df.withColumns({c: market.finite(c) for c in PRICES})
     order = [F.col(c).desc_nulls_last() for c in [*runs, *reversed(PRICES)]]
     if per_run:
         return first_n(df, [*runs, "symbol", "date"], order)
@@ -55,7 +56,7 @@ def quote_on_date(history: DataFrame, day: str | dt.date, ts: str = "ts") -> Dat
     )
 
 
-def latest_quote(quotes: DataFrame, as_of: str | dt.date, lookback_days: int = 5) -> DataFrame:
+def latest_quote(quotes: DataFrame, as_of: str | dt.date, lookback_days: int) -> DataFrame:
     """The last quote of each symbol in the days up to ``as_of``, none if all are older."""
     d = dates.date_lit(as_of)
     recent = quotes.where((F.col("date") > F.date_sub(d, lookback_days)) & (F.col("date") <= d))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapewire.constants import RECENT_SIGNALS, TOP_ARTICLES_DEFAULT, TOP_ARTICLES_RANGE
+from tapewire.constants import TOP_ARTICLES_DEFAULT
 from tapewire.functions import dates, labels, text
 from tapewire.operators.columns import project_lenient
 from tapewire.operators.dedupe import first_n
@@ -48,9 +48,9 @@ def newest_signals(df: DataFrame) -> DataFrame:
 
 
 def recent_signals(
-    signals: DataFrame, tickers: DataFrame, sectors: DataFrame, n: int | None = RECENT_SIGNALS
+    signals: DataFrame, tickers: DataFrame, sectors: DataFrame, n: int | None = None
 ) -> DataFrame:
-    """The newest signals with their sector; no limit returns every row.
+    """The newest ``n`` signals with their sector, or all of them.
 
     The rows are picked before the dimensions are joined, which neither adds nor drops any.
     """
@@ -176,9 +176,8 @@ def top_articles_by_day(
 
 
 def check_top_n(n: int) -> None:
-    low, high = TOP_ARTICLES_RANGE
-    if not low <= n <= high:
-        raise ValueError(f"n must lie in [{low}, {high}]")
+    if n < 1:
+        raise ValueError("n must be at least 1")
 
 
 def article_display(view: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -91,7 +91,7 @@ def test_quote_lookups(spark):
     got = rows(quotes.quote_on_date(history, "2024-01-05").select("symbol", "date", "open"))
     assert got == [("A", D(2024, 1, 5), 3.0)]
     daily = history.withColumn("date", F.to_date("ts"))
-    last = quotes.latest_quote(daily.where("open <> 3"), "2024-01-06").select("symbol", "date", "open")
+    last = quotes.latest_quote(daily.where("open <> 3"), "2024-01-06", 5).select("symbol", "date", "open")
     assert rows(last) == [("A", D(2024, 1, 5), 2.0)]
     known = spark.createDataFrame([("B", 1), ("C", 1)], "ticker_id string, sector_id int")
     assert {r.symbol for r in quotes.for_universe(daily, known).collect()} == {"B"}
