@@ -379,6 +379,44 @@ select position, title, content, published date_published, url source_url, autho
   cast(payload_id % 5 + 1 as int) sector_id, payload_id
 from payload_articles where {USED}""",
 )
+PAYLOAD_RUNS = (
+    "payload_runs",
+    f"""
+select *, cast(date '2024-01-03' + cast(payload_id % 8 * 3 as int) as date) run_date,
+  published date_published from payload_articles where {USED}""",
+)
+add(
+    "landing_sector",
+    ["payload_articles"],
+    [PAYLOAD_RUNS],
+    f"""
+select sector_id, title, content, date_published, url source_url, author, source_name, run_date
+from (select *, cast(payload_id % 5 + 1 as int) sector_id from payload_runs where {IN_WINDOW}) q
+qualify row_number() over (partition by run_date, sector_id order by payload_id, position) <= 20""",
+)
+add(
+    "landing_ticker",
+    ["payload_articles"],
+    [PAYLOAD_RUNS],
+    f"""
+select source_id, source_name, title, content, date_published, url source_url,
+  'NATION_' || (payload_id % 25) ticker, run_date
+from payload_runs where {IN_WINDOW}""",
+)
+add(
+    "landing_market",
+    ["payload_articles", "market_ohlc", "tickers"],
+    [("daily_quotes", """
+select symbol, date, case when isfinite(open) then open end open, high, low, close
+from market_ohlc""")],
+    """
+select symbol, q.date, open, high, low, close, run_date
+from daily_quotes q join (
+  select distinct cast(date '2024-01-03' + cast(payload_id % 8 * 3 as int) as date) run_date
+  from payload_articles) r
+on q.date = run_date - case isodow(run_date) when 1 then 3 when 7 then 2 else 1 end
+where symbol in (select ticker_id from tickers)""",
+)
 add(
     "payload_outcomes",
     ["payload_articles"],

@@ -13,7 +13,7 @@ from tapewire.functions import dates, labels, text, urls
 from tapewire.functions.ids import stable_id
 from tapewire.operators import columns, dedupe, news, quality, quotes, reliability, reports
 from tapewire.operators import scoring, upsert, votes
-from tapewire.plans import daily_report, sector_articles, source_reliability
+from tapewire.plans import daily_report, landing, sector_articles, source_reliability
 from tapewire.plans import ticker_signal as plan_signals
 from tapewire.sources import dimensions, payloads
 
@@ -263,6 +263,28 @@ def payload_flatten_sector(spark, sf):
     )
 
 
+def payload_runs(spark, sf) -> DataFrame:
+    """The responses as those of eight runs."""
+    run = F.date_add(F.lit("2024-01-03").cast("date"), (F.col("payload_id") % 8 * 3).cast("int"))
+    return payload_table(spark, sf).withColumn("run_date", run)
+
+
+@query
+def landing_sector(spark, sf):
+    return landing.sector_feed(payload_runs(spark, sf), 20, order=("payload_id", "position"))
+
+
+@query
+def landing_ticker(spark, sf):
+    return landing.ticker_feed(payload_runs(spark, sf))
+
+
+@query
+def landing_market(spark, sf):
+    prices = quotes.clean_quotes(view(spark, sf, "market_ohlc"))
+    return landing.market_feed(prices, view(spark, sf, "tickers"), payload_runs(spark, sf))
+
+
 @query
 def payload_outcomes(spark, sf):
     return payloads.payload_outcomes(payload_table(spark, sf))

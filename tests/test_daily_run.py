@@ -11,10 +11,13 @@ from tapewire.operators.scoring import LexiconScorer, ModelScorer
 from tapewire.plans.daily_run import TABLES, create_warehouse, run_day, run_days
 from tapewire.session import checkpoint_root
 from tapewire.streaming.ingest import load_new_sector_articles
+from tapewire.plans import landing
 from tapewire.plans.daily_report import daily_report
+from tapewire.sources.readers import read_landing
 from tests import models
 from tests.conftest import rows
 
+D = dt.date
 SCORER = LexiconScorer(("good",), ("bad",))
 
 
@@ -229,3 +232,30 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_root(named) == "/shared/x"
     with pytest.raises(ValueError, match="checkpoint"):
         checkpoint_root(session())
+
+
+def test_feeds_are_landed_and_read_again(spark, tmp_path):
+    payload = json.dumps({"status": "ok", "articles": [
+        {"title": f"t{i}", "content": "c", "url": f"https://a.com/{i}", "publishedAt": f"2024-01-0{i}T08:00:00Z"}
+        for i in range(5, 9)
+    ]})
+    runs = [(1, "MSFT", D(2024, 1, 8), payload), (1, "MSFT", D(2024, 1, 9), payload), (2, "AAPL", D(2024, 1, 9), "{")]
+    payloads = spark.createDataFrame(runs, "sector_id int, ticker string, run_date date, payload string")
+    sector, ticker = landing.sector_feed(payloads, 1), landing.ticker_feed(payloads)
+    assert sorted(rows(sector.select("run_date", "title"))) == [(D(2024, 1, 8), "t6"), (D(2024, 1, 9), "t7")]
+    quotes = spark.createDataFrame(
+        [("MSFT", D(2024, 1, 5), 1.0, 1.0, 1.0, 2.0), ("X", D(2024, 1, 5), 1.0, 1.0, 1.0, 2.0),
+         ("MSFT", D(2024, 1, 8), 2.0, 2.0, 2.0, 3.0)],
+        schemas.MARKET_OHLC,
+    )
+    tickers = spark.createDataFrame([("MSFT", 1)], schemas.TICKERS)
+    market = landing.market_feed(quotes, tickers, payloads)
+    for feed, name, schema, n in [
+        (sector, "sector", schemas.RAW_SECTOR_NEWS, 2),
+        (ticker, "ticker", schemas.RAW_TICKER_NEWS, 4),
+        (market, "market", schemas.MARKET_OHLC, 2),
+    ]:
+        path = str(tmp_path / name)
+        assert landing.land(feed, path) == n
+        back = read_landing(spark, path, schema, ["2024-01-08", "2024-01-09"])
+        assert sorted(map(str, rows(back))) == sorted(map(str, rows(feed.select(back.columns))))
