@@ -957,6 +957,36 @@ select {LINK} article, impact_score impact, sector_name sector,
 from article_view where sector_name in ('asia', 'europe') and date_published = date '2024-01-16'
 order by {IMPACT_ORDER} limit 5""",
 )
+DAY_ALL = (
+    "day_all",
+    """
+select * from signal_view where cast(created_at as date) = date '2024-01-17'
+  and stock_ticker is not null
+qualify row_number() over (partition by stock_ticker
+  order by created_at desc, ticker_article_id desc) = 1""",
+)
+add(
+    "report_summary_tickers",
+    DIMS,
+    [SIGNAL_VIEW, DAY_ALL],
+    f"""
+select stock_ticker, {SUMMARY} from day_all
+where stock_ticker in ('NATION_1', 'NATION_12', 'NATION_20', 'UNLISTED') group by 1""",
+)
+add(
+    "report_summary_all",
+    DIMS,
+    [SIGNAL_VIEW, DAY_ALL],
+    f"""
+select stock_ticker, {SUMMARY} from day_all
+where sector_name is not null and sentiment_from_yesterday is not null group by 1""",
+)
+add(
+    "report_kpis_all",
+    DIMS,
+    [SIGNAL_VIEW, DAY_ALL],
+    f"select {KPIS} from day_all where sector_name is not null",
+)
 add(
     "date_bounds",
     ["signals", "raw_sector_news"],

@@ -625,6 +625,34 @@ def report_top_articles(spark, sf):
     return day_report(spark, sf).top_articles
 
 
+def any_report(spark, sf, **selection) -> daily_report.DailyReport:
+    return daily_report.daily_report(
+        view(spark, sf, "signals"),
+        article_table(spark, sf),
+        view(spark, sf, "tickers"),
+        view(spark, sf, "sectors"),
+        REPORT_DATE,
+        **selection,
+    )
+
+
+@query
+def report_summary_tickers(spark, sf):
+    tickers = ["NATION_1", "NATION_12", "NATION_20", "UNLISTED"]
+    summary = any_report(spark, sf, sector_names=[], ticker_ids=tickers, sentiments=[]).summary
+    return rounded(summary, 6, "avg_sentiment", "avg_price_change")
+
+
+@query
+def report_summary_all(spark, sf):
+    return rounded(any_report(spark, sf).summary, 6, "avg_sentiment", "avg_price_change")
+
+
+@query
+def report_kpis_all(spark, sf):
+    return rounded(any_report(spark, sf).kpis, 6, "avg_sentiment", "avg_price_change")
+
+
 @query
 def date_bounds(spark, sf):
     return reports.date_bounds(view(spark, sf, "signals"), article_table(spark, sf))
