@@ -43,7 +43,7 @@ RATIO = 4.0
 # Weight of bent units beside the other positive examples.
 BENT = 0.1
 # Bound of the distinct units that the machine is fitted to, the most frequent ones.
-UNITS = 40_000
+UNITS = 30_000
 # Weight of clean texts, which are the more frequent ones, beside toxic ones.
 CLEAN_LOSS = 5.0
 # Log odds of the toxic label for a text that shows nothing.
@@ -161,17 +161,22 @@ class Machine:
 
 
 def _separate(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """Weights, bias last, of the linear machine with squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    """Weights of the linear machine with squared hinge loss, by Newton steps.
+
+    The last column of ``x`` is 1, and its weight the bias.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.ones(x.shape[1])
     ridge[-1] = 1e-3
     for _ in range(20):
-        short = 1 - y * (x @ w)
-        active = short > 0
-        xa, ca = x[active], cost[active]
-        gradient = ridge * w - 2 * xa.T @ (ca * y[active] * short[active])
-        hessian = np.diag(ridge) + 2 * (xa * ca[:, None]).T @ xa
+        short = 1 - y * (x @ w.astype(x.dtype))
+        active = np.flatnonzero(short > 0)
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for low in range(0, len(active), 8192):
+            rows = active[low : low + 8192]
+            xa, ca = x[rows].astype(np.float64), cost[rows]
+            gradient -= 2 * xa.T @ (ca * y[rows] * short[rows])
+            hessian += 2 * (xa * ca[:, None]).T @ xa
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-5:
@@ -260,6 +265,7 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
     within = place[pairs[0]] >= 0
     instance, text = place[pairs[0][within]], pairs[1][within]
     examples = np.vstack([x, x, bent])
+    examples = np.hstack([examples, np.ones((len(examples), 1), np.float32)])
     y = np.concatenate([np.ones(len(x)), -np.ones(len(x)), np.ones(len(bent))])
     for turn in range(ROUNDS):
         costs = [
@@ -310,21 +316,23 @@ def _calibrated(
 
 
 def labelled_sample(
-    labelled: DataFrame, texts: int = TEXTS, text_chars: int = TEXT_CHARS
+    docs: DataFrame, labels: DataFrame, texts: int = TEXTS, text_chars: int = TEXT_CHARS
 ) -> tuple[list[str], list[int]]:
-    """At most ``texts`` texts (text, toxic) of each label, picked by a hash, and their labels.
+    """The starts of at most ``texts`` documents of each label 0 and 1, picked by a hash.
 
-    The bound keeps what the driver holds to 2 x texts x text_chars characters.
+    The bound keeps what is broadcast to 2 x texts ids, and what the driver holds to 2 x texts
+    x text_chars characters. Texts of rows that share an id count once.
     """
-    rows = labelled.where(F.col("toxic").isin(0, 1) & (F.length("text") > 0)).select(
-        "toxic",
-        F.xxhash64("text").alias("hash"),
-        F.substring("text", 1, text_chars).alias("piece"),
-    )
-    picked = rows.groupBy("toxic", F.pmod("hash", F.lit(texts)).alias("slot")).agg(
-        F.min(F.struct("hash", "piece")).alias("first")
+    marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        "toxic", "doc_id", F.xxhash64("doc_id").alias("hash")
     )
-    found = picked.select("toxic", "slot", "first.piece").orderBy("toxic", "slot").collect()
+    slots = marked.groupBy("toxic", F.pmod("hash", F.lit(texts)).alias("slot"))
+    picked = slots.agg(F.min(F.struct("hash", "doc_id")).alias("first"))
+    picked = picked.select("toxic", F.col("first.doc_id").alias("doc_id"))
+    rows = docs.where(F.length("text") > 0).join(F.broadcast(picked), "doc_id")
+    piece = F.struct(F.xxhash64("text"), F.substring("text", 1, text_chars).alias("piece"))
+    found = rows.groupBy("toxic", "doc_id").agg(F.min(piece).alias("first"))
+    found = found.select("toxic", "first.piece").orderBy("toxic", "piece").collect()
     return [r["piece"] for r in found], [r["toxic"] for r in found]
 
 
@@ -370,6 +378,5 @@ def toxicity(
     """
     held_out = F.coalesce(~F.expr(learn), F.lit(True)).alias("held_out")
     rows = docs.select("doc_id", "text", held_out)
-    marks = labels.where(learn).select("doc_id", "toxic").distinct()
-    machine = train(*labelled_sample(rows.where("not held_out").join(marks, "doc_id")))
+    machine = train(*labelled_sample(docs.where(learn), labels.where(learn)))
     return score_texts(rows, machine, "doc_id", "held_out")
