@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from tapewire import schemas
 from tapewire.constants import TOP_ARTICLES_DEFAULT
 from tapewire.functions import dates
 from tapewire.operators import reports
@@ -40,10 +41,11 @@ def daily_report(
     empty selection filters nothing. The sentiment selection narrows the summary but not
     the indicators. Articles are those published the day before.
 
-    Day and ticker filters reach the scan, of stored signals also the partitions, and the latest row per ticker is picked before
+    Day and ticker filters reach the scan, of stored tables also the partitions, and the latest row per ticker is picked before
     the dimensions are joined: a ticker has one sector, so the sector filter may follow.
     """
-    # The stored table is partitioned by run date, which is the date of creation.
+    # The stored tables are partitioned by run date, which is the date of creation, and by
+    # month of publication.
     if "run_date" in signals.columns:
         signals = signals.where(F.col("run_date") == dates.date_lit(report_date))
     day = reports.on_day(signals, "created_at", report_date)
@@ -53,6 +55,8 @@ def daily_report(
     view = reports.select_in(view, "sector_name", sector_names)
 
     before = F.date_sub(dates.date_lit(report_date), 1)
+    if schemas.PUBLISHED_MONTH in articles.columns:
+        articles = articles.where(F.col(schemas.PUBLISHED_MONTH) == F.trunc(before, "month"))
     published = articles.where(F.col("date_published") == before)
     shown = reports.select_in(
         reports.articles_view(published, sectors), "sector_name", sector_names

@@ -21,7 +21,7 @@ from tapewire.operators.quotes import clean_quotes
 from tapewire.operators.reliability import rate_from_first_run
 from tapewire.operators.scoring import Scorer
 from tapewire.operators.upsert import new_rows
-from tapewire.plans.sector_articles import as_sector_articles, score_articles
+from tapewire.plans.sector_articles import as_sector_articles, insert_articles, score_articles
 from tapewire.plans.ticker_signal import ticker_signals
 from tapewire.sinks import writers
 from tapewire.sources import dimensions
@@ -41,7 +41,8 @@ def create_warehouse(
 ) -> None:
     """Create missing tables and insert missing dimension rows."""
     for name, schema in TABLES.items():
-        writers.create_table(spark, f"{root}/{name}", schema)
+        month = schemas.PUBLISHED_MONTH if name == "sector_article" else None
+        writers.create_table(spark, f"{root}/{name}", schema, month)
     lists = dimensions.sector_lists(spark, mapping)
     sectors = lists.select("sector_id", "sector_name")
     by_id = [F.col("sector_id").asc()]
@@ -140,9 +141,7 @@ def run_days(
     accepted = placed.where(~refused).drop("_known")
     fresh = new_rows(stored("sector_article"), accepted, ["source_url"], [F.col(RUN).asc()])
     articles = as_sector_articles(score_articles(fresh, impact_scorer, RUN), RUN)
-    rows["sector_article"] = writers.append_rows(
-        align(articles, schemas.SECTOR_ARTICLE), f"{warehouse}/sector_article"
-    )
+    rows["sector_article"] = insert_articles(articles, f"{warehouse}/sector_article")
 
     rows["articles_of_unknown_sector"] = placed.where(refused).count()
     unknown = ticker_news.join(tickers, "ticker", "left_anti")

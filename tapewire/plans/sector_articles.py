@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tapewire import schemas
 from tapewire.functions import dates, ids, urls
 from tapewire.operators.columns import align, project_strict
 from tapewire.operators.news import clean_sector_news, complete_articles
 from tapewire.operators.scoring import Scorer, with_impact
+from tapewire.sinks import writers
 
 FINAL_COLUMNS = [*schemas.SECTOR_CLEAN.fieldNames(), "impact_score"]
 
@@ -37,3 +38,12 @@ def as_sector_articles(scored: DataFrame, run_col: str) -> DataFrame:
         "sector_article_id", ids.stable_id("source_url")
     )
     return align(stamped, schemas.SECTOR_ARTICLE)
+
+
+def insert_articles(articles: DataFrame, path: str) -> int:
+    """Append to the stored articles, by month of publication."""
+    rows = align(articles, schemas.SECTOR_ARTICLE)
+    month = F.trunc("date_published", "month")
+    return writers.append_rows(
+        rows.withColumn(schemas.PUBLISHED_MONTH, month), path, schemas.PUBLISHED_MONTH
+    )

@@ -88,6 +88,8 @@ SECTOR_ARTICLE = _struct(
     impact_score=DBL,
     created_at=TS,
 )
+# Stored articles are partitioned by the month of publication, which reports filter by.
+PUBLISHED_MONTH = "published_month"
 TICKER_ARTICLE = _struct(
     ticker_article_id=STR,
     ticker_id=STR,

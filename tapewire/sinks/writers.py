@@ -59,9 +59,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return _save(lambda rows: rows.write.mode(mode).options(**options), df, path, fmt)
 
 
-def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty Parquet table, unless there is a table already."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+def create_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None
+) -> None:
+    """An empty Parquet table, unless there is a table already.
+
+    A partitioned one has no file until rows come, so read it by its schema.
+    """
+    empty = spark.createDataFrame([], schema)
+    if partition_by is None:
+        empty.write.mode("ignore").parquet(path)
+    else:
+        keyed = empty.withColumn(partition_by, F.lit(None).cast("date"))
+        keyed.write.mode("ignore").partitionBy(partition_by).parquet(path)
 
 
 def insert_new(
@@ -80,9 +90,17 @@ def insert_new(
     return append_rows(align(new_rows(target, batch, keys, order), schema), path)
 
 
-def append_rows(rows: DataFrame, path: str) -> int:
-    """Append to a table in few files: small inserts leave one, large ones are spread."""
-    return write_table(rows.hint("rebalance"), path, mode="append")
+def append_rows(rows: DataFrame, path: str, partition_by: str | None = None) -> int:
+    """Append to a table in few files: small inserts leave one a partition, large ones are
+    spread."""
+    if partition_by is None:
+        return write_table(rows.hint("rebalance"), path, mode="append")
+    return _save(
+        lambda df: df.write.mode("append").partitionBy(partition_by),
+        spread_by(rows, partition_by),
+        path,
+        "parquet",
+    )
 
 
 def write_merged(merged: DataFrame, target_path: str, new_path: str) -> int:

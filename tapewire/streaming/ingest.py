@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewire import schemas
-from tapewire.operators.columns import align
 from tapewire.operators.news import clean_sector_news
 from tapewire.operators.scoring import Scorer
 from tapewire.operators.upsert import new_rows
-from tapewire.plans.sector_articles import as_sector_articles, score_articles
+from tapewire.plans.sector_articles import as_sector_articles, insert_articles, score_articles
 from tapewire.session import checkpoint_root
 from tapewire.sinks import writers
 from tapewire.sources.readers import read_parquet
@@ -32,7 +31,7 @@ def load_new_sector_articles(
     A batch that is replayed after a failure inserts nothing twice, since the merge skips
     the addresses that are already there.
     """
-    writers.create_table(spark, table, schemas.SECTOR_ARTICLE)
+    writers.create_table(spark, table, schemas.SECTOR_ARTICLE, schemas.PUBLISHED_MONTH)
     files = (
         spark.readStream.schema(schemas.RAW_SECTOR_NEWS)
         .option("recursiveFileLookup", "true")
@@ -47,7 +46,7 @@ def load_new_sector_articles(
         stored = read_parquet(batch.sparkSession, table, schemas.SECTOR_ARTICLE)
         fresh = new_rows(stored, clean, ["source_url"], [F.col("run_date").asc()])
         articles = as_sector_articles(score_articles(fresh, scorer, "run_date"), "run_date")
-        writers.append_rows(align(articles, schemas.SECTOR_ARTICLE), table)
+        insert_articles(articles, table)
 
     root = checkpoint_root(spark)
     return (

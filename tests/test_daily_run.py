@@ -144,6 +144,8 @@ def test_stored_signals_are_read_by_partition(spark, tmp_path, probe, capsys):
     report.detail.explain("formatted")
     assert "PartitionFilters: [isnotnull(run_date" in capsys.readouterr().out
     assert report.detail.count() == 1
+    report.top_articles.explain("formatted")
+    assert "PartitionFilters: [isnotnull(published_month" in capsys.readouterr().out
 
 
 def test_a_backlog_equals_its_days_in_turn(spark, tmp_path, probe):
