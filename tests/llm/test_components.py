@@ -26,7 +26,7 @@ def plain(edges):
     [
         [],
         [(1, 1)],
-        [(i + 1, i) for i in range(64)],
+        [(i + 1, i) for i in range(24)],
         [(i, 0) for i in range(1, 50)] + [(99, i) for i in range(60, 90)] + [(99, 40)],
         [(random.Random(i).randrange(200), random.Random(-i).randrange(200)) for i in range(1, 150)],
     ],
