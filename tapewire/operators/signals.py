@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapewire.functions import dates, ids, labels
 
+# The columns of a signal.
 SIGNAL_COLUMNS = [
     "id",
     "ticker_id",

@@ -14,6 +14,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
 STR, INT, DBL, BOOL = T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 DATE, TS = T.DateType(), T.TimestampNTZType()
 
+# The column names of all tables below.
+
 # Landed feeds
 PAYLOAD_ARTICLE = _struct(
     source=_struct(id=STR, name=STR),

@@ -5,6 +5,7 @@ import pytest
 from checks.compare import compare, duck
 from checks.oracle import ORACLE
 from checks.registry import QUERIES
+from tapewire.operators.signals import SIGNAL_COLUMNS
 
 
 @pytest.fixture(scope="module")
@@ -33,14 +34,7 @@ def test_entry_points(spark):
     import __spark_entry__ as entry_module
 
     result = entry_module.entry(spark)
-    assert result.columns == [
-        "id",
-        "ticker_id",
-        "sentiment_from_yesterday",
-        "price_change_in_percentage",
-        "match",
-        "created_at",
-    ]
+    assert result.columns == SIGNAL_COLUMNS
     assert result.count() > 0
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert set(QUERIES) <= set(entry_module.queries())
