@@ -41,8 +41,9 @@ def daily_report(
     empty selection filters nothing. The sentiment selection narrows the summary but not
     the indicators. Articles are those published the day before.
 
-    Day and ticker filters reach the scan, of stored tables also the partitions, and the latest row per ticker is picked before
-    the dimensions are joined: a ticker has one sector, so the sector filter may follow.
+    Day and ticker filters reach the scan, of stored tables also the partitions, and the latest
+    row per ticker is picked before the dimensions are joined: a ticker has one sector, so
+    the sector filter may follow.
     """
     # The stored tables are partitioned by run date, which is the date of creation, and by
     # month of publication.
