@@ -13,7 +13,7 @@
 So a bucket of n copies costs n comparisons and n rows, and only a bucket of texts that
 share a band but are no copies costs all its pairs, of which those are passed on that may
 reach the threshold. No bucket is capped. At a similarity of 0.75 a pair shares no band with
-probability 1e-5 and fails the check of its minima with probability 1e-4.
+probability 1e-5 and fails the check of its minima with less than 1e-4.
 """
 
 from __future__ import annotations
@@ -101,11 +101,10 @@ def _alike(least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _matrix(batch.column("sig_a"), np.uint8), _matrix(batch.column("sig_b"), np.uint8)
-            keep = (a == b).mean(axis=1) >= least if len(a) else np.empty(0, bool)
+            a, b = (_matrix(batch.column(n), np.uint8) for n in ("sig_a", "sig_b"))
+            mask = pa.array((a == b).mean(axis=1) >= least if len(a) else [], pa.bool_())
             yield pa.record_batch(
-                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))],
-                names=["a", "b"],
+                [batch.column(n).filter(mask) for n in ("a", "b")], names=["a", "b"]
             )
 
     return run
