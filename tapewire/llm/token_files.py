@@ -20,10 +20,9 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -32,9 +31,9 @@ from tapewire.llm.shingles import BYTE_VALUES, chunks, hash_spans, utf8
 from tapewire.llm.store import bound_batches
 
 END_ID = 0
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 # Pieces that a Python worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 INDEX_ROWS = 1000
 
 FILE_ROW = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -125,17 +124,31 @@ class Encoder:
         return [next(rest) if ids is None else ids for ids in out]
 
     def _forget(self) -> None:
-        self.places: dict[int, int] = {}
+        # Sorted hashes of pieces, which entry each has, and where the ids of entries start.
+        self.hashes = np.empty(0, np.uint64)
+        self.entries = np.empty(0, np.int32)
         self.ids = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Remember further pieces, of sorted hashes."""
         ids = self._piece_ids(pieces)
-        new = np.fromiter(chain.from_iterable(ids), np.int32)
-        ends = np.cumsum([len(x) for x in ids]) + self.starts[-1]
-        self.places.update(zip(hashes, count(len(self.starts) - 1)))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
+        entries = np.arange(len(ids), dtype=np.int32) + np.int32(len(self.starts) - 1)
         self.ids = np.concatenate([self.ids, new])
-        self.starts = np.concatenate([self.starts, ends])
+        self.starts = np.concatenate([self.starts, np.cumsum(sizes) + self.starts[-1]])
+        every = np.concatenate([self.hashes, hashes])
+        order = np.argsort(every, kind="stable")
+        self.hashes = every[order]
+        self.entries = np.concatenate([self.entries, entries])[order]
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is or would be, and whether it is there."""
+        at = np.searchsorted(self.hashes, hashes)
+        there = at < len(self.hashes)
+        there[there] = self.hashes[at[there]] == hashes[there]
+        return at, there
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column, each with the end id, and their numbers of ids."""
@@ -147,20 +160,17 @@ class Encoder:
         begin = _cuts(data, at)
         end = np.append(begin[1:], len(data))
         hashes = hash_spans(data, begin, end, BYTE_VALUES)
-        code, distinct = pd.factorize(hashes)
-        if len(self.places) > REMEMBERED:
+        distinct, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED:
             self._forget()
-        keys = distinct.tolist()
-        unknown = [i for i, key in enumerate(keys) if key not in self.places]
-        if unknown:
-            first = np.empty(len(keys), np.int64)
-            first[code[::-1]] = np.arange(len(code))[::-1]
+        unknown = np.flatnonzero(~self._known(distinct)[1])
+        if len(unknown):
             raw, spans = data.tobytes(), first[unknown]
             pieces = [
                 raw[a:b].decode() for a, b in zip(begin[spans], end[spans], strict=True)
             ]
-            self._learn([keys[i] for i in unknown], pieces)
-        place = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
+            self._learn(distinct[unknown], pieces)
+        place = self.entries[self._known(distinct)[0]]
         low = self.starts[place][code]
         size = self.starts[place + 1][code] - low
         # Pieces of a text come in order; the end id follows the last.
