@@ -1,20 +1,31 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors: all pairs of a label, or optionally sorted projection passes.
 
-1. Equal vectors of a label form a class, represented by the smallest id.
-2. In each pass a vector gets a key of concatenated random hashes: the sides of random
+Equal vectors of a label form a class, represented by the smallest id. Classes of equal label
+and length are then compared with each other, in one of two ways.
+
+All pairs, the default, finds every link. The classes of a label are dealt to parts by a hash.
+A task holds two parts, or one with itself, or many small labels, and compares them in tiles: in
+single precision, with a margin above its rounding errors, and what comes near the threshold again
+in double precision. Work grows with the square of a label's classes, tasks are bounded, and a
+class is sent to as many tasks as its label has parts.
+
+Sorted passes, if ``passes`` or ``window`` are given, do less work and may miss links:
+
+1. In each pass a vector gets a key of concatenated random hashes: the sides of random
    hyperplanes it lies on. All vectors are sorted by pass, label and key, and so near vectors
    come near each other. Its place in the order is its rank.
-3. The order is cut into blocks. A task holds one block and the start of the next, compares
+2. The order is cut into blocks. A task holds one block and the start of the next, compares
    each vector with the ``window`` vectors after it by cosine in double precision, and keeps
    the pairs that reach the threshold. A pair that several passes bring together counts in
    the first of them, which the ranks of both tell.
-4. A task returns sums for each vector and links that span what it found connected, not the
-   pairs themselves. Sums are added up; links become components.
 
-Windows are bounded, so a pair is missed if no pass brings it within the window. Two vectors
-at cosine c agree in a hash with probability 1 - acos(c)/pi: 0.88 at 0.93 and 0.92 at 0.97. For
-n vectors of a label about log2(n / window) leading hashes must agree in one of the passes.
-More vectors need more passes or a wider window; both are parameters.
+A pair is missed if no pass brings it within the window. Two vectors at cosine c agree in a hash
+with probability 1 - acos(c)/pi: 0.88 at 0.93 and 0.92 at 0.97. For n vectors of a label about
+log2(n / window) leading hashes must agree in one of the passes, and of a group of linked vectors
+larger than the windows of all passes, links among its own members are missed.
+
+Either way a task returns sums for each vector and links that span what it found connected, not
+the pairs themselves. Sums are added up; links become components.
 """
 
 from __future__ import annotations
@@ -33,6 +44,10 @@ WINDOW = 512
 BLOCK = 2048
 BITS = 62
 SEED = 11
+# Classes of a part, where a label has few; parts of a label, until they are full; components
+# of all vectors of a full part; classes of small labels in a task; rows and columns of a tile.
+PART, PARTS, PART_VALUES, PACK = 4096, 8, 1 << 22, 512
+TILE = 1024, 4096
 
 
 def _planes(size: int, passes: int) -> np.ndarray:
@@ -46,6 +61,14 @@ def _vectors(column: pa.Array) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+def _directions(vectors: list[np.ndarray]) -> np.ndarray:
+    """The vectors at length 1, as rows."""
+    x = np.stack(vectors)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    return x
+
+
 def _keys(passes: int):
     """A row for each vector and pass, with the vector's key in that pass."""
     weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
@@ -91,6 +114,74 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
+def _near(x: np.ndarray, half: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of linked rows, tile by tile: of all pairs of the rows before and from
+    ``half``, or of all rows if that is 0."""
+    narrow = x.astype(np.float32)
+    margin = (x.shape[1] + 8) * 2.0**-22
+    high, wide = TILE
+    for at in range(0, half or len(x), high):
+        end = min(at + high, half or len(x))
+        for to in range(half or at, len(x), wide):
+            stop = min(to + wide, len(x))
+            near = narrow[at:end] @ narrow[to:stop].T >= least - margin
+            count = np.count_nonzero(near)
+            if count * 8 > near.size:
+                near = x[at:end] @ x[to:stop].T >= least
+            i, j = np.nonzero(near)
+            i, j = i + at, j + to
+            if not half:
+                i, j = i[j > i], j[j > i]
+            if count * 8 <= near.size:
+                sure = np.einsum("ij,ij->i", x[i], x[j]) >= least
+                i, j = i[sure], j[sure]
+            if len(i):
+                yield i, j
+
+
+def _compare_all(least: float):
+    """Of one or two parts of a label, or of whole labels, the rows that ``_compare`` gives."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by(
+            [(n, "ascending") for n in ("label", "size", "part", "rep")]
+        )
+        group = np.stack([table.column(n).to_numpy() for n in ("label", "size")])
+        part = table.column("part").to_numpy()
+        reps, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
+        links, root = np.zeros(len(part), np.int64), np.arange(len(part))
+        edges = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+        for low, high in zip([0, *edges], [*edges, len(part)], strict=True):
+            vectors = table.column("embedding").slice(low, high - low).combine_chunks()
+            x, n = _directions(_vectors(vectors)), high - low
+            # Two parts are compared with each other only.
+            half = int(np.searchsorted(part[low:high], part[low], "right")) % n
+            own, joined = copies[low:high].astype(float), np.arange(n)
+            for i, j in _near(x, half, least):
+                links[low:high] += np.bincount(i, own[j], n).astype(np.int64)
+                links[low:high] += np.bincount(j, own[i], n).astype(np.int64)
+                a, b = joined[i], joined[j]
+                apart = a != b
+                if apart.any():
+                    joined = _roots(a[apart], b[apart], n)[joined]
+            root[low:high] = joined + low
+        return _sums_and_spans(links, root, reps)
+
+    return run
+
+
+def _sums_and_spans(links: np.ndarray, root: np.ndarray, reps: np.ndarray) -> pa.Table:
+    counted = np.flatnonzero(links)
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    return pa.table(
+        {
+            "u": np.concatenate([reps[counted], reps[linked]]),
+            "v": np.concatenate([reps[counted], reps[root[linked]]]),
+            "n": np.concatenate([links[counted], np.zeros(len(linked), np.int64)]),
+        }
+    )
+
+
 def _compare(least: float, window: int):
     """Of one block: (u, v, n), n links of u; and links u-v with n = 0 that span them."""
 
@@ -106,9 +197,7 @@ def _compare(least: float, window: int):
         edges = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
         for low, high in zip([0, *edges], [*edges, len(rank)], strict=True):
             vectors = _vectors(table.column("embedding").slice(low, high - low).combine_chunks())
-            x = np.stack(vectors)
-            x /= np.abs(x).max(axis=1, keepdims=True)
-            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+            x = _directions(vectors)
             for at in range(0, high - low, 256):
                 end = min(at + 256 + window, high - low)
                 near = x[at : at + 256] @ x[at:end].T >= least
@@ -128,60 +217,52 @@ def _compare(least: float, window: int):
         none = np.empty(0, np.int64)
         a, b = np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
         root = _roots(a, b, len(rank))
-        counted = np.flatnonzero(links)
-        linked = np.flatnonzero(root != np.arange(len(rank)))
-        return pa.table(
-            {
-                "u": np.concatenate([reps[counted], reps[linked]]),
-                "v": np.concatenate([reps[counted], reps[root[linked]]]),
-                "n": np.concatenate([links[counted], np.zeros(len(linked), np.int64)]),
-            }
-        )
+        return _sums_and_spans(links, root, reps)
 
     return run
 
 
-def embedding_duplicates(
-    vectors: DataFrame,
-    threshold: float = 0.93,
-    passes: int = PASSES,
-    window: int = WINDOW,
-    id_column: str = "vec_id",
-    vector_column: str = "embedding",
-    label_column: str = "label",
-) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row.
+FOUND = "u long, v long, n long"
 
-    Rows are linked if their labels are equal and their cosine is at least ``threshold``.
-    Rows with a null label, and vectors that are null, empty, zero or hold a null or
-    non-finite component, link with nothing; nor do vectors of different length. Rows with
-    equal vectors and labels are linked with each other. Each row counts for itself, also
-    where rows share an id; such rows have the id's component. A row without an id links with
-    nothing, has no component and is kept. Other columns are not read.
-    """
-    spark = vectors.sparkSession
-    bound_batches(spark)
-    scratch = Scratch(spark, "embedding-duplicates")
-    rows = vectors.select(
-        F.col(id_column).cast("long").alias("vec_id"),
-        F.col(label_column).cast("int").alias("label"),
-        F.col(vector_column).alias("embedding"),
-    )
-    sound = F.forall(
-        "embedding",
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))),
-    ) & F.exists("embedding", lambda x: x != 0)
-    valid = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & sound)
-    classes = scratch.save(
-        valid.groupBy("label", "embedding").agg(
-            F.min("vec_id").alias("rep"), F.count("*").alias("copies")
+
+def _all_pairs(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """(u, v, n) of every pair of classes of equal label and length."""
+    rows = classes.withColumn("size", F.size("embedding"))
+    n = F.col("n")
+    full = F.greatest(F.floor(F.lit(PART_VALUES) / F.col("size")), F.lit(PACK))
+    most = F.least(F.greatest(F.ceil(n / PARTS), F.lit(PART)), full)
+    sizes = rows.groupBy("label", "size").agg(F.count("*").alias("n"))
+    sizes = scratch.save(
+        sizes.where("n > 1").select(
+            "label", "size", "n", F.ceil(n / most).cast("int").alias("parts")
         ),
-        "classes",
+        "sizes",
     )
-    member = scratch.save(
-        valid.join(classes, ["label", "embedding"]).select("vec_id", "rep", "copies"), "members"
+    small = sizes.where("parts = 1").agg(F.sum("n").alias("n")).first()["n"] or 0
+    number = F.xxhash64("rep")
+    parts = F.col("parts")
+    placed = rows.join(sizes, ["label", "size"]).withColumn(
+        "part", F.pmod(number, parts).cast("int")
     )
+    # Each part meets each, itself included; labels of one part share tasks.
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    many = parts > 1
+    dealt = dealt.select(
+        F.when(many, F.col("label")).alias("of_label"),
+        F.when(many, F.col("size")).alias("of_size"),
+        F.when(~many, F.pmod(F.xxhash64("label", "size"), F.lit(small // PACK + 1))).alias("pack"),
+        F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+        "label", "size", "part", "rep", "copies", "embedding",
+    )
+    return dealt.groupBy("of_label", "of_size", "pack", "low", "high").applyInArrow(
+        _compare_all(threshold), FOUND
+    )
+
 
+def _sorted_passes(
+    classes: DataFrame, threshold: float, passes: int, window: int, scratch: Scratch
+) -> DataFrame:
+    """(u, v, n) of the pairs of classes that a pass brings within its window."""
     kinds = "pass int, label int, size int, key long, rep long"
     keyed = classes.select("rep", "label", "embedding").mapInArrow(_keys(passes), kinds)
     # A row's number holds its partition and its place there.
@@ -219,12 +300,56 @@ def embedding_duplicates(
         "block", (F.col("home") == F.col("block")).alias("own"), "pass", "rank", "label", "size",
         "rep", "copies", "ranks", "embedding",
     )
-    found = scratch.save(
-        dealt.groupBy("block").applyInArrow(
-            _compare(threshold, window), "u long, v long, n long"
+    return dealt.groupBy("block").applyInArrow(_compare(threshold, window), FOUND)
+
+
+def embedding_duplicates(
+    vectors: DataFrame,
+    threshold: float = 0.93,
+    passes: int | None = None,
+    window: int | None = None,
+    id_column: str = "vec_id",
+    vector_column: str = "embedding",
+    label_column: str = "label",
+) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row.
+
+    Rows are linked if their labels are equal and their cosine is at least ``threshold``. All
+    pairs of a label are compared, unless ``passes`` or ``window`` bound the comparisons.
+    Rows with a null label, and vectors that are null, empty, zero or hold a null or
+    non-finite component, link with nothing; nor do vectors of different length. Rows with
+    equal vectors and labels are linked with each other. Each row counts for itself, also
+    where rows share an id; such rows have the id's component. A row without an id links with
+    nothing, has no component and is kept. Other columns are not read.
+    """
+    spark = vectors.sparkSession
+    bound_batches(spark)
+    scratch = Scratch(spark, "embedding-duplicates")
+    rows = vectors.select(
+        F.col(id_column).cast("long").alias("vec_id"),
+        F.col(label_column).cast("int").alias("label"),
+        F.col(vector_column).alias("embedding"),
+    )
+    sound = F.forall(
+        "embedding",
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))),
+    ) & F.exists("embedding", lambda x: x != 0)
+    valid = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & sound)
+    classes = scratch.save(
+        valid.groupBy("label", "embedding").agg(
+            F.min("vec_id").alias("rep"), F.count("*").alias("copies")
         ),
-        "found",
+        "classes",
+    )
+    member = scratch.save(
+        valid.join(classes, ["label", "embedding"]).select("vec_id", "rep", "copies"), "members"
     )
+
+    if passes is None and window is None:
+        pairs = _all_pairs(classes, threshold, scratch)
+    else:
+        pairs = _sorted_passes(classes, threshold, passes or PASSES, window or WINDOW, scratch)
+    found = scratch.save(pairs, "found")
     sums = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     spans = found.where("n = 0").select("u", "v")
     spans = spans.union(member.select(F.col("vec_id").alias("u"), F.col("rep").alias("v")))

@@ -61,3 +61,22 @@ def test_odd_vectors(spark):
     want = [(i, n, c, True if i is None else k) for i, n, c, k in want]
     assert out == sorted(want, key=str)
     assert embedding_duplicates(table.limit(0)).collect() == []
+
+
+def test_large_groups_and_labels_lose_no_link(spark):
+    """A group and planted pairs in a label of many windows, and small labels beside it."""
+    rng = np.random.default_rng(3)
+    base, far = rng.standard_normal(16), rng.standard_normal((5000, 16))
+    x = [base + 0.1 * rng.standard_normal((4500, 16)), far, far + 0.27 * rng.standard_normal(far.shape)]
+    x = np.vstack([*x, rng.standard_normal((40, 16))]).astype(np.float32)
+    label = np.array([0] * 14500 + [1 + i // 2 for i in range(40)])
+    unit = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label)
+    want = near.sum(axis=1) - 1
+    assert (want[:4500] > 3000).mean() > 0.9 and 1000 < (want[4500:9500] > 0).sum() < 5000
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))]
+    out = sorted(map(tuple, embedding_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert [n for _, n, *_ in out] == want.tolist()
+    component = np.array([c for _, _, c, _ in out])
+    i, j = np.nonzero(near)
+    assert (component[i] == component[j]).all()
