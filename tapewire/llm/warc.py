@@ -34,16 +34,25 @@ RECORD = (
 FILE_ROWS = 50_000
 _SPACE_IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: URL namespace
 
+_BLOCKS = (
+    "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|"
+    "footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|"
+    "thead|tr|ul"
+)
+_HIDDEN = (
+    r"<!--.*?(?:-->|\Z)|<(?P<{0}>script|style|noscript|template)\b[^>]*>.*?(?:</(?P={0})\s*>|\Z)"
+)
+# A head ends, also where its end tag is left out, before the first text that is not the title's
+# and before the first block element.
 _SILENT = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+    _HIDDEN.format("kind")
+    + r"|<head\b[^>]*>(?:\s+|"
+    + _HIDDEN.format("within")
+    + rf"|<title\b[^>]*>(?:(?!</?(?:title|head|{_BLOCKS})\b).)*"
+    + rf"|<(?!/?(?:head|{_BLOCKS})\b)[A-Za-z/!?][^>]*>)*",
     re.S | re.I,
 )
-_BREAKS = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|"
-    r"footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|"
-    r"thead|tr|ul)\b[^>]*>",
-    re.I,
-)
+_BREAKS = re.compile(rf"</?(?:{_BLOCKS})\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[A-Za-z][^>]*>|<![^>]*>|<\?[^>]*>")
 _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")

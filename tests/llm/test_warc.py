@@ -58,6 +58,19 @@ def test_text_of_odd_markup():
     assert warc.page_text("") == ""
 
 
+def test_a_head_without_an_end_keeps_the_text():
+    inner = "<title>T &lt;\n<b>U</title><meta charset=utf-8><!-- <p>c --><style>p{}</style>\n"
+    inner += '<script>x = "<p>s</p>"</script><link href=/a>'
+    for end in ("</head>", "", "</head><body>", "<body>", "<BODY class=a>", "<p>", "<header>"):
+        assert warc.page_text(f"<html><head lang=en>\n{inner}{end}one <b>two</b><p>three") == (
+            "one two\nthree"
+        )
+    assert warc.page_text(f"<head>{inner}<p>one<script>'</head>'</script><p>two") == "one\ntwo"
+    assert warc.page_text("<head><title>T<body><p>one") == "one"
+    assert warc.page_text("<head><title>T</head>one") == "one"
+    assert warc.page_text("<head><title>T</title>") == ""
+
+
 @pytest.fixture(scope="module")
 def found(spark):
     rows = [
