@@ -18,7 +18,8 @@ from tapewire.llm.store import Scratch
 from tapewire.llm.token_files import token_index, write_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
-# Mixture: least entropy as a share of the greatest, and tokens to draw per token there is.
+# Mixture: least entropy as a share of the greatest, and tokens to draw per token there is where
+# the documents have less.
 TARGET_ENTROPY, BUDGET_SHARE = 0.98, 0.8
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -71,8 +72,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @keeps_columns
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents towards even sources, none of them twice."""
-    drawn = mix(docs, TARGET_ENTROPY, max_repeats=1.0, budget_share=BUDGET_SHARE)
+    """Draws documents towards even sources, none of them twice.
+
+    All of them where sources are even enough already, else BUDGET_SHARE of the tokens.
+    """
+    drawn = mix(
+        docs, TARGET_ENTROPY, max_repeats=1.0, budget_share=BUDGET_SHARE, whole_if_even=True
+    )
     return drawn.select(*docs.columns)
 
 

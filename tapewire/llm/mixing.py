@@ -102,6 +102,14 @@ def exponent(
     return found
 
 
+def is_even(totals: DataFrame, target_entropy: float | None) -> bool:
+    """Whether the sources have the entropy as they are, so that there is nothing to mix."""
+    n = totals.where("share > 0").count()
+    if target_entropy is None or n == 0:
+        return True
+    return _measures(totals, [1.0], 1.0)[0][0] >= target_entropy * math.log(n)
+
+
 def weights(totals: DataFrame, power: float, budget_share: float = 1.0) -> DataFrame:
     """(source, weight, repeats, blocks) of each source.
 
@@ -125,6 +133,7 @@ def mix(
     target_entropy: float | None = None,
     max_repeats: float | None = None,
     budget_share: float = 1.0,
+    whole_if_even: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` as often as they are drawn, with their place in the mixture.
 
@@ -133,6 +142,9 @@ def mix(
     and copy. Sorted by turn and place, the rows are the mixture, blocks of all sources in
     random order. Columns of ``docs`` with these names are replaced.
 
+    ``whole_if_even``: where the sources have the entropy as they are, draw each document once
+    or more, also if ``budget_share`` is less than 1.
+
     A block's last document is drawn if the middle of it lies within the budget. A null source
     is a source of its own; null and empty texts have no tokens and are drawn with the block
     around them; a source without any tokens is not drawn. Repeated rows are drawn one by
@@ -142,6 +154,8 @@ def mix(
     key = F.md5(F.concat_ws(":", F.lit(SEED), "doc_id", F.md5(F.coalesce("text", F.lit("")))))
     rows = docs.withColumns({"n_tokens": n_tokens(), "_key": key})
     totals = source_totals(rows.select("source", "n_tokens"), scratch)
+    if whole_if_even and is_even(totals, target_entropy):
+        budget_share = max(budget_share, 1.0)
     power = exponent(totals, target_entropy, max_repeats, budget_share)
     # Written, so that its size is known when the join is planned.
     per_source = scratch.save(weights(totals, power, budget_share), "weights").withColumnsRenamed(

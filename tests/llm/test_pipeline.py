@@ -38,6 +38,21 @@ def test_stages_equal_plain_versions(spark, small, tokenizer):  # noqa: F811
     assert found == test_token_files.expected(tokenizer, texts(kept["in", last]))
 
 
+@pytest.mark.parametrize(
+    ("sizes", "least", "most"),
+    [((40, 44, 36), 1, 1), ((40,), 1, 1), ((900, 40, 30), 0.79, 0.81)],
+)
+def test_mixture_keeps_even_sources_whole(spark, small, sizes, least, most):
+    rows = [(f"w{i} " * 50, s) for s, n in enumerate(sizes) for i in range(n)]
+    docs = [(k, text, "en", str(s), 0) for k, (text, s) in enumerate(rows)]
+    table = spark.createDataFrame(
+        docs, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    drawn = [r.doc_id for r in pipeline.mixture(spark, table, small).collect()]
+    assert len(set(drawn)) == len(drawn)
+    assert least <= len(drawn) / len(docs) <= most
+
+
 def test_odd_documents(spark, odd_docs, no_docs, small):
     for docs in (odd_docs, no_docs):
         columns, scratch = docs.columns, Scratch(spark, "test-pipeline")
