@@ -41,7 +41,7 @@ SURE = 4.0
 # How much more often toxic texts must have a unit that may be a positive example.
 RATIO = 4.0
 # Weight of bent units beside the other positive examples.
-BENT = 0.1
+BENT = 1.0
 # Bound of the distinct units that the machine is fitted to, the most frequent ones.
 UNITS = 30_000
 # Weight of clean texts, which are the more frequent ones, beside toxic ones.
@@ -251,12 +251,8 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
 
     x = vectors_of([names[i] for i in chosen])
     # Marked units with one letter put in, at each place inside, are positive as well.
-    odd = [
-        names[i][:k] + bytes([2 + (7 * k + len(names[i])) % 26]) + names[i][k:]
-        for i in marked[lead[marked] > SURE]
-        for k in range(2, len(names[i]))
-    ]
-    bent = vectors_of(odd)
+    sure = marked[lead[marked] > SURE]
+    bent = vectors_of([_bent(names[i], k) for i in sure for k in range(2, len(names[i]))])
 
     place = np.full(len(names), -1)
     place[chosen] = np.arange(len(chosen))
@@ -288,28 +284,50 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
             positive = np.log1p(count) * (lead[chosen] > 1)
     weights = np.zeros(LETTERS**4)
     weights[codes] = mapped[1:].astype(np.float64) @ w[:-1]
-    return _calibrated(weights, letters, starts, owner, toxic)
+    # Toxic texts count a second time, with a letter in each marked unit.
+    again = np.flatnonzero(toxic[owner])
+    inside = np.zeros(len(names), dtype=bool)
+    inside[sure] = True
+    copied = [
+        _bent(names[i], 2 + at % max(len(names[i]) - 2, 1)) if inside[i] else names[i]
+        for at, i in zip(again.tolist(), word[again].tolist(), strict=True)
+    ]
+    sizes = np.array([len(p) for p in copied])
+    return _calibrated(
+        weights,
+        np.concatenate([letters, np.frombuffer(b"".join(copied), np.uint8)]),
+        np.concatenate([starts, len(letters) + np.cumsum(sizes) - sizes]),
+        np.concatenate([owner, len(toxic) + owner[again]]),
+        np.concatenate([toxic, toxic]),
+        np.concatenate([np.ones_like(toxic), toxic]),
+    )
+
+
+def _bent(unit: bytes, k: int) -> bytes:
+    """The unit with a letter put in before place ``k``."""
+    return unit[:k] + bytes([2 + (7 * k + len(unit)) % 26]) + unit[k:]
 
 
 def _calibrated(
     weights: np.ndarray, letters: np.ndarray, starts: np.ndarray, owner: np.ndarray,
-    toxic: np.ndarray,
+    toxic: np.ndarray, known: np.ndarray,
 ) -> Machine:
-    """The machine whose threshold for a unit tells the labelled texts apart best."""
+    """The machine whose threshold for a unit tells the labelled texts (``known``) apart best."""
     value = _sums(letters, starts, weights.astype(np.float32))
     n = np.bincount(owner, minlength=len(toxic))
+    toxic, clear = toxic & known, ~toxic & known
     top = np.full(len(toxic), -np.inf)
     np.maximum.at(top, owner, value)
     machines, losses = [], []
     for threshold in np.linspace(*np.quantile(top[n > 0], [0.02, 0.98]), 60):
         hits = np.bincount(owner, value > threshold, len(toxic))
         # Rates with one hit added, so that a label without hits has one.
-        clean = (hits[~toxic].sum() + 1) / (n[~toxic].sum() + 1)
+        clean = (hits[clear].sum() + 1) / (n[clear].sum() + 1)
         marked = max((hits[toxic].sum() + 1) / (n[toxic].sum() + 1), 2 * clean)
         machine = Machine(weights, -float(threshold), clean, marked)
         p = np.clip(machine.probability(n, hits), 1e-6, 1 - 1e-6)
         machines.append(machine)
-        losses.append(-np.log(p[toxic]).mean() - CLEAN_LOSS * np.log(1 - p[~toxic]).mean())
+        losses.append(-np.log(p[toxic]).mean() - CLEAN_LOSS * np.log(1 - p[clear]).mean())
     # In the middle of the thresholds that do about as well as the best.
     good = np.flatnonzero(np.array(losses) <= 1.1 * min(losses) + 0.01)
     return machines[int(good[len(good) // 2])]

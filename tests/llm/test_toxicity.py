@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -58,6 +60,26 @@ def test_held_out_texts(spark):
     assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.04 * len(clean)
 
 
+def test_held_out_insults_with_a_letter_put_in(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    learn = "crc32(cast(doc_id as string)) % 5 != 0"
+    machine = tox.train(*tox.labelled_sample(docs.where(learn), labels.where(learn)))
+    rest = docs.join(labels, "doc_id").where(f"not ({learn}) and text is not null").orderBy("doc_id")
+    rng = np.random.default_rng(7)
+    insults = "trash|pathetic|worthless|disgusting|idiot|loser|scum|moron|clown|stupid"
+
+    def bent(found):
+        k, letter = int(rng.integers(1, len(found[0]))), chr(97 + int(rng.integers(26)))
+        return found[0][:k] + letter + found[0][k:]
+
+    texts = [r.text for r in rest.where("toxic = 1").collect()]
+    changed = [re.sub(rf"\b({insults})\b", bent, x, flags=re.I) for x in texts]
+    changed = [b for a, b in zip(texts, changed, strict=True) if a != b]
+    assert len(changed) >= 50
+    assert (machine.scores(*utf8(pa.array(changed))) >= 0.5).mean() >= 0.85
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame(
         [(4, 0, 1), (4, 0, 1), (6, 1, 0), (77, 1, 1), (None, 1, 1), (5, 1, None), (1, 1, 5)],
