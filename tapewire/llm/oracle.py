@@ -1,7 +1,7 @@
 """The queries as DuckDB SQL, where SQL can express them.
 
-Not here: token files (a tokenizer), language ID and toxicity (trained models), WARC records
-(base 32, name-based ids). Tests check those against plain versions.
+Not here: token files (a tokenizer), language ID, toxicity and the language model (trained
+models), WARC records (base 32, name-based ids), periodic runs (all periods at all places). Tests check those against plain versions.
 """
 
 from __future__ import annotations
@@ -220,3 +220,29 @@ select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles,
   d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) as kept
 from dw d left join sizes using (doc_id) left join lowest on lowest.a = d.doc_id
 """
+
+ORACLE["op11_fill_in_middle"] = """
+with units as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') as u,
+    sha256('7:' || coalesce(cast(doc_id as varchar), '')) as d from documents),
+h as (
+  select *, len(u) as n, ('0x' || substr(d, 1, 8))::ubigint as h1,
+    ('0x' || substr(d, 9, 8))::ubigint as h2, ('0x' || substr(d, 17, 8))::ubigint as h3,
+    ('0x' || substr(d, 25, 8))::ubigint as h4 from units),
+cut as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or regexp_matches(text, '<[PSM]>') or h3 % 100 >= 100 then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form from h),
+parts as (
+  select *, coalesce(array_to_string(u[1:a], ''), '') as p,
+    coalesce(array_to_string(u[a + 1:b], ''), '') as m,
+    coalesce(array_to_string(u[b + 1:n], ''), '') as s from cut)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tapewire.llm import fill_middle, periodic_runs
 from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
 from tapewire.llm.inputs import view
@@ -97,3 +98,14 @@ def op7_quotation_linking(spark, sf):
 @query
 def op8_temporal_url_lists(spark, sf):
     return on_lists(view(spark, sf, "captures"), view(spark, sf, "list_entries"))
+
+
+@query
+def op11_fill_in_middle(spark, sf):
+    return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf, "documents"), "doc_id"))
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    docs = periodic_runs.with_planted_periods(table(spark, sf, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, "doc_id"))

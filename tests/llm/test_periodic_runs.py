@@ -1,0 +1,120 @@
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tapewire.llm import periodic_runs as pr
+
+
+def plain_runs(words, shortest=24):
+    """All runs (start, length, period) by trying every period at every place."""
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(shortest, 3 * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def plain(doc_id, text):
+    """The row of the query for one document."""
+    words = (text or "").encode().split()
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    left = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    milli = 1000 * best[1] // best[2] if runs else None
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    return (doc_id, len(runs), *best, milli, sha(lines.encode()), sha(left))
+
+
+def text_with_runs(rng):
+    """Words of a small alphabet, with repeated stretches that hold repeats themselves."""
+    def piece(depth):
+        size = rng.choice([1, 2, 3, 5, 8, 13, 14, 17, 21, 30, 47])
+        base = [rng.randrange(rng.choice([1, 2, 2, 4, 30])) for _ in range(size)]
+        if depth and rng.random() < 0.5:
+            base += piece(depth - 1)
+        base = base * rng.randint(1, 6)
+        return base[: max(1, len(base) - rng.randrange(5))]
+    out = []
+    for _ in range(rng.randint(0, 5)):
+        out += piece(2)
+        out += [rng.randrange(100) for _ in range(rng.choice([0, 1, 20]))]
+    return out[:1200]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_runs_equal_a_plain_search(seed):
+    rng = random.Random(seed)
+    docs = [text_with_runs(rng) for _ in range(8)] + [[], [1], [5] * 200, [1, 2] * 90]
+    rng.shuffle(docs)
+    x = np.array([w for d in docs for w in d], np.int64)
+    found = pr.find_runs(x, np.array([len(d) for d in docs], np.int64))
+    want = [(i, *r) for i, d in enumerate(docs) for r in plain_runs(d)]
+    assert [tuple(r) for r in found.tolist()] == want
+
+
+def test_wrong_hashes_are_found_out(monkeypatch):
+    """Where stretches compare as equal that are not, the words decide."""
+    monkeypatch.setattr(pr._Words, "same", lambda self, a, b, lag: b - a < 60)
+    words = list(range(20)) * 4 + list(range(100, 160))
+    found = pr.find_runs(np.array(words), np.array([len(words)]))
+    assert [tuple(r[1:]) for r in found.tolist()] == plain_runs(words)
+
+
+def test_repeated_words_cost_no_pairs():
+    """A text of one word, and one of a long period, give few seeds at every scale."""
+    n = 50_000
+    for words in (np.zeros(n, np.int64), np.arange(n) % 9000, np.arange(n) % 7):
+        assert len(pr.find_runs(words, np.array([n]))) == 1
+    known = np.array([[0, n, 7]])
+    at, _ = pr._seeds(pr._Words(np.arange(n) % 7), 60, 90, 89, 32, known)
+    assert len(at) == 0
+
+
+def test_query_equals_a_plain_version(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    found = pr.digest(pr.periodic_runs(pr.with_planted_periods(docs), "doc_id"))
+    assert found.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                             "runs_sha256", "collapsed_sha256"]
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(plain(r.doc_id, r.text) for r in docs.collect())
+    assert sum(r[1] for r in rows) > 10
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    key = lambda r: str(r[0]) + r[-1]
+    found = pr.digest(pr.periodic_runs(pr.with_planted_periods(odd_docs), "doc_id"))
+    want = [plain(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()
+            if len(r.text or "") < 10_000]
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == odd_docs.count()
+    short = [r for r in rows if r[0] not in (6, 7)]
+    assert sorted(short, key=key) == sorted(want, key=key)
+    assert pr.periodic_runs(no_docs, "doc_id").collect() == []
+    clash = odd_docs.withColumn("collapsed", odd_docs.text).withColumn("g", odd_docs.doc_id)
+    assert pr.periodic_runs(clash, *clash.columns).columns.count("collapsed") == 1
+    assert pr.with_planted_periods(clash).count() == len(rows)
+
+
+def test_text_without_its_repeats(spark):
+    text = "so " + "one two three four " * 9 + "end"
+    row = pr.periodic_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.collapsed == "so one two three four end"
+    assert [tuple(r) for r in row.runs] == [(1, 36, 4)] and row.n_words == 38
