@@ -11,6 +11,7 @@ from tapewire.llm.decontamination import contamination, digest
 from tapewire.llm.embedding_duplicates import embedding_duplicates
 from tapewire.llm.inputs import view
 from tapewire.llm.language import language_id
+from tapewire.llm.lm_scoring import lm_scores
 from tapewire.llm.mixing import mix
 from tapewire.llm.near_duplicates import near_duplicates
 from tapewire.llm.oracle import ORACLE
@@ -105,6 +106,11 @@ def op11_fill_in_middle(spark, sf):
     return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf, "documents"), "doc_id"))
 
 
+@query
+def op12_lm_scoring(spark, sf):
+    return lm_scores(table(spark, sf, "documents"), "doc_id")
+
+
 @query
 def op13_periodic_runs(spark, sf):
     docs = periodic_runs.with_planted_periods(table(spark, sf, "documents"))

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, connection, small, name, monkeypatch):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op7_quotation_linking", "op8_temporal_url_lists"])
