@@ -2,9 +2,9 @@
 
 1. Texts are read once, in blocks of BLOCK bytes. A block has a dictionary of its own; its texts
    become numbers in it, and it says how often its training texts hold each word.
-2. The dictionaries of all blocks are added up to the counts of the corpus. Joined with these,
-   each block's dictionary gets back count and model token of its words, so that no task ever
-   holds the words of the whole corpus. Blocks meet their dictionaries in a grouping by block.
+2. The dictionaries of all blocks meet by word, where counts add up to those of the corpus, and
+   each block's dictionary gets back count and rank of its words. So no task ever holds the words
+   of the whole corpus. Blocks meet their dictionaries in a grouping by block.
 3. The model's tokens are the RANKED most frequent words (the end of a text among them) and, for
    all other words, bands of counts: band j has the words with 2^j to 2^(j+1) - 1 occurrences. A
    word's share within its band is its share of the band's occurrences. The lowest band holds
@@ -19,17 +19,18 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tapewire.llm.recurrent import Layout, Model, initial, packed, unpacked
 from tapewire.llm.store import Scratch, bound_batches
 
-BLOCK = 16 << 20
+BLOCK = 12 << 20
 BLOCKS_A_TASK = 4
 RANKED = 1024
 # Tokens of a shard, and shards of a task.
@@ -63,17 +64,29 @@ def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pc.fill_null(taken, pa.scalar(END, pa.large_binary())), starts
 
 
-def _block(name: str, parts: list[pa.RecordBatch], kept: list[str]) -> pa.RecordBatch:
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte plane by byte plane, compressed, after their number."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    n = int.from_bytes(raw[:8], "little")
+    planes = pa.decompress(raw[8:], n * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(kind)[:, 0]
+
+
+def _block(name: int, parts: list[pa.RecordBatch], kept: list[str]) -> pa.RecordBatch:
     """The rows of a block with their tokens in its dictionary, and a last row with this."""
     rows = pa.Table.from_batches(parts).combine_chunks()
     texts = rows.column("_text").combine_chunks()
     words, starts = _tokens(texts)
     held = words.dictionary_encode()
-    codes = held.indices.to_numpy().astype("<u4")
+    codes = held.indices.to_numpy().astype(np.uint32)
     learned = np.repeat(rows.column("_learn").to_numpy(), np.diff(starts))
     n = np.bincount(codes[learned], minlength=len(held.dictionary))
-    raw = codes.tobytes()
-    each = [raw[4 * a : 4 * b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    each = [_pack(codes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
     empty = [pa.nulls(1, rows.schema.field(c).type) for c in kept]
     columns = [
         pa.concat_arrays([rows.column(c).combine_chunks(), none])
@@ -83,7 +96,7 @@ def _block(name: str, parts: list[pa.RecordBatch], kept: list[str]) -> pa.Record
     return pa.record_batch(
         [
             *columns,
-            pa.array([name] * (len(each) + 1), pa.string()),
+            pa.array([name] * (len(each) + 1), pa.int64()),
             pa.array([*each, None], pa.binary()),
             pa.array([*blank, held.dictionary.cast(pa.binary()).to_pylist()], pa.list_(pa.binary())),
             pa.array([*blank, n], pa.list_(pa.int64())),
@@ -93,8 +106,8 @@ def _block(name: str, parts: list[pa.RecordBatch], kept: list[str]) -> pa.Record
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import uuid
-
+    # A name of its own for each block, also across attempts of a task.
+    name = lambda: uuid.uuid4().int >> 65
     parts, size = [], 0
     for batch in batches:
         kept = [n for n in batch.schema.names if n != "_text"]
@@ -109,11 +122,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(batch.slice(at, stop - at))
                 size += int(ends[stop - 1] - done)
             if stop < batch.num_rows:
-                yield _block(uuid.uuid4().hex, parts, kept)
+                yield _block(name(), parts, kept)
                 parts, size = [], 0
             at = stop
     if parts:
-        yield _block(uuid.uuid4().hex, parts, kept)
+        yield _block(name(), parts, kept)
 
 
 class Vocabulary:
@@ -164,19 +177,17 @@ def _encoded(vocabulary: Vocabulary, kept: list[str]):
     """Rows of one block in the model's tokens, by its dictionary's counts and ranks."""
 
     def run(rows: pa.Table, dictionary: pa.Table) -> pa.Table:
-        held = dictionary.column("held").combine_chunks()
-        codes, counts, ranks = (held.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-        size = int(max(codes.max(initial=-1) + 1, 0))
-        flat = [np.frombuffer(x.as_buffer(), "<u4") for x in rows.column("_codes")]
+        codes, counts, ranks = (dictionary.column(c).to_numpy() for c in ("code", "n", "rank"))
+        flat = [_unpack(x.as_py(), np.uint32) for x in rows.column("_codes")]
         sizes = np.array([len(x) for x in flat], np.int64)
         flat = np.concatenate([np.empty(0, np.uint32), *flat])
-        size = max(size, int(flat.max(initial=0)) + 1)
+        size = int(max(codes.max(initial=0), flat.max(initial=0))) + 1
         n, rank = np.zeros(size, np.int64), np.full(size, -1, np.int64)
         n[codes], rank[codes] = counts, ranks
         token, share, base = vocabulary.encode(rank, n)
         begin = np.cumsum(sizes) - sizes
         total = lambda values: np.add.reduceat(values[flat], begin)
-        raw = token[flat].astype("<u2").tobytes()
+        tokens = token[flat].astype(np.uint16)
         return pa.table(
             [
                 *(rows.column(c) for c in kept),
@@ -184,7 +195,7 @@ def _encoded(vocabulary: Vocabulary, kept: list[str]):
                 pa.array(total((n > 0).astype(np.int64))),
                 pa.array(total(base)),
                 pa.array(total(share)),
-                pa.array([raw[2 * a : 2 * (a + s)] for a, s in zip(begin, sizes, strict=True)],
+                pa.array([_pack(tokens[a : a + n]) for a, n in zip(begin, sizes, strict=True)],
                          pa.binary()),
             ],
             names=[*kept, "n_tokens", "n_known", "base_score", "_share", "_tokens"],
@@ -195,7 +206,7 @@ def _encoded(vocabulary: Vocabulary, kept: list[str]):
 
 def _flat(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all rows, and where each row's start."""
-    each = [np.frombuffer(x.as_buffer(), "<u2") for b in batches for x in b.column("_tokens")]
+    each = [_unpack(x.as_py(), np.uint16) for b in batches for x in b.column("_tokens")]
     at = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
     return np.concatenate([np.empty(0, np.uint16), *each]).astype(np.int32), at
 
@@ -278,17 +289,16 @@ def _scored(layout: Layout, end: int, params: np.ndarray):
 
 
 def _vocabulary(counts: DataFrame, ranked: int) -> Vocabulary:
-    """From saved ``counts`` (word, n): reads sums, ``ranked`` rows and one row a band."""
-    sums = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
-    words = counts.orderBy(F.desc("n"), "word").limit(ranked).collect()
-    words = [(bytes(r["word"]), r["n"]) for r in words]
-    known = _ranks(counts.sparkSession, words)
+    """From (word, total) of each word: reads sums, ``ranked`` rows and one row a band."""
+    sums = counts.agg(F.sum("total").alias("tokens"), F.count("*").alias("words")).first()
+    words = counts.orderBy(F.desc("total"), "word").limit(ranked).collect()
+    words = [(bytes(r["word"]), r["total"]) for r in words]
+    known = F.broadcast(_ranks(counts.sparkSession, words))
     others = counts.join(known, "word", "left_anti")
-    band = F.floor(F.log2(F.col("n") + F.lit(0.5))).cast("int").alias("band")
-    bands = others.groupBy(band).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    return Vocabulary(
-        words, [(r["band"], r["words"], r["n"]) for r in bands], sums["tokens"] or 0, sums["words"]
-    )
+    band = F.floor(F.log2(F.col("total") + F.lit(0.5))).cast("int").alias("band")
+    bands = others.groupBy(band).agg(F.count("*").alias("words"), F.sum("total").alias("n"))
+    bands = [(r["band"], r["words"], r["n"]) for r in bands.collect()]
+    return Vocabulary(words, bands, sums["tokens"] or 0, sums["words"])
 
 
 def _ranks(spark: SparkSession, words: list[tuple[bytes, int]]) -> DataFrame:
@@ -346,27 +356,33 @@ def lm_scores(docs: DataFrame, *keep: str, learn: str = LEARN, ranked: int = RAN
     )
     inner = [*kept, "_learn", "_slot", "_key"]
     fields = rows.select(*inner).schema.fields
-    more = "_block string, _codes binary, _words array<binary>, _counts array<long>"
+    more = "_block long, _codes binary, _words array<binary>, _counts array<long>"
     schema = T.StructType(fields + T.StructType.fromDDL(more).fields)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
     blocks = scratch.save(rows.mapInArrow(_blocks, schema), "blocks")
 
     dictionaries = blocks.where("_codes is null").select("_block", "_words", "_counts")
     entries = dictionaries.select(
-        "_block", F.posexplode(F.arrays_zip("_words", "_counts")).alias("code", "entry")
-    ).select("_block", "code", F.col("entry._words").alias("word"), F.col("entry._counts").alias("n"))
-    counts = entries.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
-    counts = scratch.save(counts, "counts")
-    vocabulary = _vocabulary(counts, ranked)
-    ranks = _ranks(spark, vocabulary.words)
-    known = counts.join(F.broadcast(ranks), "word", "left")
-    known = known.select("word", "n", F.coalesce("rank", F.lit(-1)).alias("rank"))
-    answers = entries.drop("n").join(known, "word").select(
-        F.col("_block").alias("_of"), F.struct("code", F.col("n").cast("long"), F.col("rank").cast("int")).alias("entry")
+        F.col("_block").alias("_of"),
+        F.posexplode(F.arrays_zip("_words", "_counts")).alias("code", "entry"),
+    ).select("_of", "code", F.col("entry._words").alias("word"), F.col("entry._counts").alias("n"))
+    # A frequent word has an entry in every block, a small share of all entries.
+    same = Window.partitionBy("word").orderBy("_of")
+    entries = entries.withColumns(
+        {
+            "total": F.sum("n").over(same.rowsBetween(
+                Window.unboundedPreceding, Window.unboundedFollowing)),
+            "first": F.row_number().over(same) == 1,
+        }
+    )
+    entries = scratch.save(entries.where("total > 0").drop("n"), "entries")
+    vocabulary = _vocabulary(entries.where("first").select("word", "total"), ranked)
+    ranks = F.broadcast(_ranks(spark, vocabulary.words))
+    answers = entries.join(ranks, "word", "left").select(
+        "_of", "code", F.col("total").alias("n"), F.coalesce("rank", F.lit(-1)).alias("rank")
     )
     tasks = -(-dictionaries.count() // BLOCKS_A_TASK) or 1
-    answers = answers.repartition(tasks, "_of").groupBy("_of")
-    answers = answers.agg(F.collect_list("entry").alias("held"))
+    answers = answers.repartition(tasks, "_of")
     texts = blocks.where("_codes is not null").select(*inner, "_block", "_codes")
     done = T.StructType.fromDDL(
         "n_tokens long, n_known long, base_score double, _share double, _tokens binary"
@@ -380,7 +396,7 @@ def lm_scores(docs: DataFrame, *keep: str, learn: str = LEARN, ranked: int = RAN
         )
     )
     encoded = scratch.save(encoded, "encoded")
-    scratch.drop(blocks, counts)
+    scratch.drop(blocks, entries)
 
     params = train(encoded, vocabulary, scratch)
     ready = encoded.select(

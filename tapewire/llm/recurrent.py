@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN, WIDTH = 16, 32
-WINDOW, STREAMS, STREAM = 16, 128, 512
+WINDOW, STREAMS, STREAM = 16, 256, 512
 SCORED, ROWS = 32, 8192
 CLIP = 1.0
 _LOW = np.float32(-1e9)
@@ -91,58 +91,68 @@ def _gate(x: np.ndarray) -> np.ndarray:
 
 
 class Model:
+    """States and logits lie column by column, so that numpy adds up along rows."""
+
     def __init__(self, layout: Layout, params: dict[str, np.ndarray]):
         self.layout, self.params = layout, params
 
     def step(self, h: np.ndarray, x: np.ndarray):
-        """The next state, and what its gradient needs."""
-        a = h @ self.params["u"]
-        gates = _gate(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
-        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        c = np.tanh(x[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
-        return c + z * (h - c), (r, z, c, a[:, 2 * HIDDEN :])
+        """The next state of each column of ``h``, and what its gradient needs."""
+        a = self.params["u"].T @ h
+        gates = _gate(x[: 2 * HIDDEN] + a[: 2 * HIDDEN])
+        r, z = gates[:HIDDEN], gates[HIDDEN:]
+        c = np.tanh(x[2 * HIDDEN :] + r * a[2 * HIDDEN :])
+        return c + z * (h - c), (r, z, c, a[2 * HIDDEN :])
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
-        """Natural log probability of each target after each state (row) of ``h``.
+        """Natural log probability of each target after each state (column) of ``h``.
 
         With ``grad``, the gradients of minus their sum are put there, and that of ``h`` is
         returned as well.
         """
         p, layout = self.params, self.layout
         kind = layout.of(target)
-        rows = np.arange(len(target))
-        logits = h @ p["class_w"] + p["class_b"]
-        logits -= logits.max(axis=1, keepdims=True)
-        here = logits[rows, kind]
+        order = np.argsort(kind, kind="stable")
+        h, target, kind = h[:, order], target[order], kind[order]
+        place = np.arange(len(target))
+        logits = p["class_w"].T @ h
+        logits += p["class_b"][:, None]
+        logits -= logits.max(axis=0)
+        value = logits[kind, place]
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        out = here - np.log(total)
+        total = logits.sum(axis=0)
+        value -= np.log(total)
         dh = None
         if grad is not None:
-            logits /= total[:, None]
-            logits[rows, kind] -= 1
-            grad["class_w"], grad["class_b"] = h.T @ logits, logits.sum(axis=0)
+            logits /= total
+            logits[kind, place] -= 1
+            grad["class_w"], grad["class_b"] = h @ logits.T, logits.sum(axis=1)
             grad["word_w"], grad["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
-            dh = logits @ p["class_w"].T
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(layout.shared + 1))
+            dh = p["class_w"] @ logits
+        ends = np.searchsorted(kind, np.arange(layout.shared + 1))
         for k in range(layout.shared):
-            own = order[ends[k] : ends[k + 1]]
-            if not len(own):
+            own = slice(ends[k], ends[k + 1])
+            held, at = h[:, own], target[own] - k * WIDTH
+            if not len(at):
                 continue
-            held = h[own]
-            inner = held @ p["word_w"][k] + p["word_b"][k]
-            inner -= inner.max(axis=1, keepdims=True)
-            place, at = np.arange(len(own)), target[own] - k * WIDTH
-            here = inner[place, at]
+            inner = p["word_w"][k].T @ held
+            inner += p["word_b"][k][:, None]
+            inner -= inner.max(axis=0)
+            here = inner[at, place[: len(at)]]
             np.exp(inner, out=inner)
-            total = inner.sum(axis=1)
-            out[own] += here - np.log(total)
+            total = inner.sum(axis=0)
+            value[own] += here - np.log(total)
             if grad is not None:
-                inner /= total[:, None]
-                inner[place, at] -= 1
-                grad["word_w"][k], grad["word_b"][k] = held.T @ inner, inner.sum(axis=0)
-                dh[own] += inner @ p["word_w"][k].T
+                inner /= total
+                inner[at, place[: len(at)]] -= 1
+                grad["word_w"][k], grad["word_b"][k] = held @ inner.T, inner.sum(axis=1)
+                dh[:, own] += p["word_w"][k] @ inner
+        out = np.empty_like(value)
+        out[order] = value
+        if grad is not None:
+            back = np.empty_like(dh)
+            back[:, order] = dh
+            dh = back
         return out, dh
 
     def window(self, h: np.ndarray, before: np.ndarray, target: np.ndarray, fresh: np.ndarray):
@@ -151,35 +161,38 @@ class Model:
         Arrays are steps by streams; ``fresh``: steps at which a text begins.
         """
         steps, streams = target.shape
-        x = self.params["x"][before]
-        old = np.empty((steps, streams, HIDDEN), np.float32)
+        x = np.ascontiguousarray(self.params["x"][before].transpose(0, 2, 1))
+        # States by hidden unit, step and stream.
+        old = np.empty((HIDDEN, steps, streams), x.dtype)
         new, kept = np.empty_like(old), []
+        carried = (~fresh).astype(x.dtype)
         for t in range(steps):
-            old[t] = np.where(fresh[t][:, None], 0, h)
-            h, held = self.step(old[t], x[t])
-            new[t] = h
-            kept.append(held)
+            begin = h * carried[t]
+            h, held = self.step(begin, x[t])
+            old[:, t], new[:, t] = begin, h
+            kept.append((begin, *held))
         grad: dict[str, np.ndarray] = {}
-        found, dh_out = self.log_probs(new.reshape(-1, HIDDEN), target.ravel(), grad)
+        found, dh_out = self.log_probs(new.reshape(HIDDEN, -1), target.ravel(), grad)
         dh_out = dh_out.reshape(new.shape)
-        da = np.empty((steps, streams, 3 * HIDDEN), np.float32)
-        dx = np.empty_like(da)
-        later = np.zeros((streams, HIDDEN), np.float32)
-        turned = np.ascontiguousarray(self.params["u"].T)
+        da = np.empty((3 * HIDDEN, steps, streams), x.dtype)
+        dx = np.empty((steps, 3 * HIDDEN, streams), x.dtype)
+        later = np.zeros((HIDDEN, streams), x.dtype)
+        inner = np.empty((3 * HIDDEN, streams), x.dtype)
         for t in range(steps - 1, -1, -1):
-            r, z, c, a = kept[t]
-            dh = dh_out[t] + later
-            dz = dh * (old[t] - c) * z * (1 - z)
-            dc = dh * (1 - z) * (1 - c * c)
-            dr = dc * a * r * (1 - r)
-            da[t, :, :HIDDEN] = dx[t, :, :HIDDEN] = dr
-            da[t, :, HIDDEN : 2 * HIDDEN] = dx[t, :, HIDDEN : 2 * HIDDEN] = dz
-            da[t, :, 2 * HIDDEN :], dx[t, :, 2 * HIDDEN :] = dc * r, dc
-            later = dh * z + da[t] @ turned
-            later[fresh[t]] = 0
-        flat = da.reshape(-1, 3 * HIDDEN)
-        grad["u"] = old.reshape(-1, HIDDEN).T @ flat
-        grad["x"] = _summed(before.ravel(), dx.reshape(-1, 3 * HIDDEN), self.layout.tokens)
+            begin, r, z, c, a = kept[t]
+            dh = dh_out[:, t] + later
+            through = dh * z
+            rest = dh - through
+            dc = rest * (1 - c * c)
+            inner[:HIDDEN] = dc * a * r * (1 - r)
+            inner[HIDDEN : 2 * HIDDEN] = through * (begin - c) * (1 - z)
+            dx[t, : 2 * HIDDEN], dx[t, 2 * HIDDEN :] = inner[: 2 * HIDDEN], dc
+            inner[2 * HIDDEN :] = dc * r
+            da[:, t] = inner
+            later = (through + self.params["u"] @ inner) * carried[t]
+        grad["u"] = old.reshape(HIDDEN, -1) @ da.reshape(3 * HIDDEN, -1).T
+        rows = dx.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
+        grad["x"] = _summed(before.ravel(), rows, self.layout.tokens)
         return float(found.sum()), grad, h
 
     def train(self, tokens: np.ndarray, first: np.ndarray, end: int, rate: float) -> None:
@@ -193,7 +206,7 @@ class Model:
         place = np.minimum(place, n - 1)
         target, fresh = tokens[place], first[place] | ~used
         before = np.where(fresh, end, tokens[np.maximum(place - 1, 0)])
-        h = np.zeros((streams, HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, streams), np.float32)
         adam = _Adam(self.params, rate)
         for t in range(0, size, WINDOW):
             part = slice(t, t + WINDOW)
@@ -206,7 +219,7 @@ class Model:
         order = np.argsort(-sizes, kind="stable")
         start, sizes = at[:-1][order], sizes[order]
         found = np.zeros(len(sizes))
-        h = np.zeros((len(sizes), HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, len(sizes)), np.float32)
         for t in range(0, int(sizes[0]) if len(sizes) else 0, SCORED):
             live = int(np.searchsorted(-sizes, -t, side="left"))
             steps = min(SCORED, int(sizes[0]) - t)
@@ -217,16 +230,16 @@ class Model:
             before = tokens[np.maximum(place - 1, 0)]
             if t == 0:
                 before[0] = end
-            h = h[:live]
-            states = np.empty((steps, live, HIDDEN), np.float32)
+            h = h[:, :live]
+            states = np.empty((HIDDEN, steps, live), np.float32)
             for s in range(steps):
-                h, _ = self.step(h, self.params["x"][before[s]])
-                states[s] = h
-            states, wanted = states[inside], target[inside]
+                h, _ = self.step(h, self.params["x"][before[s]].T)
+                states[:, s] = h
+            states, wanted = states[:, inside], target[inside]
             owner = np.broadcast_to(np.arange(live), inside.shape)[inside]
             for i in range(0, len(wanted), ROWS):
                 part = slice(i, i + ROWS)
-                value, _ = self.log_probs(states[part], wanted[part])
+                value, _ = self.log_probs(states[:, part], wanted[part])
                 found += np.bincount(owner[part], value, len(found))
         out = np.empty(len(found))
         out[order] = found

@@ -140,7 +140,7 @@ def test_probabilities_add_up_to_one():
     layout = vocabulary.layout
     model = rnn.Model(layout, rnn.initial(layout, vocabulary.counts()))
     random = np.random.default_rng(0)
-    h = np.repeat(random.standard_normal((3, rnn.HIDDEN)).astype(np.float32), layout.tokens, 0)
+    h = np.repeat(random.standard_normal((rnn.HIDDEN, 3)).astype(np.float32), layout.tokens, 1)
     found, _ = model.log_probs(h, np.tile(np.arange(layout.tokens), 3))
     assert np.allclose(np.exp(found).reshape(3, -1).sum(axis=1), 1, atol=1e-5)
     # Shares within bands: the lowest has one word more, which no training text holds.
@@ -158,7 +158,7 @@ def test_gradients_equal_differences(monkeypatch):
     shape = (5, 4)
     before, target = random.integers(0, 43, shape), random.integers(0, 43, shape)
     fresh = random.random(shape) < 0.3
-    h = random.standard_normal((4, rnn.HIDDEN))
+    h = random.standard_normal((rnn.HIDDEN, 4))
     monkeypatch.setattr(np, "float32", np.float64)
     _, grad, _ = model.window(h, before, target, fresh)
     for name, values in params.items():
@@ -182,9 +182,9 @@ def test_states_cross_windows():
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     together = model.scores(np.concatenate(texts), at, 7)
     for text, score in zip(texts, together, strict=True):
-        h, total, before = np.zeros((1, rnn.HIDDEN), np.float32), 0.0, 7
+        h, total, before = np.zeros((rnn.HIDDEN, 1), np.float32), 0.0, 7
         for token in text:
-            h, _ = model.step(h, model.params["x"][[before]])
+            h, _ = model.step(h, model.params["x"][[before]].T)
             total += float(model.log_probs(h, np.array([token]))[0][0])
             before = token
         assert math.isclose(score, total, rel_tol=1e-5)
