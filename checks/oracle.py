@@ -717,6 +717,9 @@ select t.slot, case when b.slot is null then t.ticker_article_id else b.ticker_a
 from target t left join batch b on b.slot = t.slot
 union all {INSERTED}""",
 )
+# The same merges into a stored table, which is then read back.
+ORACLE["upsert_stored_nothing"] = ORACLE["upsert_nothing"]
+ORACLE["upsert_stored_update"] = ORACLE["upsert_update"]
 add(
     "latest_per_day",
     ["signals"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,7 @@ from tapewire.operators import columns, dedupe, news, quality, quotes, reliabili
 from tapewire.operators import scoring, upsert, votes
 from tapewire.plans import daily_report, landing, sector_articles, source_reliability
 from tapewire.plans import ticker_signal as plan_signals
+from tapewire.sinks import keyed
 from tapewire.sources import dimensions, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,6 +451,37 @@ def upsert_update(spark, sf):
     return merged(spark, sf, "update")
 
 
+def scratch(spark, name: str) -> str:
+    """A new folder that all executors share: in the checkpoint folder, else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_sides(spark, sf) -> tuple[keyed.KeyedTable, DataFrame, list]:
+    """The same table and batch, the table stored by day and in buckets of its key."""
+    target, batch = merge_sides(spark, sf)
+    by_day = ("day", F.to_date("created_at"))
+    table = keyed.KeyedTable(
+        spark, scratch(spark, "merge"), target.schema, ["slot"], buckets=8, partition=by_day
+    )
+    table.append(target)
+    return table, batch, [F.col("ticker_article_id").desc()]
+
+
+@query
+def upsert_stored_nothing(spark, sf):
+    table, batch, order = stored_sides(spark, sf)
+    table.insert(batch, order)
+    return table.read().drop("day")
+
+
+@query
+def upsert_stored_update(spark, sf):
+    table, batch, order = stored_sides(spark, sf)
+    table.update(batch, order)
+    return table.read().drop("day")
+
+
 @query
 def latest_per_day(spark, sf):
     return dedupe.latest_per_day(view(spark, sf, "signals"), id_col="ticker_article_id")

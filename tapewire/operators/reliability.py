@@ -24,6 +24,7 @@ from tapewire.constants import (
 from tapewire.functions import dates, urls
 from tapewire.functions.market import finite
 from tapewire.functions.text import col
+from tapewire.operators.upsert import absent
 
 # Scales of the features.
 MAX_ELAPSED_S = 5
@@ -191,7 +192,7 @@ def rate_from_first_run(
     first = met.where(F.col("source_id").isNotNull()).groupBy("source_id")
     wanted = first.agg(F.min("as_of").alias("as_of"))
     if known is not None:
-        wanted = wanted.join(known.select("source_id"), "source_id", "left_anti")
+        wanted = absent(wanted, known, ["source_id"])
     observed = summarise_probe(probe).join(wanted, "source_id")
     return _rate_with_fallback(observed, wanted, F.col("as_of"), exact_trust)
 

@@ -21,16 +21,24 @@ def prepare_batch(
     return first_n(df.dropna(subset=list(keys)), keys, order)
 
 
+def absent(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose keys ``stored`` lacks, for rows that are few beside it.
+
+    An anti join can only broadcast its right side, which would be the stored table. So the
+    rows' keys go to the table first, by a semi join that can broadcast them, and the rows are
+    then held against the keys found. The rows are read twice, the table's keys once.
+    """
+    names = list(keys)
+    held = stored.select(*names).join(rows.select(*names), names, "left_semi")
+    return rows.join(held, names, "left_anti")
+
+
 def new_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """The rows that an insert-only merge adds.
-
-    Reads only the key columns of the target, once, and the batch once.
-    """
+    """The rows that an insert-only merge adds. Reads only the key columns of the target."""
     names = list(keys)
-    ready = prepare_batch(batch, names, order)
-    return ready.join(target.select(*names), names, "left_anti")
+    return absent(prepare_batch(batch, names, order), target, names)
 
 
 def upsert(

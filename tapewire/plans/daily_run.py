@@ -20,10 +20,10 @@ from tapewire.operators.quality import article_counters
 from tapewire.operators.quotes import clean_quotes
 from tapewire.operators.reliability import rate_from_first_run
 from tapewire.operators.scoring import Scorer
-from tapewire.operators.upsert import new_rows
-from tapewire.plans.sector_articles import as_sector_articles, insert_articles, score_articles
+from tapewire.plans.sector_articles import article_table, as_sector_articles, score_articles
 from tapewire.plans.ticker_signal import ticker_signals
 from tapewire.sinks import writers
+from tapewire.sinks.keyed import KeyedTable
 from tapewire.sources import dimensions
 from tapewire.sources.readers import bad_lines, read_landing, read_parquet
 
@@ -37,12 +37,19 @@ TABLES = {
 
 
 def create_warehouse(
-    spark: SparkSession, root: str, mapping: Mapping[str, Sequence[str]] = SECTOR_TICKERS
+    spark: SparkSession,
+    root: str,
+    mapping: Mapping[str, Sequence[str]] = SECTOR_TICKERS,
+    buckets: int | None = None,
 ) -> None:
-    """Create missing tables and insert missing dimension rows."""
-    for name, schema in TABLES.items():
-        month = schemas.PUBLISHED_MONTH if name == "sector_article" else None
-        writers.create_table(spark, f"{root}/{name}", schema, month)
+    """Create missing tables and insert missing dimension rows.
+
+    ``buckets``: of the tables that grow, articles and sources.
+    """
+    for name in ("sectors", "tickers"):
+        writers.create_table(spark, f"{root}/{name}", TABLES[name])
+    source_table(spark, root, buckets)
+    article_table(spark, f"{root}/sector_article", buckets)
     lists = dimensions.sector_lists(spark, mapping)
     sectors = lists.select("sector_id", "sector_name")
     by_id = [F.col("sector_id").asc()]
@@ -55,6 +62,10 @@ def create_warehouse(
     writers.insert_new(spark, f"{root}/tickers", schemas.TICKERS, tickers, ["ticker_id"], by_id)
 
 
+def source_table(spark: SparkSession, root: str, buckets: int | None = None) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/sources", schemas.SOURCES, ["source_id"], buckets)
+
+
 def run_day(
     spark: SparkSession,
     landing: str,
@@ -125,13 +136,9 @@ def run_days(
 
     sector_news = read_runs("sector_clean", schemas.SECTOR_CLEAN)
     # Sources go in before the articles that refer to them.
-    rows["sources"] = writers.insert_new(
-        spark,
-        f"{warehouse}/sources",
-        schemas.SOURCES,
-        rate_from_first_run(sector_news, probe, RUN, known=stored("sources")),
-        ["source_id"],
-        [F.col("last_verified").asc()],
+    sources = source_table(spark, warehouse)
+    rows["sources"] = sources.append(
+        rate_from_first_run(sector_news, probe, RUN, known=sources.read())
     )
     # The first run to see an address keeps it. Stored addresses and articles of unknown
     # sectors go before anything is scored.
@@ -139,9 +146,11 @@ def run_days(
     placed = sector_news.join(sectors, "sector_id", "left")
     refused = F.col("sector_id").isNotNull() & F.col("_known").isNull()
     accepted = placed.where(~refused).drop("_known")
-    fresh = new_rows(stored("sector_article"), accepted, ["source_url"], [F.col(RUN).asc()])
-    articles = as_sector_articles(score_articles(fresh, impact_scorer, RUN), RUN)
-    rows["sector_article"] = insert_articles(articles, f"{warehouse}/sector_article")
+    articles = article_table(spark, f"{warehouse}/sector_article")
+    fresh = articles.new_rows(accepted, [F.col(RUN).asc()])
+    rows["sector_article"] = articles.append(
+        as_sector_articles(score_articles(fresh, impact_scorer, RUN), RUN)
+    )
 
     rows["articles_of_unknown_sector"] = placed.where(refused).count()
     unknown = ticker_news.join(tickers, "ticker", "left_anti")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapewire import schemas
 from tapewire.functions import dates, ids, urls
 from tapewire.operators.columns import align, project_strict
 from tapewire.operators.news import clean_sector_news, complete_articles
 from tapewire.operators.scoring import Scorer, with_impact
-from tapewire.sinks import writers
+from tapewire.sinks.keyed import KeyedTable
 
 FINAL_COLUMNS = [*schemas.SECTOR_CLEAN.fieldNames(), "impact_score"]
 
@@ -40,10 +40,7 @@ def as_sector_articles(scored: DataFrame, run_col: str) -> DataFrame:
     return align(stamped, schemas.SECTOR_ARTICLE)
 
 
-def insert_articles(articles: DataFrame, path: str) -> int:
-    """Append to the stored articles, by month of publication."""
-    rows = align(articles, schemas.SECTOR_ARTICLE)
-    month = F.trunc("date_published", "month")
-    return writers.append_rows(
-        rows.withColumn(schemas.PUBLISHED_MONTH, month), path, schemas.PUBLISHED_MONTH
-    )
+def article_table(spark: SparkSession, path: str, buckets: int | None = None) -> KeyedTable:
+    """The stored articles, by month of publication and in buckets of the address."""
+    month = (schemas.PUBLISHED_MONTH, F.trunc("date_published", "month"))
+    return KeyedTable(spark, path, schemas.SECTOR_ARTICLE, ["source_url"], buckets, month)

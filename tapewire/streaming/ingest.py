@@ -12,11 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tapewire import schemas
 from tapewire.operators.news import clean_sector_news
 from tapewire.operators.scoring import Scorer
-from tapewire.operators.upsert import new_rows
-from tapewire.plans.sector_articles import as_sector_articles, insert_articles, score_articles
+from tapewire.plans.sector_articles import article_table, as_sector_articles, score_articles
 from tapewire.session import checkpoint_root
-from tapewire.sinks import writers
-from tapewire.sources.readers import read_parquet
 
 
 def load_new_sector_articles(
@@ -31,7 +28,7 @@ def load_new_sector_articles(
     A batch that is replayed after a failure inserts nothing twice, since the merge skips
     the addresses that are already there.
     """
-    writers.create_table(spark, table, schemas.SECTOR_ARTICLE, schemas.PUBLISHED_MONTH)
+    article_table(spark, table)
     files = (
         spark.readStream.schema(schemas.RAW_SECTOR_NEWS)
         .option("recursiveFileLookup", "true")
@@ -43,10 +40,9 @@ def load_new_sector_articles(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         clean = clean_sector_news(batch, "run_date", first_run_wins=True)
         # Stored addresses go before anything is scored.
-        stored = read_parquet(batch.sparkSession, table, schemas.SECTOR_ARTICLE)
-        fresh = new_rows(stored, clean, ["source_url"], [F.col("run_date").asc()])
-        articles = as_sector_articles(score_articles(fresh, scorer, "run_date"), "run_date")
-        insert_articles(articles, table)
+        stored = article_table(batch.sparkSession, table)
+        fresh = stored.new_rows(clean, [F.col("run_date").asc()])
+        stored.append(as_sector_articles(score_articles(fresh, scorer, "run_date"), "run_date"))
 
     root = checkpoint_root(spark)
     return (
