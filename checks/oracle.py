@@ -522,6 +522,7 @@ from (
       else regexp_extract(host, '([^.]+[.])?[^.]+$') end registered
   from suffix_hosts) q""",
 )
+ORACLE["registered_domain_table"] = ORACLE["registered_domain_rules"]
 add(
     "distinct_sources",
     ["raw_sector_news"],
@@ -1013,3 +1014,166 @@ add(
 select distinct stock_ticker option from signal_view
 where sector_name = 'asia' and stock_ticker is not null""",
 )
+
+# History of signals and prices
+
+TRADING_DAYS = (
+    "trading_days",
+    "select * from market_ohlc where day(date) not in (4, 5, 9, 15, 22, 23, 24)",
+)
+add(
+    "quotes_as_of",
+    ["signals", "market_ohlc"],
+    [TRADING_DAYS],
+    """
+select symbol, cast(day as date) as day, date, case when isfinite(open) then open end as open,
+  case when isfinite(high) then high end as high, case when isfinite(low) then low end as low,
+  case when isfinite(close) then close end as close
+from (select distinct ticker_id, cast(created_at as date) as day from signals) w
+asof join trading_days t on t.symbol = w.ticker_id and w.day >= t.date
+where date > day - 3""",
+)
+add(
+    "signal_match_holidays",
+    SIGNAL_VIEWS,
+    [TICKER_ROWS, TICKER_LABELS, REPORT_ROWS, VOTES, TRADING_DAYS,
+     ("changes", CHANGES[1].replace("market_ohlc", "trading_days"))],
+    """
+select v.ticker, cast(v.report_date as date) report_date,
+  n_positive >= n_negative sentiment_from_yesterday, c.trend price_trend,
+  coalesce((n_positive >= n_negative) = (c.trend = 'positive'), false) as match,
+  c.trend is not null has_price
+from (select *, report_date - case isodow(report_date) when 1 then 3 when 7 then 2 else 1 end as d
+  from report_votes) v
+left join changes c on c.symbol = v.ticker and c.date = (
+  select max(x.date) from changes x where x.symbol = v.ticker and x.date <= v.d and x.date > v.d - 3)""",
+)
+SCORED = (
+    "scored",
+    """
+select s.*, t.sector_id, case when sentiment_from_yesterday then 1 when not
+  sentiment_from_yesterday then -1 end as score
+from signals s left join tickers t using (ticker_id)""",
+)
+add(
+    "sentiment_decayed",
+    ["signals", "tickers"],
+    [
+        SCORED,
+        (
+            "daily",
+            """
+select 'ticker' as level, ticker_id as key, cast(created_at as date) as day, count(*) as n,
+  sum(score) as total from scored where score is not null group by all
+union all
+select 'sector', cast(sector_id as varchar), cast(created_at as date), count(*), sum(score)
+from scored where score is not null group by all""",
+        ),
+    ],
+    """
+select d.level, d.key, d.day, d.n, round(sum(e.n * power(0.5, (d.day - e.day) / 7.0)), 6) as weight,
+  round(sum(cast(e.total as double) * power(0.5, (d.day - e.day) / 7.0))
+    / sum(e.n * power(0.5, (d.day - e.day) / 7.0)), 6) as score
+from daily d join daily e on e.level = d.level and e.key is not distinct from d.key and e.day <= d.day
+group by d.level, d.key, d.day, d.n""",
+)
+add(
+    "rolling_hit_rate",
+    ["signals"],
+    [],
+    """
+select ticker_article_id, ticker_id, row_number() over w - 1 as position,
+  round(avg(cast(match as int)) over (partition by ticker_id order by created_at,
+    ticker_article_id rows between 4 preceding and current row), 9) as rate_5,
+  round(avg(cast(match as int)) over (partition by ticker_id order by created_at,
+    ticker_article_id rows between 59 preceding and current row), 9) as rate_60
+from signals where ticker_id is not null and created_at is not null
+window w as (partition by ticker_id order by created_at, ticker_article_id)""",
+)
+DAILY_SIDES = [
+    SCORED,
+    (
+        "mean",
+        """
+select ticker_id, cast(created_at as date) as day, sum(score) / cast(count(*) as double) sentiment
+from scored where score is not null group by all""",
+    ),
+    CHANGES,
+    ("moves", "select symbol as ticker_id, date as day, pct as change from changes"),
+]
+add(
+    "lagged_correlation",
+    ["signals", "tickers", "market_ohlc"],
+    [
+        *DAILY_SIDES,
+        (
+            "pairs",
+            """
+select m.ticker_id, cast(k.lag as int) as lag, sentiment x, change y
+from mean m, (select unnest(range(-5, 6)) as lag) k
+join moves c on c.ticker_id = m.ticker_id and c.day = m.day + cast(k.lag as int)
+where change is not null""",
+        ),
+        (
+            "sums",
+            """
+select ticker_id, lag, count(*) as n, case when count(*) >= 3 and min(x) < max(x)
+  and min(y) < max(y) then corr(x, y) end as r from pairs group by all""",
+        ),
+    ],
+    """
+select ticker_id, lag, n, round(r, 6) as r,
+  round(case when abs(r) < 1 then r * sqrt((n - 2) / (1 - r * r)) end, 6) as t from sums""",
+)
+_SLOPE = """round(case when count({y}) over {w} >= 2 then regr_slope({y}, datediff('day',
+  date '2024-01-01', day)) over {w} end, 6) as slope_{y}_{k}"""
+add(
+    "trend_slopes",
+    ["signals", "tickers", "market_ohlc"],
+    [
+        *DAILY_SIDES,
+        (
+            "both_sides",
+            "select ticker_id, day, sentiment, change from mean full join moves using (ticker_id, day)",
+        ),
+    ],
+    "select ticker_id, cast(day as date) as day, round(sentiment, 6) as sentiment, "
+    "round(change, 6) as change, "
+    + ", ".join(_SLOPE.format(y=y, k=k, w=f"w{k}") for y in ("sentiment", "change") for k in (7, 21))
+    + " from both_sides window "
+    + ", ".join(
+        f"w{k} as (partition by ticker_id order by day range between interval {k - 1} days "
+        "preceding and current row)" for k in (7, 21)
+    ),
+)
+add(
+    "change_points",
+    ["signals", "tickers", "market_ohlc"],
+    [
+        *DAILY_SIDES,
+        (
+            "z",
+            """
+select ticker_id, day, sentiment, row_number() over (partition by ticker_id order by day) i,
+  (sentiment - avg(sentiment) over p) / nullif(stddev_pop(sentiment) over p, 0) as z
+from mean window p as (partition by ticker_id)""",
+        ),
+        # The sums that start anew at zero, day by day.
+        (
+            "walk",
+            """
+select ticker_id, day, sentiment, i, greatest(0, coalesce(z - 0.25e0, 0)) as rise,
+  greatest(0, coalesce(-z - 0.25e0, 0)) as fall from z where i = 1
+union all
+select z.ticker_id, z.day, z.sentiment, z.i, greatest(0, walk.rise + coalesce(z.z - 0.25e0, 0)),
+  greatest(0, walk.fall + coalesce(-z.z - 0.25e0, 0))
+from walk join z on z.ticker_id = walk.ticker_id and z.i = walk.i + 1""",
+        ),
+    ],
+    """
+select ticker_id, day, round(sentiment, 6) as sentiment, round(rise, 6) as rise,
+  round(fall, 6) as fall, (rise > 2 or fall > 2) and not coalesce(lag(rise > 2 or fall > 2)
+    over (partition by ticker_id order by day), false) as change
+from walk""",
+)
+ORACLE["change_points"] = ORACLE["change_points"].replace("with ", "with recursive ", 1)

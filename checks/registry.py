@@ -12,8 +12,8 @@ from tapewire import schemas
 from tapewire.constants import IMPACT_MODEL_CHARS, VOTE_MODEL_CHARS
 from tapewire.functions import dates, labels, text, urls
 from tapewire.functions.ids import stable_id
-from tapewire.operators import columns, dedupe, news, quality, quotes, reliability, reports
-from tapewire.operators import scoring, upsert, votes
+from tapewire.operators import columns, dedupe, history, news, quality, quotes, reliability
+from tapewire.operators import reports, scoring, upsert, votes
 from tapewire.plans import daily_report, landing, sector_articles, source_reliability
 from tapewire.plans import ticker_signal as plan_signals
 from tapewire.sinks import keyed
@@ -361,6 +361,15 @@ def registered_domain_rules(spark, sf):
     return hosts.select("host", domain.alias("registered"), valid)
 
 
+@query
+def registered_domain_table(spark, sf):
+    """The same rules as rows, among ten thousand others that no host meets."""
+    none = spark.range(10_000).select(F.concat(F.lit("none"), "id", F.lit(".invalid")).alias("rule"))
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string").union(none)
+    found = urls.with_registered_domain(view(spark, sf, "suffix_hosts"), rules)
+    return found.withColumn("valid", urls.is_valid_domain("registered"))
+
+
 @query
 def distinct_sources(spark, sf):
     return reliability.distinct_sources(view(spark, sf, "raw_sector_news"))
@@ -700,3 +709,94 @@ def filter_options(spark, sf):
 def ticker_options(spark, sf):
     asia = reports.select_in(signal_report(spark, sf), "sector_name", ["asia"])
     return reports.options(asia, "stock_ticker")
+
+
+# History of signals and prices
+
+
+def trading_days(prices: DataFrame) -> DataFrame:
+    """Prices without those of some holidays."""
+    return prices.where(~F.dayofmonth("date").isin(4, 5, 9, 15, 22, 23, 24))
+
+
+@query
+def quotes_as_of(spark, sf):
+    prices = trading_days(quotes.clean_quotes(view(spark, sf, "market_ohlc")))
+    signals = view(spark, sf, "signals")
+    days = signals.select(F.col("ticker_id").alias("symbol"), F.to_date("created_at").alias("day"))
+    return quotes.quotes_as_of(days, prices, 3)
+
+
+@query
+def signal_match_holidays(spark, sf):
+    raw, prices = view(spark, sf, "raw_ticker_news"), view(spark, sf, "market_ohlc")
+    out = plan_signals.matched_votes(raw, trading_days(prices), SCORER, lookback_days=3)
+    return out.select(
+        "ticker", "report_date", "sentiment_from_yesterday", "price_trend", "match", "has_price"
+    )
+
+
+def scored(spark, sf) -> DataFrame:
+    signals = view(spark, sf, "signals").join(
+        view(spark, sf, "tickers"), "ticker_id", "left"
+    )
+    score = F.when(F.col("sentiment_from_yesterday"), 1).when(
+        ~F.col("sentiment_from_yesterday"), -1
+    )
+    return signals.withColumn("score", score)
+
+
+@query
+def sentiment_decayed(spark, sf):
+    rows = scored(spark, sf)
+    parts = []
+    for level, key in (("ticker", "ticker_id"), ("sector", "sector_id")):
+        daily = history.daily_scores(rows, [key], "score", "created_at")
+        named = history.decayed_series(daily, [key], 7.0).withColumn("level", F.lit(level))
+        parts.append(named.withColumn("key", F.col(key).cast("string")).drop(key))
+    return rounded(parts[0].unionByName(parts[1]), 6, "weight", "score")
+
+
+@query
+def rolling_hit_rate(spark, sf):
+    out = history.rolling_rates(
+        view(spark, sf, "signals"), "ticker_id", "created_at", "ticker_article_id", "match",
+        frames=(5, 60), block=500,
+    )
+    out = out.select("ticker_article_id", "ticker_id", "position", "rate_5", "rate_60")
+    return rounded(out, 9, "rate_5", "rate_60")
+
+
+def daily_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Mean sentiment and price change of each ticker and day."""
+    daily = history.daily_scores(scored(spark, sf), ["ticker_id"], "score", "created_at")
+    mean = daily.select("ticker_id", "day", (F.col("total") / F.col("n")).alias("sentiment"))
+    changes = quotes.price_changes(quotes.clean_quotes(view(spark, sf, "market_ohlc")))
+    return mean, changes.select(
+        F.col("symbol").alias("ticker_id"), F.col("date").alias("day"),
+        F.col("price_change_in_percentage").alias("change"),
+    )
+
+
+@query
+def lagged_correlation(spark, sf):
+    mean, changes = daily_sides(spark, sf)
+    out = history.lagged_correlation(
+        mean, changes, "ticker_id", "day", "sentiment", "change", range(-5, 6)
+    )
+    return rounded(out, 6, "r", "t")
+
+
+@query
+def trend_slopes(spark, sf):
+    mean, changes = daily_sides(spark, sf)
+    both = mean.join(changes, ["ticker_id", "day"], "full")
+    out = history.slopes(both, "ticker_id", "day", ["sentiment", "change"], [7, 21])
+    return rounded(out, 6, *[c for c in out.columns if c not in ("ticker_id", "day")])
+
+
+@query
+def change_points(spark, sf):
+    mean, _ = daily_sides(spark, sf)
+    out = history.change_points(mean, "ticker_id", "day", "sentiment", 0.25, 2.0)
+    return rounded(out, 6, "sentiment", "rise", "fall")

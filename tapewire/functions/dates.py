@@ -57,6 +57,14 @@ def in_publish_window(published: Column | str, run_date: Column | str | dt.date)
     return ~has_instant | micros.between(low, high)
 
 
+def publish_instant(published: Column | str, run_date: Column | str) -> Column:
+    """The instant that a text names; the start of the run date (UTC) where it names none."""
+    text = col(published)
+    has_instant = F.coalesce(text.rlike(_HAS_OFFSET), F.lit(False))
+    start = F.timestamp_micros(F.unix_date(col(run_date)).cast("long") * _MICROS_PER_DAY)
+    return F.coalesce(F.when(has_instant, text.try_cast("timestamp")), start)
+
+
 def on_date(ts: Column | str, day: dt.date | str | Column) -> Column:
     """One calendar day as a half-open range, which a Parquet scan can push down."""
     d = date_lit(day)

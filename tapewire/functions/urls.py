@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewire.constants import COMPOUND_SUFFIXES
 from tapewire.functions.text import col, strip
@@ -83,6 +83,50 @@ def read_suffixes(spark: SparkSession, path: str, most: int = 100_000) -> list[s
     return found
 
 
+def suffix_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule) of each line of a file in the public suffix list's format, of any length."""
+    line = F.regexp_extract("value", r"^\s*(\S+)", 1)
+    rules = spark.read.text(path).select(F.lower(line).alias("rule")).distinct()
+    return rules.where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
+
+
+def with_registered_domain(
+    rows: DataFrame, rules: DataFrame, host_: str = "host", name: str = "registered"
+) -> DataFrame:
+    """``rows`` with the registered domain of their host by a table of rules (rule).
+
+    As ``registered_domain``, but the rules are data: the plan stays the same for any number.
+    Each distinct host asks once for all of its suffixes, the longest match comes from one
+    aggregation, and the answers are joined back. A null host has none.
+    """
+    rule = F.trim(F.lower("rule"))
+    keyed = rules.where("trim(rule) <> ''").select(
+        F.regexp_replace(rule, r"^(\*\.|!)", "").alias("_suffix"),
+        F.when(rule.startswith("!"), "exception").when(rule.startswith("*."), "wild").otherwise(
+            "plain").alias("_kind"),
+    ).distinct()
+    hosts = rows.where(F.col(host_).isNotNull()).select(F.col(host_).alias("_host")).distinct()
+    hosts = hosts.withColumn("_plain", F.rtrim(F.lower("_host"), F.lit(".")))
+    hosts = hosts.withColumn("_labels", F.split("_plain", r"\."))
+    n = F.size("_labels")
+    # Of a label more than the longest suffix, no host needs more.
+    depth = F.explode(F.sequence(F.lit(1), n)).alias("_depth")
+    asked = hosts.select("*", depth)
+    suffix = F.array_join(F.slice("_labels", n - F.col("_depth") + 1, F.col("_depth")), ".")
+    met = asked.withColumn("_suffix", suffix).join(keyed, "_suffix", "left")
+    is_kind = lambda kind: F.col("_kind") == kind
+    found = met.groupBy("_host", "_plain", "_labels").agg(
+        F.max(F.when(is_kind("exception"), F.col("_depth"))).alias("_exact"),
+        F.max(F.when(is_kind("plain") & (F.col("_depth") > 1), F.col("_depth") + 1).when(
+            is_kind("wild") & (F.col("_depth") < n), F.col("_depth") + 2)).alias("_keep"),
+    )
+    keep = F.coalesce("_exact", "_keep", F.lit(2))
+    domain = F.array_join(F.slice("_labels", F.greatest(n - keep + 1, F.lit(1)), keep), ".")
+    domain = F.when(F.col("_plain").rlike(_IPV4), F.col("_plain")).otherwise(domain)
+    answers = found.select(F.col("_host").alias(host_), domain.alias(name))
+    return rows.join(answers, host_, "left")
+
+
 def is_valid_domain(domain: Column | str) -> Column:
     return F.coalesce(
         col(domain).rlike(_DOMAIN) & (F.length(col(domain)) <= 253), F.lit(False)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapewire import schemas
 from tapewire.functions import dates, market
+from tapewire.operators.as_of import last_before
 from tapewire.operators.columns import align, lower_columns
 from tapewire.operators.dedupe import first_n
 
@@ -65,6 +66,15 @@ def latest_quote(quotes: DataFrame, as_of: str | dt.date, lookback_days: int) ->
     return recent.groupBy("symbol").agg(last).select("symbol", *fields)
 
 
+def quotes_as_of(
+    wanted: DataFrame, quotes: DataFrame, lookback_days: int, day: str = "day"
+) -> DataFrame:
+    """(symbol, day, date, prices): for each distinct symbol and day of ``wanted`` the last quote
+    in the days up to it, as over a weekend or a holiday; none if all are older."""
+    history = quotes.select("symbol", "date", *PRICES)
+    return last_before(wanted, history, "symbol", day, "date", lookback_days)
+
+
 def for_universe(quotes: DataFrame, tickers: DataFrame) -> DataFrame:
     """Quotes of the known tickers; symbols without a quote are simply absent."""
     symbols = tickers.select(F.col("ticker_id").alias("symbol"))

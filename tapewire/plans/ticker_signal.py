@@ -30,16 +30,21 @@ def ticker_votes(raw_news: DataFrame, scorer: Scorer, run_col: str | None = None
 
 
 def matched_votes(
-    raw_news: DataFrame, quotes: DataFrame, scorer: Scorer, run_col: str | None = None
+    raw_news: DataFrame,
+    quotes: DataFrame,
+    scorer: Scorer,
+    run_col: str | None = None,
+    lookback_days: int | None = None,
 ) -> DataFrame:
     """Votes with their price change, the match flag, and whether a price was found.
 
-    Quotes that carry ``run_col`` as well are matched within their own run.
+    Quotes that carry ``run_col`` as well are matched within their own run; others may be older
+    by ``lookback_days``, for holidays.
     """
     landed = run_col if run_col in quotes.columns else None
     changes = price_changes(quotes, [landed] if landed else [])
     votes = ticker_votes(raw_news, scorer, run_col)
-    return match_prices(votes, changes, run_col=landed)
+    return match_prices(votes, changes, run_col=landed, lookback_days=lookback_days)
 
 
 def ticker_signals(
