@@ -68,7 +68,7 @@ def op1_token_files(spark, sf):
     from public_tokenizers import path
 
     files = Scratch(spark, "token-files").path("orc")
-    write_tokens(table(spark, sf, "documents"), path("byte_bpe_50k.json"), files)
+    write_tokens(table(spark, sf, "documents"), path("byte_bpe_50k.json"), files, named=True)
     return token_index(spark, files)
 
 

@@ -87,15 +87,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids of texts. Of a byte-level vocabulary it remembers pieces, by their hashes."""
+    """Ids of texts. Of a byte-level vocabulary it remembers pieces, by their hashes.
 
-    def __init__(self, path: str):
+    ``named``: a token's name inside a text is that token, as the tokenizer has it by itself;
+    else it is text.
+    """
+
+    def __init__(self, path: str, named: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens that a text holds are text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not named
         splitter = self.tokenizer.pre_tokenizer
         # The cuts hold for this splitting only.
         self.by_piece = (
@@ -103,10 +106,20 @@ class Encoder:
             and splitter.use_regex
             and not splitter.add_prefix_space
             and self.tokenizer.normalizer is None
+            and not (named and self._names_are_cut())
         )
         self.letters = _byte_letters()
         self._forget()
 
+    def _names_are_cut(self) -> bool:
+        """Whether a piece could end within a token's name, or the token takes in blanks or
+        depends on what stands beside it."""
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            cuts = _cuts(*utf8(pa.array([token.content], pa.string())))
+            if len(cuts) > 1 or token.lstrip or token.rstrip or token.single_word:
+                return True
+        return False
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [e.ids for e in found]
@@ -184,16 +197,16 @@ class Encoder:
         return out, n_tokens
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encode(path: str, end_id: int):
+def _encode(path: str, end_id: int, named: bool):
     """Rows of a file, in the order of the rows that come in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        encoder, file, before = _encoders[path], TaskContext.get().partitionId(), 0
+        if (path, named) not in _encoders:
+            _encoders[path, named] = Encoder(path, named)
+        encoder, file, before = _encoders[path, named], TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in chunks(batch, 1, CHUNK):
                 ids, sizes = encoder.encode(part.column(1), end_id)
@@ -214,9 +227,13 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
+def write_tokens(
+    docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, named: bool = False
+) -> None:
     """Encode (doc_id, text) with the tokenizer file into ORC files at ``path``.
 
+    ``named``: names of tokens inside a text are these tokens, else they are text.
+
     A null text counts as empty and has the end id only. Rows that share an id are documents
     of their own, ordered by a hash of their texts; a null id comes first. Other columns are
     not read. An empty table gives no rows.
@@ -230,7 +247,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     order = ["doc_id", "tie"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     (
-        rows.mapInArrow(_encode(tokenizer, end_id), FILE_ROW)
+        rows.mapInArrow(_encode(tokenizer, end_id, named), FILE_ROW)
         .write.option("compression", "zstd")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
@@ -244,6 +261,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FILE_ROW).orc(path)
 
 
+def lookup(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    """The rows of the documents with these ids, without those that are not there.
+
+    The ids reach the reader: stripes and row groups whose range or Bloom filter excludes all
+    of them are not read.
+    """
+    return read_tokens(spark, path).where(F.col("doc_id").isin(ids))
+
+
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, file, before, n_tokens, ids_crc32) from the ids read."""
     for batch in batches:

@@ -39,6 +39,59 @@ def test_pieces_give_the_ids_of_whole_texts(tokenizer):
         assert found.tolist() == plain(tokenizer, text), repr(text)
 
 
+def test_names_of_tokens_inside_texts():
+    """By default the tokenizer takes a token's name for the token, wherever it stands."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(PATH)
+    name = "<|endoftext|>"
+    texts = ODD + [a + name + b for a in ODD for b in ODD] + [name * 2, f"{name} {name}", f"x{name}"]
+    encoder = tf.Encoder(PATH, named=True)
+    assert encoder.by_piece
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()), 0)
+    for text, found in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert found.tolist() == whole.encode(text, add_special_tokens=False).ids + [0], repr(text)
+    assert 50256 in ids
+
+
+def test_query_takes_names_for_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from tapewire.llm.registry import QUERIES
+
+    texts = ["x <|endoftext|> q", None, "", "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op1_token_files"](spark, str(tmp_path)).orderBy("doc_id")
+    whole = Tokenizer.from_file(PATH)
+    ids = [whole.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    sums = [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
+    assert [(r.n_tokens, r.ids_crc32) for r in found.collect()] == [
+        (len(x), c) for x, c in zip(ids, sums, strict=True)
+    ]
+
+
+def test_lookup_reads_what_may_hold_the_ids(spark, tmp_path):
+    """Rows that leave the scan: row groups of the ids sought, none for an absent id."""
+    rows = spark.range(0, 40_000, 2).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    path = str(tmp_path / "orc")
+    tf.write_tokens(rows.repartition(4), PATH, path)
+
+    def read(ids):
+        found = tf.lookup(spark, path, ids)
+        got = sorted(r.doc_id for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [In(doc_id" in plan or "PushedFilters: [IsNotNull" in plan
+        leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+        return got, leaves.head().metrics().apply("numOutputRows").value()
+
+    got, scanned = read([4, 39_000])
+    assert got == [4, 39_000] and scanned <= 4 * tf.INDEX_ROWS
+    got, scanned = read([20_001])
+    assert got == [] and scanned <= tf.INDEX_ROWS
+
+
 def test_forgetting_changes_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr(tf, "REMEMBERED", 3)
     encoder = tf.Encoder(PATH)
