@@ -87,7 +87,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     files = Scratch(spark, "pipeline-tokens").path("orc")
-    write_tokens(docs, path(TOKENIZER), files)
+    write_tokens(docs, path(TOKENIZER), files, named=True)
     return token_index(spark, files)
 
 
