@@ -25,6 +25,8 @@ from tapewire.llm.store import bound_batches
 
 # Bound of the sample that is learned from: pieces a language, and characters a piece.
 PIECES, PIECE_CHARS = 96, 400
+# Most languages that are learned: a worker holds a table of some 30 MB for each.
+LANGUAGES = 32
 STRETCH = 512
 CHUNK = 2 << 20
 UNDETERMINED = "und"
@@ -181,20 +183,30 @@ def _predict(pieces: dict[str, list[str]]):
 
 
 def sample_pieces(
-    labelled: DataFrame, pieces: int = PIECES, piece_chars: int = PIECE_CHARS
+    labelled: DataFrame,
+    pieces: int = PIECES,
+    piece_chars: int = PIECE_CHARS,
+    languages: int = LANGUAGES,
 ) -> dict[str, list[str]]:
-    """At most ``pieces`` starts of texts (lang, text) of each language, picked by a hash.
+    """At most ``pieces`` pieces of texts (lang, text) of each language, picked by a hash.
 
-    The bound keeps what the driver holds to pieces x piece_chars characters a language.
+    A piece starts at a hashed place anywhere in its text, so that heads which a source
+    repeats do not fill the sample. The bound keeps what the driver holds to pieces x
+    piece_chars characters a language; more than ``languages`` of them are an error.
     """
+    room = F.greatest(F.length("text") - piece_chars, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("text", F.lit("place")), room) + 1).cast("int")
     texts = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang",
         F.xxhash64("text").alias("hash"),
-        F.substring("text", 1, piece_chars).alias("piece"),
+        F.substr("text", start, F.lit(piece_chars)).alias("piece"),
     )
     picked = texts.groupBy("lang", F.pmod("hash", F.lit(pieces)).alias("slot")).agg(
         F.min(F.struct("hash", "piece")).alias("first")
     )
+    names = [r["lang"] for r in texts.select("lang").distinct().limit(languages + 1).collect()]
+    if len(names) > languages:
+        raise ValueError(f"more than {languages} languages, as {', '.join(sorted(names)[:5])}")
     out: dict[str, list[str]] = {}
     for row in picked.select("lang", "slot", "first.piece").orderBy("lang", "slot").collect():
         out.setdefault(row["lang"], []).append(row["piece"])

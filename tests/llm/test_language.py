@@ -50,6 +50,20 @@ def test_long_texts_are_cut_into_stretches():
     assert rates.argmin(axis=1).tolist() == [0, 1]
 
 
+def test_pieces_come_from_the_whole_text(spark):
+    """A head that all texts share is in few pieces, and too many languages are an error."""
+    head = "all rights reserved by the publisher " * 20
+    rows = [("en", head + " ".join(f"word{i}x{k}" for k in range(2000))) for i in range(80)]
+    table = spark.createDataFrame(rows, "lang string, text string")
+    found = lang.sample_pieces(table)["en"]
+    assert len(found) > 30 and all(len(p) == lang.PIECE_CHARS for p in found)
+    assert sum("rights" in p for p in found) < 0.2 * len(found)
+    many = spark.range(9).selectExpr("concat('l', id) as lang", "'some text' as text")
+    with pytest.raises(ValueError, match="more than 8 languages"):
+        lang.sample_pieces(many, languages=8)
+    assert len(lang.sample_pieces(many, languages=9)) == 9
+
+
 def test_held_out_accuracy(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     out = lang.language_id(docs)
