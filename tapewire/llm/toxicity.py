@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tapewire.llm.shingles import chunks, utf8
 from tapewire.llm.store import bound_batches
 
-# Bound of the sample that is learned from: texts of each label, and characters of a text.
-TEXTS, TEXT_CHARS = 1500, 6000
+# Bound of the sample that is learned from: whole texts of each label.
+TEXTS = 1500
 LANDMARKS = 256
 SPAN, DECAY = 6, 0.7
 ROUNDS = 4
@@ -334,12 +334,12 @@ def _calibrated(
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, texts: int = TEXTS, text_chars: int = TEXT_CHARS
+    docs: DataFrame, labels: DataFrame, texts: int = TEXTS
 ) -> tuple[list[str], list[int]]:
-    """The starts of at most ``texts`` documents of each label 0 and 1, picked by a hash.
+    """The whole texts of at most ``texts`` documents of each label 0 and 1, picked by a hash.
 
     The bound keeps what is broadcast to 2 x texts ids, and what the driver holds to 2 x texts
-    x text_chars characters. Texts of rows that share an id count once.
+    texts. Texts of rows that share an id count once.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "toxic", "doc_id", F.xxhash64("doc_id").alias("hash")
@@ -348,10 +348,10 @@ def labelled_sample(
     picked = slots.agg(F.min(F.struct("hash", "doc_id")).alias("first"))
     picked = picked.select("toxic", F.col("first.doc_id").alias("doc_id"))
     rows = docs.where(F.length("text") > 0).join(F.broadcast(picked), "doc_id")
-    piece = F.struct(F.xxhash64("text"), F.substring("text", 1, text_chars).alias("piece"))
-    found = rows.groupBy("toxic", "doc_id").agg(F.min(piece).alias("first"))
-    found = found.select("toxic", "first.piece").orderBy("toxic", "piece").collect()
-    return [r["piece"] for r in found], [r["toxic"] for r in found]
+    whole = F.struct(F.xxhash64("text"), "text")
+    found = rows.groupBy("toxic", "doc_id").agg(F.min(whole).alias("first"))
+    found = found.select("toxic", "first.text").orderBy("toxic", "text").collect()
+    return [r["text"] for r in found], [r["toxic"] for r in found]
 
 
 SCORE = "score double, predicted int"
