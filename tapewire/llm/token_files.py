@@ -128,14 +128,18 @@ class Encoder:
         """Words go to the tokenizer's model, which they reach whole in any case."""
         model = self.tokenizer.model.tokenize
         out = [
-            [t.id for t in model(x.encode().decode("latin-1").translate(self.letters))]
-            if _WORD.fullmatch(x)
-            else None
+            [t.id for t in model(self._letters_of(x))] if _WORD.fullmatch(x) else None
             for x in pieces
         ]
         rest = iter(self._ids([x for x, ids in zip(pieces, out, strict=True) if ids is None]))
         return [next(rest) if ids is None else ids for ids in out]
 
+    def _letters_of(self, word: str) -> str:
+        """A word's bytes as characters of the vocabulary; ASCII letters are themselves."""
+        if word.isascii():
+            return word.replace(" ", self.letters[32])
+        return word.encode().decode("latin-1").translate(self.letters)
+
     def _forget(self) -> None:
         # Sorted hashes of pieces, which entry each has, and where the ids of entries start.
         self.hashes = np.empty(0, np.uint64)
