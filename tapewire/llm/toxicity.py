@@ -49,6 +49,8 @@ CLEAN_LOSS = 5.0
 # Log odds of the toxic label for a text that shows nothing.
 PRIOR = -2.0
 CHUNK = 1 << 20
+# Units that are valued at a time.
+PART = 100_000
 
 LETTERS = 32
 _KIND = np.zeros(256, np.uint8)  # 0: parts units; 1: the place before a unit
@@ -116,14 +118,35 @@ def _runs(letters: np.ndarray, unit: np.ndarray) -> Iterator[tuple[np.ndarray, n
 def _sums(letters: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The machine's value for each unit; ``weights``: of all codes."""
     sizes = np.diff(np.append(starts, len(letters)))
-    unit = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
-    per_place = np.zeros(len(letters), np.float32)
-    for code, span, weight in _codes(letters):
-        value = weights[code]
-        value *= np.float32(weight)
-        value[unit[: len(code)] != unit[span:]] = 0
-        per_place[: len(code)] += value
-    return np.add.reduceat(per_place, starts) / _norm(sizes)
+    out = np.empty(len(starts))
+    # In parts, which bounds what the patterns take beside the letters.
+    for low in range(0, len(starts), PART):
+        own = slice(low, low + PART)
+        first = starts[low]
+        held = letters[first : first + sizes[own].sum()]
+        unit = np.repeat(np.arange(len(sizes[own]), dtype=np.int32), sizes[own])
+        per_place = np.zeros(len(held), np.float32)
+        for code, span, weight in _codes(held):
+            value = weights[code]
+            value *= np.float32(weight)
+            value[unit[: len(code)] != unit[span:]] = 0
+            per_place[: len(code)] += value
+        out[own] = np.add.reduceat(per_place, starts[own] - first) / _norm(sizes[own])
+    return out
+
+
+def _all_units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``units`` of many texts, some at a time."""
+    parts, done, held, low = [], 0, 0, 0
+    while low < len(texts):
+        high, size = low, 0
+        while high < len(texts) and (high == low or size < CHUNK):
+            size += len(texts[high])
+            high += 1
+        letters, starts, owner = units(*utf8(pa.array(texts[low:high], pa.string())))
+        parts.append((letters, starts + held, owner + low))
+        held, low = held + len(letters), high
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
 class Machine:
@@ -186,8 +209,7 @@ def _separate(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], labels: list[int]) -> Machine | None:
     """A machine from labelled texts; None unless both labels have units."""
-    data, at = utf8(pa.array(texts, pa.string()))
-    letters, starts, owner = units(data, at)
+    letters, starts, owner = _all_units(texts or [""])
     toxic = np.asarray(labels, dtype=bool)
     if not len(starts) or not toxic[owner].any() or toxic[owner].all():
         return None
@@ -200,7 +222,7 @@ def train(texts: list[str], labels: list[int]) -> Machine | None:
     )
     names = list(words)
     # Texts of either label that have the unit.
-    pairs = np.unique(np.stack([word, owner]), axis=1)
+    pairs = np.stack(np.divmod(np.unique(word * len(texts) + owner), len(texts)))
     in_toxic = np.bincount(pairs[0], toxic[pairs[1]], len(names))
     in_clean = np.bincount(pairs[0], ~toxic[pairs[1]], len(names))
     n_toxic, n_clean = max(toxic.sum(), 1), max((~toxic).sum(), 1)
