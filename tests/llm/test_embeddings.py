@@ -80,3 +80,20 @@ def test_large_groups_and_labels_lose_no_link(spark):
     component = np.array([c for _, _, c, _ in out])
     i, j = np.nonzero(near)
     assert (component[i] == component[j]).all()
+
+
+def test_windows_go_on_through_a_large_group(spark):
+    """Groups of many windows: their links are found, and none of them counts twice."""
+    rows = groups(4, [600, 150] + [1] * 150, 0.1)
+    table = spark.createDataFrame(rows, SCHEMA)
+    out = sorted(map(tuple, embedding_duplicates(table, window=48, passes=4).collect()))
+    true = plain(rows)
+    assert all(n <= m for (_, n, *_), (_, m, *_) in zip(out, true, strict=True))
+    assert sum(r[1] for r in out) >= 0.99 * sum(r[1] for r in true)
+    assert [r[2:] for r in out] == [r[2:] for r in true]
+
+
+def test_exact_compares_all_pairs(spark):
+    rows = groups(5, [60, 40, 30] + [1] * 200, 0.2)
+    out = embedding_duplicates(spark.createDataFrame(rows, SCHEMA), exact=True, window=4)
+    assert sorted(map(tuple, out.collect())) == plain(rows)
