@@ -20,8 +20,8 @@ Two vectors at cosine c agree in a hash with probability a = 1 - acos(c)/pi: 0.8
 0.97. A label of no more vectors than a window is compared whole, in one pass. For a larger one,
 of n vectors, log2(n / window) leading hashes that agree bring a pair into one window, and
 there are as many passes as leave a pair at the threshold out with probability ``MISSED``.
-The work of a label so grows with n times its passes: 11 at 10 thousand vectors, 25 at 200
-thousand, 42 at a million.
+The work of a label so grows with n times its passes: 9 at 10 thousand vectors, 20 at 200
+thousand, 28 at a million.
 
 All pairs (``exact``) finds every link. The classes of a label are dealt to parts by a hash.
 A task holds two parts, or one with itself, or many small labels, and compares them in tiles. Work
