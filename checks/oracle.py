@@ -293,7 +293,9 @@ add(
     "publish_window",
     ["raw_sector_news"],
     [],
-    f"select feed_id, sector_id, date_published, run_date from raw_sector_news where {IN_WINDOW}",
+    f"""
+select feed_id, sector_id, date_published, run_date, sha256(content) content_sha2
+from raw_sector_news where {IN_WINDOW}""",
 )
 for name, n in [("sector_head_n", 3), ("sector_head_20", 20)]:
     add(
@@ -301,7 +303,8 @@ for name, n in [("sector_head_n", 3), ("sector_head_20", 20)]:
         ["raw_sector_news"],
         [],
         f"""
-select feed_id, sector_id, run_date, title, source_url from raw_sector_news where {IN_WINDOW}
+select feed_id, sector_id, run_date, title, source_url, sha256(content) content_sha2
+from raw_sector_news where {IN_WINDOW}
 qualify row_number() over (partition by run_date, sector_id order by feed_id) <= {n}""",
     )
 add(
@@ -341,7 +344,7 @@ add(
     ["raw_sector_news"],
     ARTICLE_STEPS,
     """
-select sector_article_id, sector_id, title, date_published, source_url, author, source_id,
+select sector_article_id, sector_id, title, content, date_published, source_url, author, source_id,
   impact_score, created_at
 from articles""",
 )
@@ -431,9 +434,8 @@ add(
     ["raw_ticker_news"],
     [],
     """
-select doc_id, ticker, cast(null as varchar) as content, cast(null as varchar) title,
-  try_cast(substr(date_published, 1, 10) as date) date_published,
-  cast(null as varchar) source_url
+select doc_id, ticker, content, title,
+  try_cast(substr(date_published, 1, 10) as date) date_published, source_url
 from raw_ticker_news""",
 )
 add(
@@ -991,15 +993,16 @@ add(
     [SIGNAL_VIEW, DAY_ALL],
     f"select {KPIS} from day_all where sector_name is not null",
 )
-add(
-    "date_bounds",
-    ["signals", "raw_sector_news"],
-    ARTICLE_STEPS,
-    """
+for name in ["date_bounds", "date_bounds_stored"]:
+    add(
+        name,
+        ["signals", "raw_sector_news"],
+        ARTICLE_STEPS,
+        """
 select min(day) min_date, max(day) max_date from (
   select cast(created_at as date) as day from signals
   union all select date_published from articles) d""",
-)
+    )
 add(
     "filter_options",
     DIMS,

@@ -16,8 +16,8 @@ from tapewire.operators import columns, dedupe, history, news, quality, quotes,
 from tapewire.operators import reports, scoring, upsert, votes
 from tapewire.plans import daily_report, landing, sector_articles, source_reliability
 from tapewire.plans import ticker_signal as plan_signals
-from tapewire.sinks import keyed
-from tapewire.sources import dimensions, payloads
+from tapewire.sinks import keyed, writers
+from tapewire.sources import dimensions, payloads, statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,7 +162,14 @@ def sector_clean_per_run(spark, sf):
 @query
 def publish_window(spark, sf):
     kept = news.publish_window(view(spark, sf, "raw_sector_news"), "run_date")
-    return kept.select("feed_id", "sector_id", "date_published", "run_date")
+    return with_digest(kept).select(
+        "feed_id", "sector_id", "date_published", "run_date", "content_sha2"
+    )
+
+
+def with_digest(df: DataFrame) -> DataFrame:
+    """A digest of the article text, so that texts are compared without being sent."""
+    return df.withColumn("content_sha2", F.sha2("content", 256))
 
 
 @query
@@ -179,7 +186,9 @@ def sector_head_20(spark, sf):
 def sector_head(spark, sf, n: int) -> DataFrame:
     raw = view(spark, sf, "raw_sector_news")
     head = news.head_per_sector(raw, "run_date", "feed_id", n)
-    return head.select("feed_id", "sector_id", "run_date", "title", "source_url")
+    return with_digest(head).select(
+        "feed_id", "sector_id", "run_date", "title", "source_url", "content_sha2"
+    )
 
 
 @query
@@ -196,10 +205,7 @@ def impact_stats(spark, sf):
 
 @query
 def sector_article_table(spark, sf):
-    return article_table(spark, sf).select(
-        "sector_article_id", "sector_id", "title", "date_published", "source_url", "author",
-        "source_id", "impact_score", "created_at",
-    )
+    return article_table(spark, sf)
 
 
 def article_table(spark, sf) -> DataFrame:
@@ -294,9 +300,8 @@ def payload_outcomes(spark, sf):
 
 @query
 def alias_align(spark, sf):
-    raw = view(spark, sf, "raw_ticker_news").select(
-        "doc_id", F.col("ticker").alias("TOPIC"), F.col("date_published").alias("Date_Published")
-    )
+    names = {"ticker": "TOPIC", "date_published": "Date_Published", "content": "Content"}
+    raw = view(spark, sf, "raw_ticker_news").withColumnsRenamed(names)
     df = columns.resolve_alias(columns.lower_columns(raw), "ticker", ["stock_ticker", "topic"])
     return columns.align(df, schemas.TICKER_CLEAN, ["doc_id"])
 
@@ -700,6 +705,16 @@ def date_bounds(spark, sf):
     return reports.date_bounds(view(spark, sf, "signals"), article_table(spark, sf))
 
 
+@query
+def date_bounds_stored(spark, sf):
+    """The same from the files of tables that are written first."""
+    root = scratch(spark, "date-bounds")
+    signals = view(spark, sf, "signals").withColumn("run_date", F.to_date("created_at"))
+    writers.write_partitioned(signals, f"{root}/signals", "run_date")
+    sector_articles.article_table(spark, f"{root}/articles").append(article_table(spark, sf))
+    return statistics.stored_date_bounds(spark, f"{root}/signals", f"{root}/articles")
+
+
 @query
 def filter_options(spark, sf):
     return reports.sector_options(signal_report(spark, sf), article_report(spark, sf))

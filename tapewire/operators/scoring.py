@@ -11,7 +11,9 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from tapewire.constants import (
@@ -75,9 +77,58 @@ def _verdict(plus: Column, minus: Column) -> Column:
 
 
 @functools.lru_cache(maxsize=2)
-def _loaded(load: Callable[[], Model]) -> Model:
+def _loaded(load: Callable[..., Model], device: str | None) -> Model:
     """One model per Python worker process, kept across tasks."""
-    return load()
+    return load() if device is None else load(device)
+
+
+def task_device() -> str:
+    """The GPU that Spark gave to the running task as ``cuda:`` and its address, else ``cpu``."""
+    context = TaskContext.get()
+    gpu = context.resources().get("gpu") if context else None
+    return f"cuda:{gpu.addresses[0]}" if gpu and gpu.addresses else "cpu"
+
+
+def task_profile(gpus: float = 1.0, cpus: int = 1) -> ResourceProfile:
+    """What each task of a model's stage takes of an executor; half a GPU lets two share it.
+
+    The executors' GPUs are those of the cluster's settings. A profile that asks for
+    executors of its own can be built from Spark's classes and passed in its place.
+    """
+    tasks = TaskResourceRequests().cpus(cpus)
+    return ResourceProfileBuilder().require(tasks.resource("gpu", gpus) if gpus else tasks).build
+
+
+def stage_profile(spark: SparkSession, profile: ResourceProfile) -> ResourceProfile | None:
+    """The profile, or none in local mode, where Spark refuses any."""
+    master = spark.sparkContext.master
+    return None if master == "local" or master.startswith("local[") else profile
+
+
+def _scored_batches(
+    load: Callable[..., Model], on_device: bool, window: int | None, size: int, max_failed: float
+) -> Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]:
+    """Texts in, (label, confidence) out, batch by batch."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = _loaded(load, task_device() if on_device else None)
+        seen = failed = 0
+        for texts in batches:
+            rows = [
+                row
+                for i in range(0, len(texts), size)
+                for row in score_windows(model, list(texts.iloc[i : i + size]), window, size)
+            ]
+            seen += sum(t is not None for t in texts)
+            failed += sum(
+                t is not None and label is None
+                for t, (label, _) in zip(texts, rows, strict=True)
+            )
+            if seen >= FAILURES_FROM and failed > max_failed * seen:
+                raise RuntimeError(f"the model failed on {failed} of {seen} texts")
+            yield pd.DataFrame(rows, columns=["label", "confidence"], index=texts.index)
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -93,53 +144,78 @@ class ModelScorer:
 
     A text that fails gets a null label and does not disturb its neighbours. A task in
     which more than ``max_failed`` of at least ``FAILURES_FROM`` texts fail raises an error.
+
+    With ``on_device``, ``load`` gets the task's device (``task_device``). With a ``profile``,
+    the operators below run the model in a stage of its own, whose tasks take what it asks for:
+    with a GPU each, there are as many models as GPUs, whatever the executors' cores.
     """
 
-    load: Callable[[], Model]
+    load: Callable[..., Model]
     max_chars: int | None = None
     strip: bool = False
     batch_size: int = 64
     window_chars: int | None = None
     max_failed: float = 0.5
+    on_device: bool = False
+    profile: ResourceProfile | None = None
 
     expensive = True
 
     def __call__(self, content: Column) -> Column:
-        load, size = self.load, self.batch_size
-        window, max_failed = self.window_chars, self.max_failed
+        run = self._run()
 
         @pandas_udf("label string, confidence double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            model, seen, failed = _loaded(load), 0, 0
-            for texts in batches:
-                rows = [
-                    row
-                    for i in range(0, len(texts), size)
-                    for row in score_windows(model, list(texts.iloc[i : i + size]), window, size)
-                ]
-                seen += sum(t is not None for t in texts)
-                failed += sum(
-                    t is not None and label is None
-                    for t, (label, _) in zip(texts, rows, strict=True)
-                )
-                if seen >= FAILURES_FROM and failed > max_failed * seen:
-                    raise RuntimeError(f"the model failed on {failed} of {seen} texts")
-                yield pd.DataFrame(rows, columns=["label", "confidence"], index=texts.index)
+            yield from run(batches)
 
         # Not deterministic in Spark's sense: a filter on the label must not be pushed
         # below the projection, where it would run the model a second time.
-        body = text.strip(content) if self.strip else content
-        return score.asNondeterministic()(text.clip(body, self.max_chars))
+        return score.asNondeterministic()(self._input(content))
+
+    def score_rows(self, rows: DataFrame, content: str, name: str) -> DataFrame:
+        """The rows with the struct ``name`` in place of their text, scored under the profile."""
+        run, keep = self._run(), [f for f in rows.schema.fields if f.name != content]
+        flat = [T.StructField("label", T.StringType()), T.StructField("confidence", T.DoubleType())]
 
+        def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            # The model takes one batch at a time, so the last frame read is the scored one.
+            last = []
 
-def vote_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
-    """A model for the vote, over whole texts in windows of the size that it reads."""
-    return ModelScorer(load, strip=True, batch_size=batch_size, window_chars=VOTE_MODEL_CHARS)
+            def texts() -> Iterator[pd.Series]:
+                for frame in frames:
+                    last[:] = [frame]
+                    yield frame[content]
 
+            for found in run(texts()):
+                yield last[0].drop(columns=content).assign(**found)
 
-def impact_model(load: Callable[[], Model], batch_size: int = 64) -> ModelScorer:
+        ready = rows.withColumn(content, self._input(F.col(content)))
+        profile = stage_profile(rows.sparkSession, self.profile)
+        scored = ready.mapInPandas(score, T.StructType([*keep, *flat]), profile=profile)
+        return scored.select(*[f.name for f in keep], F.struct("label", "confidence").alias(name))
+
+    def _run(self) -> Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]:
+        return _scored_batches(
+            self.load, self.on_device, self.window_chars, self.batch_size, self.max_failed
+        )
+
+    def _input(self, content: Column) -> Column:
+        return text.clip(text.strip(content) if self.strip else content, self.max_chars)
+
+
+def vote_model(load: Callable[..., Model], batch_size: int = 64, **options) -> ModelScorer:
+    """A model for the vote, over whole texts in windows of the size that it reads.
+
+    ``options``: further arguments of ``ModelScorer``, here and below.
+    """
+    return ModelScorer(
+        load, strip=True, batch_size=batch_size, window_chars=VOTE_MODEL_CHARS, **options
+    )
+
+
+def impact_model(load: Callable[..., Model], batch_size: int = 64, **options) -> ModelScorer:
     """A model for the impact score, over title and content in windows that it reads."""
-    return ModelScorer(load, batch_size=batch_size, window_chars=IMPACT_MODEL_CHARS)
+    return ModelScorer(load, batch_size=batch_size, window_chars=IMPACT_MODEL_CHARS, **options)
 
 
 def score_windows(
@@ -215,11 +291,10 @@ def _is_expensive(scorer: Scorer) -> bool:
 
 
 def _score_once(df: DataFrame, content: Column, scorer: Scorer, name: str) -> DataFrame:
-    return (
-        df.groupBy(text_key(content).alias("_key"))
-        .agg(F.first(content).alias("_text"))
-        .select("_key", scorer(F.col("_text")).alias(name))
-    )
+    once = df.groupBy(text_key(content).alias("_key")).agg(F.first(content).alias("_text"))
+    if getattr(scorer, "profile", None) is not None:
+        return scorer.score_rows(once, "_text", name)
+    return once.select("_key", scorer(F.col("_text")).alias(name))
 
 
 def text_labels(

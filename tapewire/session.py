@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,6 +26,14 @@ def build_session(app: str = "tapewire", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def side_session(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session on the same cluster with settings that leave the caller's own alone."""
+    side = spark.newSession()
+    for key, value in {**SETTINGS, **settings}.items():
+        side.conf.set(key, value)
+    return side
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder that the cluster names."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -48,3 +48,7 @@ def broken_model():
         raise RuntimeError("no weights")
 
     return score
+
+
+def device_model(device):
+    return lambda texts: [(device, 1.0) for _ in texts]

@@ -227,3 +227,60 @@ def test_suffix_rules_from_a_file(spark, tmp_path):
     assert found == ["b.co.uk", "y.z.ck", "www.ck", "a.com"]
     with pytest.raises(ValueError, match="more than 2"):
         urls.read_suffixes(spark, str(path), 2)
+
+
+def test_csv_files_with_other_headers_are_aligned_by_name(spark, tmp_path):
+    files = {
+        "a [1]+%20.csv": "sector_id,SECTOR_NAME\n1,x\n",
+        "b.csv": 'Sector_Name,sector_id\n"two, and\nlines",2\n',
+        "c.csv": "sector_id,more,sector_name\n3,dropped,z\nbad,,w\n",
+        "d.csv": "sector_name\nonly a name\n",
+        "e.csv": "\ufeffsector_id,sector_name\r\n4,v\r\n",
+        "empty.csv": "",
+        "header.csv": "sector_id,sector_name\n",
+        "other.txt": "sector_id,sector_name\n9,no\n",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content.encode())
+    found = readers.read_csv(spark, str(tmp_path), schemas.SECTORS, by_name=True)
+    assert found.schema == schemas.SECTORS
+    assert sorted(rows(found), key=str) == sorted(
+        [(1, "x"), (2, "two, and\nlines"), (3, "z"), (None, "w"), (None, "only a name"), (4, "v")],
+        key=str,
+    )
+    # Files are grouped by header, however many there are.
+    for i in range(30):
+        (tmp_path / f"many{i}.csv").write_text(f"sector_name,sector_id\nn{i},{i}\n")
+    assert len(readers.csv_headers(spark, str(tmp_path))) == 4
+    assert readers.read_csv(spark, str(tmp_path), schemas.SECTORS, by_name=True).count() == 36
+
+
+def test_csv_headers_by_name_odd_folders(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("")
+    none = readers.read_csv(spark, str(tmp_path), schemas.SECTORS, by_name=True)
+    assert (none.schema, none.count()) == (schemas.SECTORS, 0)
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    monkeypatch.setattr(readers, "MAX_HEADERS", 1)
+    with pytest.raises(ValueError, match="more than 1"):
+        readers.csv_headers(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("x,X\n2,1\n")
+    with pytest.raises(ValueError, match="twice"):
+        readers.csv_headers(spark, str(tmp_path))
+
+
+def test_a_large_csv_file_has_one_header(spark, tmp_path):
+    side = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(side)
+    (tmp_path / "a.csv").write_text("sector_name,sector_id\n" + "name,1\n" * 5000)
+    (tmp_path / "b.csv").write_text("sector_id,sector_name\n" + "2,name\n" * 5000)
+    spark.conf.set(side, "4096")
+    try:
+        assert len(readers.csv_headers(spark, str(tmp_path))) == 2
+        found = readers.read_csv(
+            spark, str(tmp_path), schemas.SECTORS, multi_line=False, by_name=True
+        )
+        counts = found.groupBy("sector_id", "sector_name").count()
+        assert sorted(rows(counts)) == [(1, "name", 5000), (2, "name", 5000)]
+    finally:
+        spark.conf.set(side, before)

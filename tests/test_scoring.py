@@ -266,3 +266,68 @@ def test_article_table_columns_and_source(spark):
     assert {r.created_at for r in table.collect()} == {dt.datetime(2024, 1, 2)}
     stats = scoring.impact_stats(scored).first()
     assert (stats.min_impact, stats.max_impact, stats.avg_impact) == (0.0, 1.0, 0.5)
+
+
+def test_a_profile_reaches_the_stage_of_the_model(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "stage_profile", lambda _, profile: profile)
+    df = spark.createDataFrame([("good",)], "content string")
+    scorer = scoring.ModelScorer(models.keyword_model, profile=scoring.task_profile(0.5, 2))
+    plan = scoring.with_labels(df, scorer)._jdf.queryExecution().analyzed().toString()
+    stage = next(line for line in plan.splitlines() if "MapInPandas" in line)
+    assert "gpu" in stage and "0.5" in stage and "cpus" in stage
+    assert "ArrowEvalPython" not in plan
+
+
+def test_a_profile_changes_no_result(spark):
+    texts = ["good", "bad", " good ", "", None, "boom", "x" * 5000 + "good", "good", "nan"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, content string")
+    plain = scoring.vote_model(models.keyword_model)
+    staged = scoring.vote_model(models.keyword_model, profile=scoring.task_profile())
+    assert staged.profile is not None and plain.profile is None
+    assert sorted(rows(scoring.with_labels(df, staged)), key=str) == sorted(
+        rows(scoring.with_labels(df, plain)), key=str
+    )
+    one, two = (scoring.text_labels(df, s, ["i"]) for s in (plain, staged))
+    assert sorted(rows(one), key=str) == sorted(rows(two), key=str)
+    empty = df.where("i < 0")
+    assert rows(scoring.with_labels(empty, staged)) == []
+
+
+def test_a_broken_model_under_a_profile_stops_the_job(spark):
+    df = spark.range(100).select(F.concat(F.lit("text "), "id").alias("content")).coalesce(1)
+    scorer = scoring.ModelScorer(models.broken_model, profile=scoring.task_profile())
+    with pytest.raises(Exception, match="failed on"):
+        scoring.with_labels(df, scorer).collect()
+
+
+def test_the_device_is_handed_to_the_loader(spark):
+    df = spark.createDataFrame([("some text",)], "content string")
+    for profile in (None, scoring.task_profile()):
+        scorer = scoring.ModelScorer(models.device_model, on_device=True, profile=profile)
+        assert [r.label for r in scoring.with_labels(df, scorer).collect()] == ["cpu"]
+
+
+def test_the_device_is_the_gpu_of_the_task(monkeypatch):
+    class Gpu:
+        addresses = ["3"]
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context()
+
+        def resources(self):
+            return {"gpu": Gpu()}
+
+    monkeypatch.setattr(scoring, "TaskContext", Context)
+    assert scoring.task_device() == "cuda:3"
+
+
+def test_profiles_are_left_out_in_local_mode_only():
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})
+
+    for master, kept in [("local", False), ("local[4]", False), ("local-cluster[2,1,1024]", True),
+                         ("spark://host:1", True), ("yarn", True), ("k8s://https://host", True)]:
+        assert (scoring.stage_profile(Session(master), "profile") is not None) == kept
