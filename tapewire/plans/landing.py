@@ -48,17 +48,12 @@ def market_feed(
 def land(feed: DataFrame, path: str, run_col: str = "run_date") -> int:
     """A feed as JSON lines under ``path/date=…/``, which replace those of its run dates.
 
-    A partition column would clash with a date of the feed's own, as prices have; such a
-    feed is written run by run.
+    A partition column would clash with a date of the feed's own, as prices have, so the
+    lines of such a feed are made first. Either way one write serves all run dates.
     """
-    own = "date" in feed.columns
-    if not own:
+    if "date" not in feed.columns:
         by_day = feed.withColumnRenamed(run_col, "date")
         return writers.write_partitioned(by_day, path, "date", "json")
-    days = [r[0] for r in feed.select(run_col).distinct().orderBy(run_col).collect()]
-    return sum(
-        writers.write_table(
-            feed.where(F.col(run_col) == F.lit(day)).drop(run_col), f"{path}/date={day}", "json"
-        )
-        for day in days
-    )
+    row = F.struct(*[c for c in feed.columns if c != run_col])
+    line = F.to_json(row, {"ignoreNullFields": "false"}).alias("value")
+    return writers.write_partitioned(feed.select(line, F.col(run_col).alias("date")), path, "date", "text")

@@ -261,3 +261,27 @@ def test_feeds_are_landed_and_read_again(spark, tmp_path):
         assert landing.land(feed, path) == n
         back = read_landing(spark, path, schema, ["2024-01-08", "2024-01-09"])
         assert sorted(map(str, rows(back))) == sorted(map(str, rows(feed.select(back.columns))))
+
+
+def test_prices_of_many_runs_are_landed_by_one_write(spark, tmp_path):
+    days = [D(2024, 1, d) for d in range(8, 13)]
+    quotes = [
+        (f"S{i}", D(2024, 1, 5), None if i % 3 else 1.5, float("nan"), None, float(i), day)
+        for day in days for i in range(20)
+    ]
+    feed = spark.createDataFrame(quotes, schemas.with_run_date(schemas.MARKET_OHLC))
+    path = str(tmp_path / "market")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("landing", "prices of many runs")
+    try:
+        assert landing.land(feed, path) == 100
+        jobs = len(tracker.getJobIdsForGroup("landing"))
+        spark.sparkContext.setJobGroup("landing-one", "prices of one run")
+        assert landing.land(feed.where("run_date = '2024-01-09' and symbol < 'S3'"), path) == 13
+        assert len(tracker.getJobIdsForGroup("landing-one")) == jobs
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    back = read_landing(spark, path, schemas.MARKET_OHLC)
+    assert back.count() == 93
+    kept = feed.where("run_date <> '2024-01-09' or symbol < 'S3'")
+    assert sorted(map(str, rows(back))) == sorted(map(str, rows(kept.select(back.columns))))
