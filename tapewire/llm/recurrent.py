@@ -21,7 +21,8 @@ import numpy as np
 
 HIDDEN, WIDTH = 16, 32
 WINDOW, STREAMS, STREAM = 16, 256, 512
-SCORED, ROWS = 32, 8192
+# Tokens that a window of scoring holds, and states that go through the output at a time.
+PLACES, ROWS = 1 << 16, 8192
 CLIP = 1.0
 _LOW = np.float32(-1e9)
 
@@ -87,7 +88,36 @@ def unpacked(flat: np.ndarray, layout: Layout) -> dict[str, np.ndarray]:
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
+
+
+def _apart(*shape: int, kind: type) -> np.ndarray:
+    """An empty array whose rows do not lie a power of two apart, so that caches hold many."""
+    return np.empty((*shape[:-1], shape[-1] + 16), kind)[..., : shape[-1]]
+
+
+def _softmax(logits: np.ndarray, row: np.ndarray, place: np.ndarray, parts: list[slice],
+             grad: bool) -> np.ndarray:
+    """Log probability of ``row`` in each column.
+
+    With ``grad``, the logits become the gradients of minus these, else anything. ``parts``:
+    columns that are added up together, since numpy rounds the sum of a lone one in its own way.
+    """
+    logits -= logits.max(axis=0)
+    value = logits[row, place]
+    np.exp(logits, out=logits)
+    total = np.empty_like(value)
+    for part in parts:
+        logits[:, part].sum(axis=0, out=total[part])
+    value -= np.log(total)
+    if grad:
+        logits /= total
+        logits[row, place] -= 1
+    return value
 
 
 class Model:
@@ -95,14 +125,21 @@ class Model:
 
     def __init__(self, layout: Layout, params: dict[str, np.ndarray]):
         self.layout, self.params = layout, params
+        # Small numbers, since numpy sorts these in one pass.
+        self.kinds = layout.of(np.arange(layout.tokens)).astype(np.uint16)
 
     def step(self, h: np.ndarray, x: np.ndarray):
         """The next state of each column of ``h``, and what its gradient needs."""
         a = self.params["u"].T @ h
         gates = _gate(x[: 2 * HIDDEN] + a[: 2 * HIDDEN])
         r, z = gates[:HIDDEN], gates[HIDDEN:]
-        c = np.tanh(x[2 * HIDDEN :] + r * a[2 * HIDDEN :])
-        return c + z * (h - c), (r, z, c, a[2 * HIDDEN :])
+        c = r * a[2 * HIDDEN :]
+        c += x[2 * HIDDEN :]
+        np.tanh(c, out=c)
+        new = h - c
+        new *= z
+        new += c
+        return new, (r, z, c, a[2 * HIDDEN :])
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
         """Natural log probability of each target after each state (column) of ``h``.
@@ -111,48 +148,42 @@ class Model:
         returned as well.
         """
         p, layout = self.params, self.layout
-        kind = layout.of(target)
+        kind = self.kinds[target]
         order = np.argsort(kind, kind="stable")
-        h, target, kind = h[:, order], target[order], kind[order]
+        h = h[:, order]
+        target, kind = target[order], kind[order]
         place = np.arange(len(target))
-        logits = p["class_w"].T @ h
+        logits = _apart(layout.classes, len(target), kind=h.dtype)
+        np.matmul(p["class_w"].T, h, out=logits)
         logits += p["class_b"][:, None]
-        logits -= logits.max(axis=0)
-        value = logits[kind, place]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=0)
-        value -= np.log(total)
+        value = _softmax(logits, kind, place, [slice(None)], grad is not None)
         dh = None
         if grad is not None:
-            logits /= total
-            logits[kind, place] -= 1
             grad["class_w"], grad["class_b"] = h @ logits.T, logits.sum(axis=1)
             grad["word_w"], grad["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
             dh = p["class_w"] @ logits
         ends = np.searchsorted(kind, np.arange(layout.shared + 1))
-        for k in range(layout.shared):
-            own = slice(ends[k], ends[k + 1])
-            held, at = h[:, own], target[own] - k * WIDTH
-            if not len(at):
-                continue
-            inner = p["word_w"][k].T @ held
-            inner += p["word_b"][k][:, None]
-            inner -= inner.max(axis=0)
-            here = inner[at, place[: len(at)]]
-            np.exp(inner, out=inner)
-            total = inner.sum(axis=0)
-            value[own] += here - np.log(total)
-            if grad is not None:
-                inner /= total
-                inner[at, place[: len(at)]] -= 1
-                grad["word_w"][k], grad["word_b"][k] = held @ inner.T, inner.sum(axis=1)
-                dh[:, own] += p["word_w"][k] @ inner
+        owns = [(k, slice(ends[k], ends[k + 1])) for k in range(layout.shared)
+                if ends[k] < ends[k + 1]]
+        # One softmax for the words of all classes, side by side.
+        shared = slice(0, ends[-1])
+        inner = _apart(WIDTH, ends[-1], kind=h.dtype)
+        for k, own in owns:
+            np.add(p["word_w"][k].T @ h[:, own], p["word_b"][k][:, None], out=inner[:, own])
+        parts = [own for _, own in owns]
+        value[shared] += _softmax(
+            inner, target[shared] % WIDTH, place[shared], parts, grad is not None
+        )
         out = np.empty_like(value)
         out[order] = value
         if grad is not None:
-            back = np.empty_like(dh)
-            back[:, order] = dh
-            dh = back
+            for k, own in owns:
+                part = inner[:, own]
+                grad["word_w"][k], grad["word_b"][k] = h[:, own] @ part.T, part.sum(axis=1)
+                dh[:, own] += p["word_w"][k] @ part
+            inverse = np.empty_like(order)
+            inverse[order] = place
+            dh = dh.take(inverse, axis=1, mode="clip")
         return out, dh
 
     def window(self, h: np.ndarray, before: np.ndarray, target: np.ndarray, fresh: np.ndarray):
@@ -161,36 +192,39 @@ class Model:
         Arrays are steps by streams; ``fresh``: steps at which a text begins.
         """
         steps, streams = target.shape
-        x = np.ascontiguousarray(self.params["x"][before].transpose(0, 2, 1))
-        # States by hidden unit, step and stream.
-        old = np.empty((HIDDEN, steps, streams), x.dtype)
-        new, kept = np.empty_like(old), []
+        x = self.params["x"].T.take(before, axis=1, mode="clip").transpose(1, 0, 2)
+        old = np.empty((steps, HIDDEN, streams), x.dtype)
+        new, r, z, c, a = (np.empty_like(old) for _ in range(5))
         carried = (~fresh).astype(x.dtype)
         for t in range(steps):
-            begin = h * carried[t]
-            h, held = self.step(begin, x[t])
-            old[:, t], new[:, t] = begin, h
-            kept.append((begin, *held))
+            begin = np.multiply(h, carried[t], out=old[t])
+            h, (r[t], z[t], c[t], a[t]) = self.step(begin, x[t])
+            new[t] = h
         grad: dict[str, np.ndarray] = {}
-        found, dh_out = self.log_probs(new.reshape(HIDDEN, -1), target.ravel(), grad)
-        dh_out = dh_out.reshape(new.shape)
-        da = np.empty((3 * HIDDEN, steps, streams), x.dtype)
-        dx = np.empty((steps, 3 * HIDDEN, streams), x.dtype)
+        found, dh_out = self.log_probs(_columns(new), target.ravel(), grad)
+        dh_out = dh_out.reshape(HIDDEN, steps, streams)
+        by_r, by_z, by_c, away = 1 - r, 1 - z, 1 - c * c, old - c
+        da = np.empty((steps, 3 * HIDDEN, streams), x.dtype)
+        dx = _apart(steps, 3 * HIDDEN, streams, kind=x.dtype)
         later = np.zeros((HIDDEN, streams), x.dtype)
-        inner = np.empty((3 * HIDDEN, streams), x.dtype)
         for t in range(steps - 1, -1, -1):
-            begin, r, z, c, a = kept[t]
             dh = dh_out[:, t] + later
-            through = dh * z
-            rest = dh - through
-            dc = rest * (1 - c * c)
-            inner[:HIDDEN] = dc * a * r * (1 - r)
-            inner[HIDDEN : 2 * HIDDEN] = through * (begin - c) * (1 - z)
-            dx[t, : 2 * HIDDEN], dx[t, 2 * HIDDEN :] = inner[: 2 * HIDDEN], dc
-            inner[2 * HIDDEN :] = dc * r
-            da[:, t] = inner
-            later = (through + self.params["u"] @ inner) * carried[t]
-        grad["u"] = old.reshape(HIDDEN, -1) @ da.reshape(3 * HIDDEN, -1).T
+            through = dh * z[t]
+            dh -= through
+            inner_r, inner_z, inner_c = da[t].reshape(3, HIDDEN, streams)
+            dc = np.multiply(dh, by_c[t], out=dh)
+            np.multiply(dc, a[t], out=inner_r)
+            inner_r *= r[t]
+            inner_r *= by_r[t]
+            np.multiply(through, away[t], out=inner_z)
+            inner_z *= by_z[t]
+            np.multiply(dc, r[t], out=inner_c)
+            dx[t, 2 * HIDDEN :] = dc
+            later = self.params["u"] @ da[t]
+            later += through
+            later *= carried[t]
+        dx[:, : 2 * HIDDEN] = da[:, : 2 * HIDDEN]
+        grad["u"] = _columns(old) @ _columns(da).T
         rows = dx.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
         grad["x"] = _summed(before.ravel(), rows, self.layout.tokens)
         return float(found.sum()), grad, h
@@ -219,37 +253,48 @@ class Model:
         order = np.argsort(-sizes, kind="stable")
         start, sizes = at[:-1][order], sizes[order]
         found = np.zeros(len(sizes))
+        inputs = np.ascontiguousarray(self.params["x"].T)
         h = np.zeros((HIDDEN, len(sizes)), np.float32)
-        for t in range(0, int(sizes[0]) if len(sizes) else 0, SCORED):
+        t, longest = 0, int(sizes[0]) if len(sizes) else 0
+        while t < longest:
             live = int(np.searchsorted(-sizes, -t, side="left"))
-            steps = min(SCORED, int(sizes[0]) - t)
-            place = start[:live] + t + np.arange(steps)[:, None]
-            inside = t + np.arange(steps)[:, None] < sizes[:live]
-            place = np.minimum(place, len(tokens) - 1)
-            target = tokens[place]
-            before = tokens[np.maximum(place - 1, 0)]
+            steps = min(max(PLACES // live, 1), longest - t)
+            # Tokens of this window, step by step, of the texts that reach so far.
+            lives = np.searchsorted(-sizes, -np.arange(t, t + steps), side="left")
+            ends = np.cumsum(lives)
+            owner = np.arange(ends[-1]) - np.repeat(ends - lives, lives)
+            place = start[owner] + np.repeat(np.arange(t, t + steps), lives)
+            target, before = tokens[place], tokens[place - 1]
             if t == 0:
-                before[0] = end
-            h = h[:, :live]
-            states = np.empty((HIDDEN, steps, live), np.float32)
-            for s in range(steps):
-                h, _ = self.step(h, self.params["x"][before[s]].T)
-                states[:, s] = h
-            states, wanted = states[:, inside], target[inside]
-            owner = np.broadcast_to(np.arange(live), inside.shape)[inside]
-            for i in range(0, len(wanted), ROWS):
-                part = slice(i, i + ROWS)
-                value, _ = self.log_probs(states[:, part], wanted[part])
-                found += np.bincount(owner[part], value, len(found))
+                before[:live] = end
+            x = inputs.take(before, axis=1, mode="clip")
+            states = np.empty((HIDDEN, len(place)), np.float32)
+            for stop, n in zip(ends.tolist(), lives.tolist(), strict=True):
+                h, _ = self.step(h[:, :n], x[:, stop - n : stop])
+                states[:, stop - n : stop] = h
+            value = [
+                self.log_probs(states[:, i : i + ROWS], target[i : i + ROWS])[0]
+                for i in range(0, len(place), ROWS)
+            ]
+            found += np.bincount(owner, np.concatenate(value), len(found))
+            t += steps
         out = np.empty(len(found))
         out[order] = found
         return out
 
 
+def _columns(values: np.ndarray) -> np.ndarray:
+    """Steps by units by streams as units by all steps' streams."""
+    steps, units, streams = values.shape
+    out = np.empty((units, steps, streams), values.dtype)
+    out[:] = values.transpose(1, 0, 2)
+    return out.reshape(units, -1)
+
+
 def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """The sum of the values of each row number."""
     out = np.zeros((n, values.shape[1]), np.float32)
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16) if n <= 1 << 16 else rows, kind="stable")
     rows = rows[order]
     begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     out[rows[begin]] = np.add.reduceat(values[order], begin, axis=0)

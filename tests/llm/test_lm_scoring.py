@@ -191,6 +191,28 @@ def test_states_cross_windows():
     assert not math.isclose(together[0], together[1], rel_tol=1e-6)
 
 
+def test_scoring_fills_its_windows(monkeypatch):
+    """Few long texts go through the output many tokens at a time, at the scores of one text
+    in one small window after another."""
+    layout = rnn.Layout(8, 1)
+    model = rnn.Model(layout, rnn.initial(layout, np.ones(9)))
+    random = np.random.default_rng(3)
+    sizes = [3000, 1, 700, 40, 2999, 1]
+    tokens = random.integers(0, 9, sum(sizes)).astype(np.int32)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    calls, real = [], model.log_probs
+    monkeypatch.setattr(
+        model, "log_probs", lambda h, target: calls.append(len(target)) or real(h, target)
+    )
+    found = model.scores(tokens, at, 7)
+    assert calls == [len(tokens)]
+    monkeypatch.setattr(rnn, "PLACES", 7)
+    monkeypatch.setattr(rnn, "ROWS", 3)
+    for a, b, score in zip(at[:-1], at[1:], found, strict=True):
+        assert math.isclose(score, model.scores(tokens[a:b], np.array([0, b - a]), 7)[0], rel_tol=1e-5)
+    assert np.allclose(model.scores(tokens, at, 7), found, rtol=1e-5)
+
+
 def test_training_learns_an_order():
     layout = rnn.Layout(8, 1)
     model = rnn.Model(layout, rnn.initial(layout, np.ones(9)))
